@@ -141,7 +141,7 @@ def _split(
 
 def upsert_single_key(spark: SparkSession, d: str) -> DataFrame:
     state, rows = _split(_keyed_feed(spark, d), ("CHAVE_NFE",), fx.INVOICE_TIEBREAK)
-    return upsert(state, rows, ["CHAVE_NFE"])
+    return upsert(state, Staging(spark)(rows, "rows"), ["CHAVE_NFE"])
 
 
 def upsert_item_grain(spark: SparkSession, d: str) -> DataFrame:
@@ -260,17 +260,24 @@ def publish_stage(spark: SparkSession, d: str) -> DataFrame:
 
 
 def items_delete_insert(spark: SparkSession, d: str) -> DataFrame:
-    return delete_insert(fx.items_target(spark, d), fx.items_staged(spark, d), fx.ITEM_KEYS)
+    return delete_insert(
+        fx.items_target(spark, d), fx.items_staged(spark, d), fx.ITEM_KEYS, Staging(spark)
+    )
 
 
 def items_tombstones(spark: SparkSession, d: str) -> DataFrame:
-    return apply_tombstones(fx.items_target(spark, d), fx.items_staged(spark, d), fx.ITEM_KEYS)
+    return apply_tombstones(
+        fx.items_target(spark, d),
+        fx.items_staged(spark, d),
+        fx.ITEM_KEYS,
+        stage=Staging(spark),
+    )
 
 
 def items_publish(spark: SparkSession, d: str) -> DataFrame:
-    return publish_with_deletes(
-        fx.items_target(spark, d), fx.items_staged(spark, d), fx.ITEM_KEYS
-    )
+    staging = Staging(spark)
+    staged = staging(fx.items_staged(spark, d), "staged")
+    return publish_with_deletes(fx.items_target(spark, d), staged, fx.ITEM_KEYS, stage=staging)
 
 
 def items_history(spark: SparkSession, d: str) -> DataFrame:

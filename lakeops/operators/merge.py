@@ -2,26 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.columns import match_keys
 
+# Writes a frame under a name and returns a scan of it (lakeops.sinks.staging).
+Stage = Callable[[DataFrame, str], DataFrame]
+
 
 def without_keys(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    null_safe: bool = False,
+    unique: bool = False,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Target rows whose key is not in the source (DELETE ... USING source).
 
-    Source keys are made distinct first, so a repeated key costs one row. The
-    target side streams through: whole if Spark broadcasts a small key list, else
-    in a sort-merge join whose target side AQE may split where a key is hot.
+    Source keys are made distinct first, so a repeated key costs one row;
+    ``unique`` says they are already. ``stage`` writes the distinct keys to a table
+    of known size. Spark then broadcasts a small key list and the target is not
+    shuffled at all; a large one is joined straight from its scan, the shape in
+    which AQE can split a key that is hot in the target.
     """
-    hits = source.select(*keys).distinct().alias("hits")
+    hits = source.select(*keys)
+    if not unique:
+        hits = hits.distinct()
+        if stage is not None:
+            hits = stage(hits, "keys")
     match = match_keys("target", "hits", keys, null_safe)
-    return target.alias("target").join(hits, match, "left_anti")
+    return target.alias("target").join(hits.alias("hits"), match, "left_anti")
 
 
 def upsert(
@@ -32,26 +46,38 @@ def upsert(
     The source must hold one row per key (``latest_by_key`` first). ``null_safe``
     lets a NULL key part match NULL, which keeps reruns repeatable.
     """
-    return without_keys(target, source, keys, null_safe).unionByName(source)
+    kept = without_keys(target, source, keys, null_safe, unique=True)
+    return kept.unionByName(source)
 
 
-def delete_insert(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+def delete_insert(
+    target: DataFrame, staged: DataFrame, keys: Sequence[str], stage: Stage | None = None
+) -> DataFrame:
     """Delete target rows whose key is staged, then insert every staged row.
 
     Unlike :func:`upsert` the staged rows may repeat a key; all of them survive.
     """
-    return without_keys(target, staged, keys).unionByName(staged.select(*target.columns))
+    kept = without_keys(target, staged, keys, stage=stage)
+    return kept.unionByName(staged.select(*target.columns))
 
 
 def apply_tombstones(
-    target: DataFrame, staged: DataFrame, keys: Sequence[str], flag: str = "is_deleted"
+    target: DataFrame,
+    staged: DataFrame,
+    keys: Sequence[str],
+    flag: str = "is_deleted",
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Remove target rows with a staged row flagged as deleted (NULL is not)."""
-    return without_keys(target, staged.filter(F.col(flag)), keys)
+    return without_keys(target, staged.filter(F.col(flag)), keys, stage=stage)
 
 
 def publish_with_deletes(
-    target: DataFrame, staged: DataFrame, keys: Sequence[str], flag: str = "is_deleted"
+    target: DataFrame,
+    staged: DataFrame,
+    keys: Sequence[str],
+    flag: str = "is_deleted",
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Apply tombstones, then replace the rows staged as live.
 
@@ -60,4 +86,4 @@ def publish_with_deletes(
     """
     flagged = staged.filter(F.col(flag).isNotNull())
     live = staged.filter(~F.col(flag)).select(*target.columns)
-    return without_keys(target, flagged, keys).unionByName(live)
+    return without_keys(target, flagged, keys, stage=stage).unionByName(live)

@@ -102,13 +102,20 @@ def attach_status(rows: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def close_out(
-    history: DataFrame, deleted: DataFrame, run_ts: Column | datetime | None = None
+    history: DataFrame,
+    deleted: DataFrame,
+    run_ts: Column | datetime | None = None,
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """End the active rows whose hash is among the deleted ones; keep all others.
 
-    Rows closed earlier keep their end even if they share the hash.
+    Rows closed earlier keep their end even if they share the hash. ``stage``
+    writes the distinct hashes to a table of known size, as in ``without_keys``.
     """
-    gone = deleted.select(HASH).distinct().withColumn("_gone", F.lit(True))
+    gone = deleted.select(HASH).distinct()
+    if stage is not None:
+        gone = stage(gone, "closed_hashes")
+    gone = gone.withColumn("_gone", F.lit(True))
     hit = F.col("_gone") & F.col(ACTIVE)
     end = stamp_column(run_ts).cast(history.schema[END].dataType)
     joined = history.join(gone, HASH, "left")
@@ -134,7 +141,7 @@ def scd2_apply(
     changes = snapshot_changes(history, current)
     if stage is not None:
         changes = stage(changes, "scd2_changes")
-    closed = close_out(history, changes.filter(F.col("_side") == LEFT), run_ts)
+    closed = close_out(history, changes.filter(F.col("_side") == LEFT), run_ts, stage)
     added = (
         changes.filter((F.col("_side") == RIGHT) & F.col("_live"))
         .withColumn(ACTIVE, F.lit(True))

@@ -73,9 +73,16 @@ def gold_increment(
     tiebreak: Sequence[str],
     stamp: Column | None = None,
 ) -> DataFrame:
-    """One row per key from a change feed, stamped with its commit time."""
+    """One row per key from a change feed, stamped with its commit time.
+
+    Another stamp takes the commit time's type, so that first loads and later
+    increments can be merged.
+    """
     newest = newest_changes(spec, changes, tiebreak)
-    return project(spec, newest, F.col(COMMIT_TIME) if stamp is None else stamp)
+    time = F.col(COMMIT_TIME)
+    if stamp is not None:
+        time = stamp.cast(changes.schema[COMMIT_TIME].dataType)
+    return project(spec, newest, time)
 
 
 def deleted_keys(spec: ModelSpec, changes: DataFrame, tiebreak: Sequence[str]) -> DataFrame:

@@ -68,7 +68,7 @@ def publish(
     staged = staging(cast_columns(increment, spec.columns, on_error), spec.table)
     rows = staging.rows[spec.table]
     if rows:
-        write_version(delete_insert(target, staged, spec.keys), target_root)
+        write_version(delete_insert(target, staged, spec.keys, staging), target_root)
     staging.clear()
     return Published(spec.name, rows, "published" if rows else "nothing new")
 
@@ -117,7 +117,8 @@ def publish_with_history(
         version = 0 if last is None else last + 1
         archived = history_capture(target, staged, spec.keys, spec.increment, flag)
         archived.write.mode("overwrite").parquet(f"{history_root}/target_version={version}")
-        write_version(publish_with_deletes(target, staged, spec.keys, flag), target_root)
+        published = publish_with_deletes(target, staged, spec.keys, flag, staging)
+        write_version(published, target_root)
     staging.clear()
     return Published(spec.name, rows, "published" if rows else "nothing new")
 

@@ -41,10 +41,16 @@ class Staging:
         self.spark = spark
         self.path = f"{shared_folder(spark)}/staging/{run_id or uuid.uuid4().hex}"
         self.rows: dict[str, int] = {}
+        self._written = 0
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and return a scan of it; its row count lands in ``rows``."""
-        path = f"{self.path}/{name}"
+        """Write ``df`` and return a scan of it; its row count lands in ``rows``.
+
+        Every call has a folder of its own, so a name used again does not replace
+        what an earlier result still reads.
+        """
+        path = f"{self.path}/{self._written}-{name}"
+        self._written += 1
         counted = Observation(f"{name}-{uuid.uuid4().hex}")
         df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
         self.rows[name] = counted.get["rows"]

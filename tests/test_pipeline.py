@@ -1,0 +1,239 @@
+"""The incremental run over a stored change log, and publishing its results."""
+
+from dataclasses import replace
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakeops import fixtures as fx
+from lakeops.functions.columns import literal_timestamp
+from lakeops.operators.changes import VERSION, snapshot_as_of
+from lakeops.operators.quality import check_model
+from lakeops.plans import control, specs
+from lakeops.plans.models import gold_full, gold_increment
+from lakeops.plans.pipeline import Feed, run_pipeline
+from lakeops.plans.publish import publish, publish_all, publish_with_history
+from lakeops.sinks.files import folder_names
+from lakeops.sinks.tables import append_changes, current_version, read_version, write_version
+from lakeops.sources.registry import read_changes
+
+NOW = datetime.fromisoformat(fx.RUN_TIME)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def logs(spark, sf_dir, tmp_path_factory):
+    """Change logs of the three sources: the early commits, and all commits."""
+    base = f"file://{tmp_path_factory.mktemp('logs')}"
+    feeds = {
+        specs.INVOICES: (fx.invoice_feed(spark, sf_dir), fx.INVOICE_TIEBREAK),
+        specs.STOCK: (fx.stock_feed(spark, sf_dir), fx.STOCK_TIEBREAK),
+        specs.BRANCHES: (fx.branch_feed(spark, sf_dir), fx.BRANCH_TIEBREAK),
+    }
+    early, late = {}, {}
+    for name, (feed, tiebreak) in feeds.items():
+        split = 1 if name == specs.BRANCHES else fx.SPLIT_VERSION
+        append_changes(read_changes(feed, 0, split - 1), f"{base}/early/{name}")
+        append_changes(feed, f"{base}/late/{name}")
+        early[name] = Feed(f"{base}/early/{name}", tiebreak)
+        late[name] = Feed(f"{base}/late/{name}", tiebreak)
+    return early, late
+
+
+@pytest.fixture(scope="module")
+def two_runs(spark, logs, tmp_path_factory):
+    root = f"file://{tmp_path_factory.mktemp('gold')}"
+    early, late = logs
+    first = run_pipeline(spark, early, root, run_ts=NOW)
+    second = run_pipeline(spark, late, root, run_ts=NOW)
+    third = run_pipeline(spark, late, root, run_ts=NOW)
+    return root, first, second, third
+
+
+def gold(spark, root, name, version=None):
+    return read_version(spark, f"{root}/default/gold/{name}", version)
+
+
+def test_first_run_is_full_and_later_runs_incremental(two_runs):
+    _, first, second, third = two_runs
+    assert {r.name for r in first} == set(specs.MODELS)
+    assert {r.mode for r in first} == {"full"}
+    assert {r.mode for r in second} == {"incremental"}
+    assert all(r.rows > 0 for r in [*first, *second])
+    assert not any(r.failures for r in [*first, *second])
+    assert third == []
+
+
+def test_watermarks_advance(spark, two_runs):
+    root = two_runs[0]
+    table = read_version(spark, f"{root}/default/control")
+    assert {r.table_name: r.last_processed_version for r in table.collect()} == {
+        specs.INVOICES: 6, specs.STOCK: 6, specs.BRANCHES: 1
+    }
+
+
+@pytest.mark.parametrize("name", list(specs.MODELS))
+def test_resume_equals_replay(name, spark, sf_dir, two_runs, logs):
+    """Two runs give the rows of one run over all commits; stamps of rows last
+    written by the first load are the run time."""
+    spec = specs.MODELS[name]
+    feed = logs[1][spec.source]
+    changes = spark.read.parquet(feed.log).withColumn(VERSION, F.col(VERSION).cast("long"))
+    replay = gold_increment(spec, changes, feed.tiebreak)
+    result = gold(spark, two_runs[0], name)
+    assert rows(result.drop(specs.STAMP)) == rows(replay.drop(specs.STAMP))
+    if spec.unique:
+        checks = check_model(result, spec.not_null, spec.unique)
+        assert all(r.failures == 0 for r in checks.collect())
+
+
+def test_models_of_another_tenant_are_separate(spark, logs, two_runs):
+    root = two_runs[0]
+    branches = {specs.BRANCHES: logs[1][specs.BRANCHES]}
+    runs = run_pipeline(spark, branches, root, tenant="other", run_ts=NOW)
+    assert [r.name for r in runs] == ["dim_filial"] and runs[0].mode == "full"
+    assert current_version(spark, f"{root}/other/gold/dim_filial") == 0
+
+
+def test_applied_deletes(spark, logs, root):
+    early, late = ({specs.INVOICES: side[specs.INVOICES]} for side in logs)
+    only = [specs.FATO_FATURAMENTO]
+    run_pipeline(spark, early, root, models=only, run_ts=NOW, apply_deletes=True)
+    run_pipeline(spark, late, root, models=only, run_ts=NOW, apply_deletes=True)
+    feed = late[specs.INVOICES]
+    changes = spark.read.parquet(feed.log).filter("CHAVE_NFE is not null")
+    expected = snapshot_as_of(changes, 99, ["CHAVE_NFE"], feed.tiebreak)
+    result = gold(spark, root, "fato_faturamento")
+    keys = ("FaturamentoChaveNF", "FaturamentoNumeroNF", "FaturamentoValorItem")
+    assert rows(result.select(*keys)) == rows(expected.select("CHAVE_NFE", "NR_NF", "VALOR_LIQUIDO"))
+
+
+def test_full_load_keeps_rows_and_defaults_codes(spark, sf_dir):
+    silver = fx.silver_invoices(spark, sf_dir)
+    full = gold_full(specs.FATO_FATURAMENTO, silver, NOW)
+    assert full.count() == silver.filter("CHAVE_NFE is not null").count()
+    lots = gold_full(specs.DIM_LOTE, silver, NOW)
+    assert lots.count() == silver.select("LOTE_INTERNO").filter("LOTE_INTERNO is not null").distinct().count()
+    spec = replace(specs.FATO_FATURAMENTO, undefined=("FaturamentoLote",))
+    assert gold_full(spec, silver).filter("FaturamentoLote = '99999999'").count() == silver.filter(
+        "LOTE_INTERNO is null and CHAVE_NFE is not null"
+    ).count()
+
+
+# control table
+
+
+def test_watermark_seed_and_advance(spark):
+    seed = control.watermark_seed(spark, specs.SOURCES, NOW)
+    assert rows(seed.select("table_name", "last_processed_version")) == [
+        (name, 0) for name in sorted(specs.SOURCES)
+    ]
+    assert dict(seed.dtypes)["last_processed_version"] == "bigint"
+    done = spark.createDataFrame(
+        [(specs.INVOICES, 4), (specs.INVOICES, 2), (specs.STOCK, None), ("new", 1)],
+        "table_name string, last_processed_version long",
+    )
+    later = literal_timestamp("2024-03-01 00:00:00")
+    raised = control.watermark_advance(seed, done, later)
+    assert rows(raised.select("table_name", "last_processed_version")) == [
+        ("new", 1), (specs.BRANCHES, 0), (specs.INVOICES, 4), (specs.STOCK, 0)
+    ]
+    back = spark.createDataFrame([(specs.INVOICES, 1)], "table_name string, last_processed_version long")
+    assert rows(control.watermark_advance(raised, back, NOW)) == rows(raised)
+    assert control.watermark_lookup(raised, specs.INVOICES).first()[0] == 4
+    assert control.watermark_lookup(raised, "unknown").first()[0] == 0
+    assert [control.start_version(v) for v in (0, 1, 6)] == [0, 2, 7]
+
+
+# publishing
+
+
+def test_publish_is_incremental(spark, two_runs, root):
+    spec = specs.PUBLISHED["fato_faturamento"]
+    old, new = (gold(spark, two_runs[0], "fato_faturamento", v) for v in (0, 1))
+    old = old.withColumn(specs.STAMP, literal_timestamp("1996-01-01 00:00:00"))
+    first = publish(spark, spec, old, root)
+    assert (first.status, first.rows) == ("published", old.count())
+    assert read_version(spark, root).dtypes[12] == ("FaturamentoValorItem", "decimal(18,2)")
+    again = publish(spark, spec, old, root)
+    assert (again.status, again.rows) == ("nothing new", 0)
+    assert current_version(spark, root) == 0
+    publish(spark, spec, new, root)
+    result = read_version(spark, root)
+    newer = new.filter(F.col(specs.STAMP) > literal_timestamp("1996-01-01 00:00:00"))
+    assert result.join(newer, "FaturamentoChaveNF").count() == newer.count()
+    assert result.groupBy("FaturamentoChaveNF").count().filter("count > 1").count() == 0
+
+
+def test_inclusive_publish_reads_the_last_stamp_again(spark, root):
+    spec = specs.PUBLISHED["dim_lote"]
+    stamp = literal_timestamp("2024-01-01 00:00:00")
+
+    def lots(*names):
+        return spark.createDataFrame([(n,) for n in names], "LoteNumero string").withColumn(specs.STAMP, stamp)
+
+    publish(spark, spec, lots("a"), root)
+    assert publish(spark, spec, lots("a", "late"), root).rows == 0
+    assert publish(spark, spec, lots("a", "late"), root, inclusive=True).rows == 2
+    assert sorted(r.LoteNumero for r in read_version(spark, root).collect()) == ["a", "late"]
+
+
+def test_a_failing_table_does_not_stop_the_others(spark, two_runs, root):
+    bad = gold(spark, two_runs[0], "dim_lote").drop("LoteNumero")
+    jobs = [
+        (specs.PUBLISHED["dim_lote"], bad, f"{root}/lote"),
+        (specs.PUBLISHED["dim_filial"], gold(spark, two_runs[0], "dim_filial"), f"{root}/filial"),
+    ]
+    results = publish_all(spark, jobs)
+    assert [r.status for r in results] == ["failed", "published"]
+    assert "LoteNumero" in results[0].error and results[1].error is None
+    assert current_version(spark, f"{root}/lote") is None
+
+
+def order_rows(spark, *values):
+    """(pedido, item, status, time, deleted) as gold order rows."""
+    base = spark.createDataFrame(
+        values, "pedido_id int, item_id int, status string, dt_atualizacao string, is_deleted boolean"
+    ).withColumn("dt_atualizacao", F.to_timestamp("dt_atualizacao"))
+    for name, text in specs.ORDER_COLUMNS.items():
+        if name not in base.columns:
+            base = base.withColumn(name, F.lit(None).cast(text.replace("VARCHAR(50)", "STRING")))
+    return base
+
+
+def test_publish_with_history(spark, root):
+    target, history = f"{root}/orders", f"{root}/history"
+    spec, tiebreak = specs.FATO_PEDIDO, ("status",)
+    publish_with_history(
+        spark, spec,
+        order_rows(spark, (1, 1, "new", "2024-01-01", False), (1, 2, "new", "2024-01-01", None),
+                   (2, 1, "new", "2024-01-02", False)),
+        target, history, tiebreak,
+    )
+    assert read_version(spark, target).count() == 3
+    run = publish_with_history(
+        spark, spec,
+        order_rows(spark, (1, 1, "old", "2024-01-02", False), (1, 1, "sent", "2024-01-03", None),
+                   (1, 1, "paid", "2024-01-04", False), (1, 2, "gone", "2024-01-04", True),
+                   (3, 1, "new", "2024-01-05", None)),
+        target, history, tiebreak,
+    )
+    assert run.rows == 3
+    result = read_version(spark, target).select("pedido_id", "item_id", "status")
+    assert rows(result) == [(1, 1, "paid"), (2, 1, "new"), (3, 1, "new")]
+    archive = spark.read.parquet(history)
+    assert rows(archive.select("pedido_id", "item_id", "status", "change_type")) == [
+        (1, 1, "new", "UPDATE"), (1, 2, "new", "DELETE")
+    ]
+    assert archive.filter("valid_from < valid_to and not is_current").count() == 2
+    # a rerun of the same run after its target version was lost archives nothing twice
+    assert sorted(folder_names(spark, history)) == ["target_version=0", "target_version=1"]
+    idle = publish_with_history(
+        spark, spec, order_rows(spark, (1, 1, "late", "2023-01-01", False)), target, history, tiebreak
+    )
+    assert idle.status == "nothing new" and current_version(spark, target) == 1
+    write_version(read_version(spark, target), target)

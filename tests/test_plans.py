@@ -1,0 +1,172 @@
+"""Shapes of the physical plans, and keys that hold a third of all rows."""
+
+import re
+from contextlib import contextmanager
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakeops.catalog.queries import queries
+from lakeops.operators import quality, scd2
+from lakeops.operators.changes import snapshot_diff
+from lakeops.operators.latest import latest_by_key
+from lakeops.operators.merge import delete_insert, upsert
+from lakeops.plans import specs
+from lakeops.plans.models import gold_full
+from lakeops.sinks.staging import Staging
+
+
+@contextmanager
+def settings(spark, **values):
+    old = {k: spark.conf.get(k) for k in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffles(text):
+    return len(re.findall(r"(?<!Broadcast)(?<!Reused)Exchange ", text))
+
+
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+SMALL_PARTITIONS = {
+    **NO_BROADCAST,
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+}
+
+
+@pytest.fixture(scope="module")
+def hot(spark, tmp_path_factory):
+    """90,000 stored rows of 20,001 keys; key 0 holds a third of them."""
+    path = f"file://{tmp_path_factory.mktemp('hot')}/rows"
+    (
+        spark.range(0, 90000, 1, 8)
+        .select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 20000 + 1).alias("k"),
+            "id",
+            F.md5(F.col("id").cast("string")).alias("payload"),
+        )
+        .write.parquet(path)
+    )
+    return spark.read.parquet(path)
+
+
+def test_latest_limits_groups_before_its_only_shuffle(spark, hot):
+    df = latest_by_key(hot, ["k"], "id", ["payload"])
+    text = plan(df)
+    assert shuffles(text) == 1
+    assert re.search(r"WindowGroupLimit .*Final(.|\n)*Exchange(.|\n)*WindowGroupLimit .*Partial", text)
+    assert df.filter("k = 0").first().id == 89997
+
+
+def shuffled_rows(df):
+    """Rows written by the shuffles of an executed query."""
+    df.collect()
+    executed = df._jdf.queryExecution().executedPlan()
+    leaves = executed.executedPlan().toString()
+    assert "isFinalPlan=true" in executed.toString() or leaves
+    metrics = []
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "ShuffleQueryStageExec":
+            walk(node.plan())
+            return
+        if name == "ShuffleExchangeExec":
+            metrics.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(executed.executedPlan())
+    return metrics
+
+
+def test_a_hot_key_is_reduced_before_the_shuffle(spark, hot):
+    latest = latest_by_key(hot.filter("k = 0"), ["k"], "id", ["payload"])
+    assert sum(shuffled_rows(latest)) <= 8
+    repeated = quality.repeated_keys(hot.filter("k = 0"), ["k"])
+    assert sum(shuffled_rows(repeated)) <= 8
+    same = hot.select(F.lit("x").alias("x"), F.lit(1).alias("y"))
+    assert sum(shuffled_rows(quality.reconcile(same, same))) <= 16
+
+
+def test_difference_both_ways_is_one_shuffle(spark, hot):
+    text = plan(quality.reconcile(hot, hot.filter("id > 10")))
+    assert shuffles(text) == 1 and "Join" not in text
+
+
+def test_small_increment_leaves_the_target_unshuffled(spark, hot):
+    staged = Staging(spark)(hot.filter("id < 50").dropDuplicates(["k"]), "rows")
+    text = plan(upsert(hot, staged, ["k"]))
+    assert shuffles(text) == 0 and "BroadcastHashJoin" in text
+    text = plan(delete_insert(hot, hot.filter("id < 50"), ["k"], Staging(spark)))
+    assert shuffles(text) == 0 and "BroadcastHashJoin" in text
+
+
+def test_large_increment_is_not_broadcast(spark, hot):
+    with settings(spark, **NO_BROADCAST):
+        staged = Staging(spark)(hot.dropDuplicates(["k"]), "rows")
+        text = plan(upsert(hot, staged, ["k"]))
+    assert "SortMergeJoin" in text and "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_null_safe_upsert_is_an_equi_join(spark, hot):
+    with settings(spark, **NO_BROADCAST):
+        text = plan(upsert(hot, hot.dropDuplicates(["k", "id"]), ["k", "id"], null_safe=True))
+    assert "SortMergeJoin [coalesce(" in text and "NestedLoop" not in text
+
+
+@pytest.mark.parametrize("case", ["delete_insert", "upsert", "close_out", "snapshot_diff"])
+def test_hot_target_key_is_split_by_aqe(spark, hot, case):
+    with settings(spark, **SMALL_PARTITIONS):
+        staging = Staging(spark)
+        if case == "delete_insert":
+            df = delete_insert(hot, hot.filter("id >= 60000 and k > 0"), ["k"], staging)
+        elif case == "upsert":
+            rows = staging(hot.filter("id >= 60000 and k > 0").dropDuplicates(["k"]), "rows")
+            df = upsert(hot, rows, ["k"])
+        elif case == "close_out":
+            history = hot.select(
+                "id", "payload", F.col("k").cast("string").alias("hash_value"),
+                F.lit(None).cast("timestamp_ntz").alias("data_fim"), F.lit(True).alias("ativo"),
+            )
+            df = scd2.close_out(history, history.filter("hash_value > '5'"), F.lit("2024-01-01"), staging)
+        else:
+            df = snapshot_diff(hot, hot.withColumn("payload", F.upper("payload")), ["k"], staging)
+        df.collect()
+        assert "skew=true" in plan(df)
+
+
+def test_column_pruning_and_pushdown_reach_the_scan(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumnRenamed("l_returnflag", "COD_TRATAMENTO")
+    text = plan(gold_full(specs.DIM_TRATAMENTO_SEMENTE, lines, F.lit("2024-01-01")))
+    assert "ReadSchema: struct<l_returnflag:string>" in text
+    assert "IsNotNull(l_returnflag)" in text
+    since = plan(queries()["incremental_since"](spark, sf_dir))
+    assert "GreaterThan(ts," in since
+
+
+@pytest.mark.parametrize("name", ["gold_incr_dim_cliente", "gold_full_dim_lote", "dq_not_null"])
+def test_no_full_width_scans(spark, sf_dir, name):
+    with settings(spark, **{"spark.sql.maxMetadataStringLength": "1000"}):
+        text = plan(queries()[name](spark, sf_dir))
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    assert schemas and all(len(s.split(",")) <= 8 for s in schemas)
+
+
+@pytest.mark.parametrize("name", list(queries()))
+def test_no_nested_loops_or_python(spark, sf_dir, name):
+    text = plan(queries()[name](spark, sf_dir))
+    for operator in ("NestedLoop", "CartesianProduct", "Python", "Pandas", "CollectLimit"):
+        assert operator not in text
