@@ -105,11 +105,11 @@ def _lines(spark: SparkSession, sf_dir: str, needed: Iterable[str]) -> DataFrame
 
 
 def _change_columns() -> list[Column]:
-    pair = F.concat("l_returnflag", F.lit("/"), "l_linestatus")
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     kind = (
-        F.when(pair == "R/F", DELETE)
-        .when(pair == "N/F", PREIMAGE)
-        .when(pair.isin("A/O", "R/O"), POSTIMAGE)
+        F.when((flag == "R") & (status == "F"), DELETE)
+        .when((flag == "N") & (status == "F"), PREIMAGE)
+        .when(flag.isin("A", "R") & (status == "O"), POSTIMAGE)
         .otherwise(INSERT)
     )
     return [

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.columns import match_keys
 
-# Writes a frame under a name and returns a scan of it (lakeops.sinks.staging).
-Stage = Callable[[DataFrame, str], DataFrame]
-
 
 def without_keys(
     target: DataFrame,
@@ -19,21 +16,22 @@ def without_keys(
     keys: Sequence[str],
     null_safe: bool = False,
     unique: bool = False,
-    stage: Stage | None = None,
 ) -> DataFrame:
     """Target rows whose key is not in the source (DELETE ... USING source).
 
-    Source keys are made distinct first, so a repeated key costs one row;
-    ``unique`` says they are already. ``stage`` writes the distinct keys to a table
-    of known size. Spark then broadcasts a small key list and the target is not
-    shuffled at all; a large one is joined straight from its scan, the shape in
-    which AQE can split a key that is hot in the target.
+    Source keys are made distinct first, so a repeated key costs one row, unless
+    ``unique`` says they are already. A key list that is small (by the size of its
+    files, or as measured at run time) is broadcast and the target is not shuffled;
+    a large one is joined by sort-merge, where AQE splits a key that is hot in the
+    target. It only does so for a join input that comes straight from a shuffle,
+    not from an aggregation: the null-safe comparison has join keys of its own and
+    so puts a shuffle of the distinct keys in between.
     """
     hits = source.select(*keys)
+    if not null_safe:
+        hits = hits.dropna()
     if not unique:
-        hits = hits.distinct()
-        if stage is not None:
-            hits = stage(hits, "keys")
+        hits, null_safe = hits.distinct(), True
     match = match_keys("target", "hits", keys, null_safe)
     return target.alias("target").join(hits.alias("hits"), match, "left_anti")
 
@@ -50,34 +48,24 @@ def upsert(
     return kept.unionByName(source)
 
 
-def delete_insert(
-    target: DataFrame, staged: DataFrame, keys: Sequence[str], stage: Stage | None = None
-) -> DataFrame:
+def delete_insert(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Delete target rows whose key is staged, then insert every staged row.
 
     Unlike :func:`upsert` the staged rows may repeat a key; all of them survive.
     """
-    kept = without_keys(target, staged, keys, stage=stage)
+    kept = without_keys(target, staged, keys)
     return kept.unionByName(staged.select(*target.columns))
 
 
 def apply_tombstones(
-    target: DataFrame,
-    staged: DataFrame,
-    keys: Sequence[str],
-    flag: str = "is_deleted",
-    stage: Stage | None = None,
+    target: DataFrame, staged: DataFrame, keys: Sequence[str], flag: str = "is_deleted"
 ) -> DataFrame:
     """Remove target rows with a staged row flagged as deleted (NULL is not)."""
-    return without_keys(target, staged.filter(F.col(flag)), keys, stage=stage)
+    return without_keys(target, staged.filter(F.col(flag)), keys)
 
 
 def publish_with_deletes(
-    target: DataFrame,
-    staged: DataFrame,
-    keys: Sequence[str],
-    flag: str = "is_deleted",
-    stage: Stage | None = None,
+    target: DataFrame, staged: DataFrame, keys: Sequence[str], flag: str = "is_deleted"
 ) -> DataFrame:
     """Apply tombstones, then replace the rows staged as live.
 
@@ -86,4 +74,4 @@ def publish_with_deletes(
     """
     flagged = staged.filter(F.col(flag).isNotNull())
     live = staged.filter(~F.col(flag)).select(*target.columns)
-    return without_keys(target, flagged, keys, stage=stage).unionByName(live)
+    return without_keys(target, flagged, keys).unionByName(live)

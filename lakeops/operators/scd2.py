@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.functions.columns import stamp_column
+from lakeops.functions.columns import match_keys, stamp_column
 from lakeops.operators.difference import LEFT, RIGHT, two_way_difference
 
 # The bookkeeping columns of a versioned table.
@@ -105,25 +105,23 @@ def close_out(
     history: DataFrame,
     deleted: DataFrame,
     run_ts: Column | datetime | None = None,
-    stage: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """End the active rows whose hash is among the deleted ones; keep all others.
 
-    Rows closed earlier keep their end even if they share the hash. ``stage``
-    writes the distinct hashes to a table of known size, as in ``without_keys``.
+    Rows closed earlier keep their end even if they share the hash. The join is
+    null-safe for the reason given at ``without_keys``; NULL hashes match nothing.
     """
-    gone = deleted.select(HASH).distinct()
-    if stage is not None:
-        gone = stage(gone, "closed_hashes")
-    gone = gone.withColumn("_gone", F.lit(True))
+    gone = deleted.select(HASH).dropna().distinct().withColumn("_gone", F.lit(True))
     hit = F.col("_gone") & F.col(ACTIVE)
     end = stamp_column(run_ts).cast(history.schema[END].dataType)
-    joined = history.join(gone, HASH, "left")
-    return joined.select(
-        *[c for c in history.columns if c not in (END, ACTIVE)],
-        F.when(hit, end).otherwise(F.col(END)).alias(END),
-        F.when(hit, F.lit(False)).otherwise(F.col(ACTIVE)).alias(ACTIVE),
-    ).select(*history.columns)
+    joined = history.alias("history").join(
+        gone.alias("gone"), match_keys("history", "gone", [HASH], null_safe=True), "left"
+    )
+    replaced = {
+        END: F.when(hit, end).otherwise(F.col(END)).alias(END),
+        ACTIVE: F.when(hit, F.lit(False)).otherwise(F.col(ACTIVE)).alias(ACTIVE),
+    }
+    return joined.select(*[replaced.get(c, F.col(f"history.{c}")) for c in history.columns])
 
 
 def scd2_apply(
@@ -141,7 +139,7 @@ def scd2_apply(
     changes = snapshot_changes(history, current)
     if stage is not None:
         changes = stage(changes, "scd2_changes")
-    closed = close_out(history, changes.filter(F.col("_side") == LEFT), run_ts, stage)
+    closed = close_out(history, changes.filter(F.col("_side") == LEFT), run_ts)
     added = (
         changes.filter((F.col("_side") == RIGHT) & F.col("_live"))
         .withColumn(ACTIVE, F.lit(True))

@@ -12,7 +12,6 @@ from lakeops.functions.columns import default_code, stamp_column
 from lakeops.operators.changes import (
     CHANGE_TYPE,
     COMMIT_TIME,
-    DELETE,
     PREIMAGE,
     VERSION,
     upserts_only,
@@ -67,26 +66,23 @@ def newest_changes(
     return latest_by_key(kept, spec.source_keys, VERSION, tiebreak)
 
 
-def gold_increment(
-    spec: ModelSpec,
-    changes: DataFrame,
-    tiebreak: Sequence[str],
-    stamp: Column | None = None,
-) -> DataFrame:
-    """One row per key from a change feed, stamped with its commit time.
+def project_changes(spec: ModelSpec, newest: DataFrame, stamp: Column | None = None) -> DataFrame:
+    """Gold rows of changes, stamped with their commit time.
 
     Another stamp takes the commit time's type, so that first loads and later
     increments can be merged.
     """
-    newest = newest_changes(spec, changes, tiebreak)
     time = F.col(COMMIT_TIME)
     if stamp is not None:
-        time = stamp.cast(changes.schema[COMMIT_TIME].dataType)
+        time = stamp.cast(newest.schema[COMMIT_TIME].dataType)
     return project(spec, newest, time)
 
 
-def deleted_keys(spec: ModelSpec, changes: DataFrame, tiebreak: Sequence[str]) -> DataFrame:
-    """Gold keys whose newest change is a delete."""
-    newest = newest_changes(spec, changes, tiebreak, deletes=True)
-    gone = newest.filter(F.col(CHANGE_TYPE) == DELETE)
-    return gone.select(*[F.col(spec.columns[k]).alias(k) for k in spec.keys])
+def gold_increment(
+    spec: ModelSpec,
+    changes: DataFrame,
+    tiebreak: Sequence[str],
+    stamp: Column | None = None,
+) -> DataFrame:
+    """One row per key from a change feed, stamped with its commit time."""
+    return project_changes(spec, newest_changes(spec, changes, tiebreak), stamp)

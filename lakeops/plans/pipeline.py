@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.columns import stamp_column
-from lakeops.operators.changes import VERSION
-from lakeops.operators.merge import upsert, without_keys
+from lakeops.operators.changes import CHANGE_TYPE, DELETE, VERSION
+from lakeops.operators.merge import without_keys
 from lakeops.operators.quality import check_model
 from lakeops.plans.control import (
     LAST,
@@ -21,9 +21,9 @@ from lakeops.plans.control import (
     watermark_lookup,
     watermark_seed,
 )
-from lakeops.plans.models import deleted_keys, gold_increment
+from lakeops.plans.models import newest_changes, project_changes
 from lakeops.plans.specs import MODELS, ModelSpec
-from lakeops.sinks.staging import Staging
+from lakeops.sinks.staging import Staging, count_rows
 from lakeops.sinks.tables import current_version, read_version, write_version
 from lakeops.sources.registry import open_changes
 
@@ -56,35 +56,42 @@ def run_model(
     gold_root: str,
     run_ts: Column | datetime | None = None,
     apply_deletes: bool = False,
+    checks: bool = True,
 ) -> ModelRun:
     """Merge the changes into a model's gold table and check the result.
 
-    A table that does not exist yet is a first load, stamped with the run time.
-    The newest rows are staged before the merge: they are computed once, counted
-    on the way, and small increments are then broadcast against the gold table.
+    A table that does not exist yet is a first load, stamped with the run time and
+    written directly. Later, the newest changes are staged before the merge: they
+    are computed once, counted on the way, and Spark knows their size when it
+    chooses how to join them to the gold table.
     """
     first = current_version(spark, gold_root) is None
-    staging = Staging(spark)
-    stamp = stamp_column(run_ts) if first else None
-    rows = staging(gold_increment(spec, changes, tiebreak, stamp), spec.name)
-    null_safe = not spec.require_key
+    newest = newest_changes(spec, changes, tiebreak, deletes=apply_deletes)
+    live = F.col(CHANGE_TYPE) != DELETE
     if first:
-        merged = rows
+        gold, counted = count_rows(
+            project_changes(spec, newest.filter(live), stamp_column(run_ts)), spec.name
+        )
+        version = write_version(gold, gold_root)
+        count = counted.get["rows"]
     else:
-        merged = upsert(read_version(spark, gold_root), rows, spec.keys, null_safe)
-    if apply_deletes:
-        merged = without_keys(
-            merged, deleted_keys(spec, changes, tiebreak), spec.keys, null_safe
+        staging = Staging(spark)
+        staged = staging(newest, spec.name)
+        count = staging.rows[spec.name]
+        # changed keys leave the table, also the deleted ones; live rows come back
+        keys = staged.select(*[F.col(spec.columns[k]).alias(k) for k in spec.keys])
+        kept = without_keys(
+            read_version(spark, gold_root), keys, spec.keys, not spec.require_key, unique=True
         )
-    version = write_version(merged, gold_root)
-    count = staging.rows[spec.name]
-    staging.clear()
+        merged = kept.unionByName(project_changes(spec, staged.filter(live)))
+        version = write_version(merged, gold_root)
+        staging.clear()
     failures = {}
-    if spec.not_null or spec.unique:
-        checks = check_model(read_version(spark, gold_root, version), spec.not_null, spec.unique)
+    if checks and (spec.not_null or spec.unique):
+        results = check_model(read_version(spark, gold_root, version), spec.not_null, spec.unique)
         failures = {
             f"{row.check_name}:{row.column_name}": row.failures
-            for row in checks.filter("failures > 0").collect()
+            for row in results.filter("failures > 0").collect()
         }
     return ModelRun(spec.name, "full" if first else "incremental", count, version, failures)
 
@@ -97,6 +104,7 @@ def run_pipeline(
     models: Sequence[ModelSpec] = tuple(MODELS.values()),
     run_ts: Column | datetime | None = None,
     apply_deletes: bool = False,
+    checks: bool = True,
 ) -> list[ModelRun]:
     """Run the models of every feed and then move the feed's watermark.
 
@@ -126,7 +134,9 @@ def run_pipeline(
                 continue
             changes = open_changes(spark, feed.log, start, newest, feed.file_format)
             results.append(
-                run_model(spark, spec, changes, feed.tiebreak, gold_root, run_ts, apply_deletes)
+                run_model(
+                    spark, spec, changes, feed.tiebreak, gold_root, run_ts, apply_deletes, checks
+                )
             )
         done = spark.range(1).select(
             F.lit(source).alias(TABLE), F.lit(newest).cast("long").alias(LAST)

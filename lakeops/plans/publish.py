@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import json
+import os
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from string import Template
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +23,31 @@ from lakeops.sinks.tables import current_version, read_version, write_version
 FIRST_STAMP = "1900-01-01"
 
 
+def load_publish_config(
+    text: str, environment: Mapping[str, str] | None = None
+) -> list[tuple[PublishSpec, str]]:
+    """Publish specs and their gold paths from a JSON config.
+
+    ``tables`` lists name, gold_path, redshift_table, primary_keys,
+    incremental_column and columns. ``${VAR}`` is replaced from the environment;
+    a name that is not there stays as it is.
+    """
+    filled = Template(text).safe_substitute(os.environ if environment is None else environment)
+    return [
+        (
+            PublishSpec(
+                table["name"],
+                table["redshift_table"],
+                tuple(table["primary_keys"]),
+                table["columns"],
+                table["incremental_column"],
+            ),
+            table["gold_path"],
+        )
+        for table in json.loads(filled)["tables"]
+    ]
+
+
 def target_high_water(target: DataFrame, column: str, default: str = FIRST_STAMP) -> DataFrame:
     """One row with the target's highest stamp, or the default if it is empty."""
     dtype = target.schema[column].dataType
@@ -68,7 +96,7 @@ def publish(
     staged = staging(cast_columns(increment, spec.columns, on_error), spec.table)
     rows = staging.rows[spec.table]
     if rows:
-        write_version(delete_insert(target, staged, spec.keys, staging), target_root)
+        write_version(delete_insert(target, staged, spec.keys), target_root)
     staging.clear()
     return Published(spec.name, rows, "published" if rows else "nothing new")
 
@@ -117,8 +145,7 @@ def publish_with_history(
         version = 0 if last is None else last + 1
         archived = history_capture(target, staged, spec.keys, spec.increment, flag)
         archived.write.mode("overwrite").parquet(f"{history_root}/target_version={version}")
-        published = publish_with_deletes(target, staged, spec.keys, flag, staging)
-        write_version(published, target_root)
+        write_version(publish_with_deletes(target, staged, spec.keys, flag), target_root)
     staging.clear()
     return Published(spec.name, rows, "published" if rows else "nothing new")
 

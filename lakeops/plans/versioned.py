@@ -6,11 +6,17 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from lakeops.operators.changes import as_first_load
-from lakeops.operators.scd2 import scd2_apply
 from lakeops.functions.columns import stamp_column
+from lakeops.operators.changes import as_first_load
+from lakeops.operators.scd2 import active_export, scd2_apply
 from lakeops.sinks.staging import Staging
-from lakeops.sinks.tables import append_changes, current_version, read_version, write_version
+from lakeops.sinks.tables import (
+    append_changes,
+    current_version,
+    export_parquet,
+    read_version,
+    write_version,
+)
 
 
 def save_versioned(
@@ -36,3 +42,18 @@ def save_versioned(
     version = write_version(scd2_apply(history, current, run_ts, staging), root)
     staging.clear()
     return version
+
+
+def export_active(
+    spark: SparkSession, root: str, folder: str, name: str | None = None
+) -> str | None:
+    """Export a table's active rows to ``folder/name`` and return that path.
+
+    The name is the table's own in lower case unless given; None is returned if
+    the table does not exist.
+    """
+    if current_version(spark, root) is None:
+        return None
+    path = f"{folder}/{name or root.rstrip('/').rsplit('/', 1)[-1].lower()}"
+    export_parquet(active_export(read_version(spark, root)), path)
+    return path

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import SparkSession
 
 # Everything else stays at Spark's defaults: the vectorized Parquet reader, the
@@ -15,6 +17,17 @@ SETTINGS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions_for(input_bytes: int) -> int:
+    """Shuffle partitions that keep each near 128 MB if all input is shuffled.
+
+    AQE merges partitions that turn out small, but it cannot add any: the number
+    must fit the largest shuffle of a job (about 800,000 for 100 TB).
+    """
+    return max(200, math.ceil(input_bytes / PARTITION_BYTES))
+
 
 def build_session(
     app_name: str = "lakeops",
@@ -22,12 +35,7 @@ def build_session(
     shuffle_partitions: int | None = None,
     **extra: str,
 ) -> SparkSession:
-    """A session with :data:`SETTINGS`.
-
-    On a cluster ``master`` comes from spark-submit and ``shuffle_partitions``
-    should be set high (AQE merges small partitions, it cannot split a small
-    number of them); tests set both.
-    """
+    """A session with :data:`SETTINGS`; on a cluster ``master`` comes from spark-submit."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

@@ -29,6 +29,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def count_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``df`` and the row count that its next action will have seen (``["rows"]``)."""
+    counted = Observation(f"{name}-{uuid.uuid4().hex}")
+    return df.observe(counted, F.count(F.lit(1)).alias("rows")), counted
+
+
 class Staging:
     """A run's own folder for intermediate tables.
 
@@ -51,8 +57,8 @@ class Staging:
         """
         path = f"{self.path}/{self._written}-{name}"
         self._written += 1
-        counted = Observation(f"{name}-{uuid.uuid4().hex}")
-        df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        observed, counted = count_rows(df, name)
+        observed.write.mode("overwrite").parquet(path)
         self.rows[name] = counted.get["rows"]
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -13,7 +13,12 @@ from lakeops.operators.quality import check_model
 from lakeops.plans import control, specs
 from lakeops.plans.models import gold_full, gold_increment
 from lakeops.plans.pipeline import Feed, run_pipeline
-from lakeops.plans.publish import publish, publish_all, publish_with_history
+from lakeops.plans.publish import (
+    load_publish_config,
+    publish,
+    publish_all,
+    publish_with_history,
+)
 from lakeops.sinks.files import folder_names
 from lakeops.sinks.tables import append_changes, current_version, read_version, write_version
 from lakeops.sources.registry import read_changes
@@ -182,6 +187,15 @@ def test_inclusive_publish_reads_the_last_stamp_again(spark, root):
     assert sorted(r.LoteNumero for r in read_version(spark, root).collect()) == ["a", "late"]
 
 
+def test_publish_config():
+    text = """{"target": "${UNKNOWN_NAME}", "tables": [{"name": "dim_lote",
+      "gold_path": "${BASE}/dim_lote", "redshift_table": "lote", "primary_keys": ["LoteNumero"],
+      "incremental_column": "data_atualizacao",
+      "columns": {"LoteNumero": "VARCHAR(100)", "data_atualizacao": "TIMESTAMP"}}]}"""
+    [(spec, path)] = load_publish_config(text, {"BASE": "file:///gold"})
+    assert spec == specs.PUBLISHED["dim_lote"] and path == "file:///gold/dim_lote"
+
+
 def test_a_failing_table_does_not_stop_the_others(spark, two_runs, root):
     bad = gold(spark, two_runs[0], "dim_lote").drop("LoteNumero")
     jobs = [

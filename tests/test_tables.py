@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.columns import literal_timestamp
 from lakeops.operators.changes import as_first_load
-from lakeops.plans.versioned import save_versioned
+from lakeops.plans.versioned import export_active, save_versioned
 from lakeops.sinks import tables
 from lakeops.sinks.files import delete_path, folder_names, path_exists
 from lakeops.sinks.staging import Staging, shared_folder
@@ -162,4 +162,9 @@ def test_versioned_table_on_storage(spark, root):
     assert sorted((r.v, r.ativo, r.data_fim is None) for r in result.collect()) == [
         ("a", False, False), ("b", True, True), ("c", True, True)
     ]
+    path = export_active(spark, table, f"{root}/exports")
+    assert path == f"{root}/exports/table"
+    assert sorted(r.v for r in tables.read_export(spark, path).collect()) == ["b", "c"]
+    assert tables.read_export(spark, path).columns == ["v"]
+    assert export_active(spark, f"{root}/nothing", f"{root}/exports") is None
     assert as_first_load(result, now).filter("_commit_version = 0").count() == 3

@@ -10,6 +10,7 @@ from lakeops.functions.types import (
     parse_type,
 )
 from lakeops.plans import specs
+from lakeops.session import shuffle_partitions_for
 
 
 @pytest.mark.parametrize("text, expected", [
@@ -82,3 +83,8 @@ def test_varchar_length_is_checked_on_write(spark):
     spark.sql(create_table_sql("ddl_short", {"a": "VARCHAR(3)"}))
     with pytest.raises(Exception, match="(?i)limit|length"):
         spark.sql("INSERT INTO ddl_short VALUES ('toolong')")
+
+
+def test_shuffle_partitions_grow_with_the_input():
+    assert shuffle_partitions_for(0) == 200
+    assert shuffle_partitions_for(100 * 2**40) == 819200
