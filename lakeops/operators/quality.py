@@ -30,15 +30,27 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def check_model(
     df: DataFrame, not_null: Sequence[str] = (), unique: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows ``(check_name, column_name, failures)``: NULL rows and repeated values."""
+    """Rows ``(check_name, column_name, failures)``: NULL rows and repeated values.
+
+    Columns tested for NULL alone share one pass; a column tested for repeats has
+    its NULLs counted in the same pass, as the group of NULL.
+    """
     names = ("check_name", "column_name", "failures")
     results = []
-    if not_null:
-        nulls = null_counts(df, not_null).select(F.lit("not_null"), "column_name", "null_rows")
+    nulls_only = [c for c in not_null if c not in unique]
+    if nulls_only:
+        nulls = null_counts(df, nulls_only).select(F.lit("not_null"), "column_name", "null_rows")
         results.append(nulls.toDF(*names))
     for column in unique:
-        repeats = repeated_keys(df, [column]).agg(F.count(F.lit(1)))
-        results.append(repeats.select(F.lit("unique"), F.lit(column), "*").toDF(*names))
+        groups = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+        missing = F.col(column).isNull()
+        failures = groups.agg(
+            F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias("not_null"),
+            F.count_if(~missing & (F.col("n") > 1)).alias("unique"),
+        )
+        kinds = ["not_null", "unique"] if column in not_null else ["unique"]
+        rows = failures.unpivot([], kinds, "check_name", "failures")
+        results.append(rows.select("check_name", F.lit(column), "failures").toDF(*names))
     if not results:
         raise ValueError("no checks given")
     return reduce(DataFrame.union, results)

@@ -108,20 +108,21 @@ def close_out(
 ) -> DataFrame:
     """End the active rows whose hash is among the deleted ones; keep all others.
 
-    Rows closed earlier keep their end even if they share the hash. The join is
-    null-safe for the reason given at ``without_keys``; NULL hashes match nothing.
+    Rows closed earlier keep their end even if they share the hash; they take no
+    part in the join. The join is null-safe for the reason given at
+    ``without_keys``; NULL hashes match nothing.
     """
     gone = deleted.select(HASH).dropna().distinct().withColumn("_gone", F.lit(True))
-    hit = F.col("_gone") & F.col(ACTIVE)
     end = stamp_column(run_ts).cast(history.schema[END].dataType)
-    joined = history.alias("history").join(
+    joined = active_rows(history).alias("history").join(
         gone.alias("gone"), match_keys("history", "gone", [HASH], null_safe=True), "left"
     )
     replaced = {
-        END: F.when(hit, end).otherwise(F.col(END)).alias(END),
-        ACTIVE: F.when(hit, F.lit(False)).otherwise(F.col(ACTIVE)).alias(ACTIVE),
+        END: F.when(F.col("_gone"), end).otherwise(F.col(END)).alias(END),
+        ACTIVE: F.col("_gone").isNull().alias(ACTIVE),
     }
-    return joined.select(*[replaced.get(c, F.col(f"history.{c}")) for c in history.columns])
+    active = joined.select(*[replaced.get(c, F.col(f"history.{c}")) for c in history.columns])
+    return active.unionByName(history.filter(~F.col(ACTIVE) | F.col(ACTIVE).isNull()))
 
 
 def scd2_apply(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.columns import stamp_column
-from lakeops.operators.changes import CHANGE_TYPE, DELETE, VERSION
+from lakeops.operators.changes import CHANGE_TYPE, DELETE
 from lakeops.operators.merge import without_keys
 from lakeops.operators.quality import check_model
 from lakeops.plans.control import (
@@ -25,7 +25,7 @@ from lakeops.plans.models import newest_changes, project_changes
 from lakeops.plans.specs import MODELS, ModelSpec
 from lakeops.sinks.staging import Staging, count_rows
 from lakeops.sinks.tables import current_version, read_version, write_version
-from lakeops.sources.registry import open_changes
+from lakeops.sources.registry import last_commit, open_changes
 
 
 @dataclass(frozen=True)
@@ -57,6 +57,7 @@ def run_model(
     run_ts: Column | datetime | None = None,
     apply_deletes: bool = False,
     checks: bool = True,
+    keep_versions: int | None = 2,
 ) -> ModelRun:
     """Merge the changes into a model's gold table and check the result.
 
@@ -75,17 +76,16 @@ def run_model(
         version = write_version(gold, gold_root)
         count = counted.get["rows"]
     else:
-        staging = Staging(spark)
-        staged = staging(newest, spec.name)
-        count = staging.rows[spec.name]
-        # changed keys leave the table, also the deleted ones; live rows come back
-        keys = staged.select(*[F.col(spec.columns[k]).alias(k) for k in spec.keys])
-        kept = without_keys(
-            read_version(spark, gold_root), keys, spec.keys, not spec.require_key, unique=True
-        )
-        merged = kept.unionByName(project_changes(spec, staged.filter(live)))
-        version = write_version(merged, gold_root)
-        staging.clear()
+        with Staging(spark) as staging:
+            staged = staging(newest, spec.name)
+            count = staging.rows[spec.name]
+            # changed keys leave the table, also the deleted ones; live rows come back
+            keys = staged.select(*[F.col(spec.columns[k]).alias(k) for k in spec.keys])
+            kept = without_keys(
+                read_version(spark, gold_root), keys, spec.keys, not spec.require_key, unique=True
+            )
+            merged = kept.unionByName(project_changes(spec, staged.filter(live)))
+            version = write_version(merged, gold_root, keep_versions)
     failures = {}
     if checks and (spec.not_null or spec.unique):
         results = check_model(read_version(spark, gold_root, version), spec.not_null, spec.unique)
@@ -105,6 +105,7 @@ def run_pipeline(
     run_ts: Column | datetime | None = None,
     apply_deletes: bool = False,
     checks: bool = True,
+    keep_versions: int | None = 2,
 ) -> list[ModelRun]:
     """Run the models of every feed and then move the feed's watermark.
 
@@ -112,6 +113,7 @@ def run_pipeline(
     columns of the new commits, which costs less than keeping full-width rows in a
     cache. The watermark moves once all models of the source are written, so a
     failed run is repeated from the same version; upserts make that safe.
+    ``keep_versions`` is how many versions of each table stay on storage.
     """
     base = f"{root}/{tenant}"
     control_root = f"{base}/control"
@@ -122,8 +124,7 @@ def run_pipeline(
         mine = [m for m in models if m.source == source]
         control = read_version(spark, control_root)
         last = watermark_lookup(control, source).first()[LAST]
-        unread = open_changes(spark, feed.log, last, None, feed.file_format)
-        newest = unread.agg(F.max(VERSION)).first()[0]
+        newest = last_commit(spark, feed.log, last, feed.file_format)
         if newest is None:
             continue
         for spec in mine:
@@ -135,11 +136,19 @@ def run_pipeline(
             changes = open_changes(spark, feed.log, start, newest, feed.file_format)
             results.append(
                 run_model(
-                    spark, spec, changes, feed.tiebreak, gold_root, run_ts, apply_deletes, checks
+                    spark,
+                    spec,
+                    changes,
+                    feed.tiebreak,
+                    gold_root,
+                    run_ts,
+                    apply_deletes,
+                    checks,
+                    keep_versions,
                 )
             )
         done = spark.range(1).select(
             F.lit(source).alias(TABLE), F.lit(newest).cast("long").alias(LAST)
         )
-        write_version(watermark_advance(control, done, run_ts), control_root)
+        write_version(watermark_advance(control, done, run_ts), control_root, keep_versions)
     return results

@@ -84,6 +84,7 @@ def publish(
     target_root: str,
     inclusive: bool = False,
     on_error: str = "raise",
+    keep_versions: int | None = 2,
 ) -> Published:
     """Publish one table: increment, casts, staging, delete+insert, next version.
 
@@ -92,12 +93,11 @@ def publish(
     target = open_target(spark, spec, target_root)
     since = target_high_water(target, spec.increment).first()[0]
     increment = incremental_since(gold, spec.increment, since, inclusive)
-    staging = Staging(spark)
-    staged = staging(cast_columns(increment, spec.columns, on_error), spec.table)
-    rows = staging.rows[spec.table]
-    if rows:
-        write_version(delete_insert(target, staged, spec.keys), target_root)
-    staging.clear()
+    with Staging(spark) as staging:
+        staged = staging(cast_columns(increment, spec.columns, on_error), spec.table)
+        rows = staging.rows[spec.table]
+        if rows:
+            write_version(delete_insert(target, staged, spec.keys), target_root, keep_versions)
     return Published(spec.name, rows, "published" if rows else "nothing new")
 
 
@@ -124,6 +124,7 @@ def publish_with_history(
     history_root: str,
     tiebreak: Sequence[str],
     flag: str = "is_deleted",
+    keep_versions: int | None = 2,
 ) -> Published:
     """Publish with tombstones, archiving the rows that are replaced or deleted.
 
@@ -137,16 +138,16 @@ def publish_with_history(
     declared = {**spec.columns, flag: "BOOLEAN"}
     typed = cast_columns(increment, declared).withColumn(flag, F.coalesce(flag, F.lit(False)))
     typed = latest_by_key(typed, spec.keys, spec.increment, tiebreak)
-    staging = Staging(spark)
-    staged = staging(typed, spec.table)
-    rows = staging.rows[spec.table]
-    if rows:
-        last = current_version(spark, target_root)
-        version = 0 if last is None else last + 1
-        archived = history_capture(target, staged, spec.keys, spec.increment, flag)
-        archived.write.mode("overwrite").parquet(f"{history_root}/target_version={version}")
-        write_version(publish_with_deletes(target, staged, spec.keys, flag), target_root)
-    staging.clear()
+    with Staging(spark) as staging:
+        staged = staging(typed, spec.table)
+        rows = staging.rows[spec.table]
+        if rows:
+            last = current_version(spark, target_root)
+            version = 0 if last is None else last + 1
+            archived = history_capture(target, staged, spec.keys, spec.increment, flag)
+            archived.write.mode("overwrite").parquet(f"{history_root}/target_version={version}")
+            published = publish_with_deletes(target, staged, spec.keys, flag)
+            write_version(published, target_root, keep_versions)
     return Published(spec.name, rows, "published" if rows else "nothing new")
 
 

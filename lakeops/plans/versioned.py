@@ -5,10 +5,11 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeops.functions.columns import stamp_column
 from lakeops.operators.changes import as_first_load
-from lakeops.operators.scd2 import active_export, scd2_apply
+from lakeops.operators.scd2 import ACTIVE, active_export, scd2_apply
 from lakeops.sinks.staging import Staging
 from lakeops.sinks.tables import (
     append_changes,
@@ -19,29 +20,34 @@ from lakeops.sinks.tables import (
 )
 
 
+def read_versioned(spark: SparkSession, root: str) -> DataFrame:
+    """A versioned table; a filter on ``ativo`` reads only that part of the files."""
+    return read_version(spark, root).withColumn(ACTIVE, F.col(ACTIVE).cast("boolean"))
+
+
 def save_versioned(
     spark: SparkSession,
     current: DataFrame,
     root: str,
     run_ts: Column | datetime | None = None,
     change_log: str | None = None,
+    keep_versions: int | None = 2,
 ) -> int:
     """Bring a versioned table up to ``current`` and return its new version.
 
     The first load stores the rows as they are, and as the first commit of
-    ``change_log`` if one is kept; later loads end and append rows.
+    ``change_log`` if one is kept; later loads end and append rows. Active and
+    ended rows are stored apart: comparing snapshots reads the active ones only.
     """
     if current_version(spark, root) is None:
-        version = write_version(current.hint("rebalance"), root)
+        version = write_version(current.hint("rebalance"), root, partition_by=[ACTIVE])
         if change_log:
-            stored = read_version(spark, root, version)
+            stored = read_versioned(spark, root)
             append_changes(as_first_load(stored, stamp_column(run_ts)), change_log)
         return version
-    staging = Staging(spark)
-    history = read_version(spark, root)
-    version = write_version(scd2_apply(history, current, run_ts, staging), root)
-    staging.clear()
-    return version
+    with Staging(spark) as staging:
+        result = scd2_apply(read_versioned(spark, root), current, run_ts, staging)
+        return write_version(result, root, keep_versions, [ACTIVE])
 
 
 def export_active(
@@ -55,5 +61,5 @@ def export_active(
     if current_version(spark, root) is None:
         return None
     path = f"{folder}/{name or root.rstrip('/').rsplit('/', 1)[-1].lower()}"
-    export_parquet(active_export(read_version(spark, root)), path)
+    export_parquet(active_export(read_versioned(spark, root)), path)
     return path

@@ -40,7 +40,8 @@ class Staging:
 
     Writing a result that is used twice cuts its lineage with a copy that outlives
     lost executors, and reading it back gives Spark its exact size, on which the
-    choice of a broadcast join then rests.
+    choice of a broadcast join then rests. As a context manager it drops its folder
+    at the end, also after a failure.
     """
 
     def __init__(self, spark: SparkSession, run_id: str | None = None):
@@ -49,6 +50,12 @@ class Staging:
         self.rows: dict[str, int] = {}
         self._written = 0
 
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.clear()
+
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and return a scan of it; its row count lands in ``rows``.
 

@@ -21,19 +21,26 @@ SINGLE_FILE_BYTES = 256 * 1024 * 1024
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
-    done = [
-        int(name[2:])
-        for name in folder_names(spark, root)
-        if name.startswith("v=") and path_exists(spark, f"{root}/{name}/_SUCCESS")
-    ]
-    return max(done, default=None)
+    found = (int(n[2:]) for n in folder_names(spark, root) if n.startswith("v="))
+    for version in sorted(found, reverse=True):
+        if path_exists(spark, f"{root}/v={version}/_SUCCESS"):
+            return version
+    return None
 
 
-def write_version(df: DataFrame, root: str) -> int:
-    """Write the next version of a table and return its number."""
+def write_version(
+    df: DataFrame, root: str, keep: int | None = None, partition_by: Sequence[str] = ()
+) -> int:
+    """Write the next version of a table and return its number.
+
+    With ``keep``, only that many versions stay, the new one included; at least 2
+    lets a query that has started on the version before run to its end.
+    """
     last = current_version(df.sparkSession, root)
     version = 0 if last is None else last + 1
-    df.write.mode("overwrite").parquet(f"{root}/v={version}")
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/v={version}")
+    if keep:
+        drop_versions_before(df.sparkSession, root, version - keep + 1)
     return version
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators.changes import VERSION
+from lakeops.sinks.files import folder_names
 
 
 @dataclass(frozen=True)
@@ -51,11 +52,36 @@ def read_changes(
     return feed
 
 
+def commit_versions(spark: SparkSession, log: str) -> list[int]:
+    """Commits of a change log, oldest first; lists one folder level, reads no data."""
+    prefix = f"{VERSION}="
+    names = folder_names(spark, log)
+    return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+
+
+def last_commit(
+    spark: SparkSession, log: str, start_version: int, file_format: str = "parquet"
+) -> int | None:
+    """The newest commit from ``start_version`` on; None if there is none."""
+    if file_format == "parquet":
+        newest = max(commit_versions(spark, log), default=-1)
+        return newest if newest >= start_version else None
+    changes = open_changes(spark, log, start_version, None, file_format)
+    return changes.agg(F.max(VERSION)).first()[0]
+
+
 def open_changes(
-    spark: SparkSession, log: str, start_version: int, end_version: int | None = None,
+    spark: SparkSession,
+    log: str,
+    start_version: int,
+    end_version: int | None = None,
     file_format: str = "parquet",
 ) -> DataFrame:
-    """The change feed at a location: a change log, or a Delta table's own feed."""
+    """The change feed at a location: a change log, or a Delta table's own feed.
+
+    Of a change log only the folders of the wanted commits are opened, so listing
+    files costs what is new and not what the log holds in all.
+    """
     if file_format == "delta":
         reader = (
             spark.read.format("delta")
@@ -65,6 +91,16 @@ def open_changes(
         if end_version is not None:
             reader = reader.option("endingVersion", end_version)
         return reader.load(log)
-    changes = spark.read.format(file_format).load(log)
+    versions = commit_versions(spark, log)
+    if not versions:
+        raise FileNotFoundError(f"no commits below {log}")
+    wanted = [
+        v for v in versions if v >= start_version and (end_version is None or v <= end_version)
+    ]
+    # with nothing wanted, the newest commit still gives the schema
+    paths = [f"{log}/{VERSION}={v}" for v in wanted or versions[-1:]]
+    if len(paths) == len(versions):
+        paths = [log]
+    changes = spark.read.option("basePath", log).parquet(*paths)
     changes = changes.withColumn(VERSION, F.col(VERSION).cast("long"))
     return read_changes(changes, start_version, end_version)

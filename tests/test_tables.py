@@ -6,12 +6,18 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.columns import literal_timestamp
 from lakeops.operators.changes import as_first_load
-from lakeops.plans.versioned import export_active, save_versioned
+from lakeops.plans.versioned import (
+    export_active,
+    read_versioned,
+    save_versioned,
+)
 from lakeops.sinks import tables
 from lakeops.sinks.files import delete_path, folder_names, path_exists
 from lakeops.sinks.staging import Staging, shared_folder
 from lakeops.sources.registry import (
     SourceSpec,
+    commit_versions,
+    last_commit,
     open_changes,
     read_source,
     register_sources,
@@ -29,6 +35,9 @@ def test_versions_move_on_and_old_ones_stay(spark, root):
     assert tables.read_version(spark, root, 0).count() == 3
     tables.drop_versions_before(spark, root, 1)
     assert folder_names(spark, root) == ["v=1"]
+    for n in range(3):
+        tables.write_version(spark.range(n), root, keep=2)
+    assert sorted(folder_names(spark, root)) == ["v=3", "v=4"]
 
 
 def test_an_unfinished_version_is_not_seen(spark, root):
@@ -57,6 +66,12 @@ def test_change_log_is_pruned_by_version_and_rewritten_by_commit(spark, root):
     assert log.count() == 20
     assert dict(log.dtypes)["_commit_version"] == "bigint"
     assert open_changes(spark, root, 0, 0).count() == 10
+    assert len(log.inputFiles()) < len(open_changes(spark, root, 0).inputFiles())
+    assert open_changes(spark, root, 7).count() == 0
+    assert commit_versions(spark, root) == [0, 1, 2]
+    assert last_commit(spark, root, 1) == 2 and last_commit(spark, root, 3) is None
+    with pytest.raises(FileNotFoundError):
+        open_changes(spark, f"{root}/missing", 0)
     plan = log._jdf.queryExecution().executedPlan().toString()
     filters = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
     assert "_commit_version" in filters and ">= 1" in filters
@@ -122,6 +137,10 @@ def test_staging_counts_and_is_cleared(spark):
     assert Staging(spark).path != staging.path
     staging.clear()
     assert not path_exists(spark, staging.path)
+    with pytest.raises(ZeroDivisionError), Staging(spark) as failing:
+        failing(spark.range(1), "one")
+        1 / 0
+    assert not path_exists(spark, failing.path)
 
 
 def test_export_is_one_file_only_if_small(spark, root):
@@ -158,7 +177,9 @@ def test_versioned_table_on_storage(spark, root):
     assert save_versioned(spark, load("a", "b"), table, now, log) == 0
     assert open_changes(spark, log, 0).filter("_change_type = 'insert'").count() == 2
     assert save_versioned(spark, load("b", "c"), table, now) == 1
-    result = tables.read_version(spark, table)
+    result = read_versioned(spark, table)
+    plan = result.filter("ativo")._jdf.queryExecution().executedPlan().toString()
+    assert "ativo" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
     assert sorted((r.v, r.ativo, r.data_fim is None) for r in result.collect()) == [
         ("a", False, False), ("b", True, True), ("c", True, True)
     ]
