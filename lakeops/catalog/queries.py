@@ -185,7 +185,7 @@ def incremental_run(spark: SparkSession, d: str) -> DataFrame:
     last = control.watermark_lookup(table, INVOICES).first()[control.LAST]
     state = gold_increment(FATO_FATURAMENTO, processed, tiebreak)
     rest = read_changes(feed, control.start_version(last))
-    rows = gold_increment(FATO_FATURAMENTO, rest, tiebreak)
+    rows = Staging(spark)(gold_increment(FATO_FATURAMENTO, rest, tiebreak), "rows")
     return upsert(state, rows, FATO_FATURAMENTO.keys)
 
 

@@ -28,14 +28,16 @@ def with_key(spec: ModelSpec, df: DataFrame) -> DataFrame:
     return df
 
 
-def project(spec: ModelSpec, df: DataFrame, stamp: Column) -> DataFrame:
-    """Rename to gold columns and add the stamp."""
+def project(
+    spec: ModelSpec, df: DataFrame, stamp: Column, extra: Sequence[str] = ()
+) -> DataFrame:
+    """Rename to gold columns and add the stamp, and columns kept under their name."""
 
     def gold(name: str, silver: str) -> Column:
         column = F.col(silver)
         return (default_code(column) if name in spec.undefined else column).alias(name)
 
-    return df.select(*[gold(n, s) for n, s in spec.columns.items()], stamp.alias(STAMP))
+    return df.select(*[gold(n, s) for n, s in spec.columns.items()], stamp.alias(STAMP), *extra)
 
 
 def gold_full(
@@ -75,7 +77,7 @@ def project_changes(spec: ModelSpec, newest: DataFrame, stamp: Column | None = N
     time = F.col(COMMIT_TIME)
     if stamp is not None:
         time = stamp.cast(newest.schema[COMMIT_TIME].dataType)
-    return project(spec, newest, time)
+    return project(spec, newest, time, [VERSION] if spec.keep_version else [])
 
 
 def gold_increment(

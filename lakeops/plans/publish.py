@@ -10,6 +10,7 @@ from string import Template
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from lakeops.functions.types import cast_columns, declared_schema
 from lakeops.operators.history import history_capture
@@ -19,8 +20,10 @@ from lakeops.plans.specs import PublishSpec
 from lakeops.sinks.staging import Staging
 from lakeops.sinks.tables import current_version, read_version, write_version
 
-# Fixed value: where an empty target starts.
+# Fixed value: where an empty target starts. A target published by commit version
+# starts before version 0.
 FIRST_STAMP = "1900-01-01"
+FIRST_VERSION = -1
 
 
 def load_publish_config(
@@ -48,9 +51,13 @@ def load_publish_config(
     ]
 
 
-def target_high_water(target: DataFrame, column: str, default: str = FIRST_STAMP) -> DataFrame:
-    """One row with the target's highest stamp, or the default if it is empty."""
+def target_high_water(
+    target: DataFrame, column: str, default: str | int | None = None
+) -> DataFrame:
+    """One row with the target's highest stamp (or version), or the default if empty."""
     dtype = target.schema[column].dataType
+    if default is None:
+        default = FIRST_VERSION if isinstance(dtype, NumericType) else FIRST_STAMP
     return target.agg(F.coalesce(F.max(column), F.lit(default).cast(dtype)).alias(column))
 
 
@@ -88,7 +95,10 @@ def publish(
 ) -> Published:
     """Publish one table: increment, casts, staging, delete+insert, next version.
 
-    The increment is counted while it is staged, not by a scan of its own.
+    The increment is counted while it is staged, not by a scan of its own. Stamps
+    come from two clocks (run time of a full load, commit time of an increment); a
+    model with ``keep_version`` can be published by ``_commit_version`` instead,
+    which skips nothing.
     """
     target = open_target(spark, spec, target_root)
     since = target_high_water(target, spec.increment).first()[0]

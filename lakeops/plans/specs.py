@@ -20,7 +20,8 @@ class ModelSpec:
     """A gold table made from one source by renaming columns.
 
     ``columns`` maps gold to silver names, ``keys`` are gold names. ``undefined``
-    lists gold columns whose NULLs become the "not defined" code.
+    lists gold columns whose NULLs become the "not defined" code. ``keep_version``
+    adds the commit version to gold, to publish by.
     """
 
     name: str
@@ -30,6 +31,7 @@ class ModelSpec:
     require_key: bool = True
     distinct_full: bool = False
     undefined: tuple[str, ...] = ()
+    keep_version: bool = False
     not_null: tuple[str, ...] = ()
     unique: tuple[str, ...] = ()
 

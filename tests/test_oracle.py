@@ -53,6 +53,11 @@ def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_entry(spark):
+    first, second = contract.entry(spark), contract.entry(spark)
+    assert first.schema == second.schema and first.count() > 0
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_same_result_as_sql(name, spark, duck):
     df = QUERIES[name](spark, SF_DIR)

@@ -187,6 +187,25 @@ def test_inclusive_publish_reads_the_last_stamp_again(spark, root):
     assert sorted(r.LoteNumero for r in read_version(spark, root).collect()) == ["a", "late"]
 
 
+def test_publish_by_version_finds_commits_older_than_the_last_load(spark, root):
+    """A commit stamped before the last published stamp is skipped by stamp only."""
+    model = replace(specs.DIM_LOTE, keep_version=True)
+    feed = spark.createDataFrame(
+        [("a", "insert", 0, datetime(2024, 1, 1)), ("b", "insert", 1, datetime(2023, 12, 1))],
+        "LOTE_INTERNO string, _change_type string, _commit_version long, _commit_timestamp timestamp",
+    )
+    columns = {"LoteNumero": "VARCHAR(100)", specs.STAMP: "TIMESTAMP", VERSION: "BIGINT"}
+    by_stamp = specs.PublishSpec("dim_lote", "lote", ("LoteNumero",), columns)
+    by_version = replace(by_stamp, increment=VERSION)
+    early = gold_increment(model, feed.filter("_commit_version = 0"), ["LOTE_INTERNO"], F.lit(NOW))
+    both = gold_increment(model, feed, ["LOTE_INTERNO"])
+    for spec, found in ((by_stamp, ["a"]), (by_version, ["a", "b"])):
+        target = f"{root}/{spec.increment}"
+        publish(spark, spec, early, target)
+        publish(spark, spec, both, target)
+        assert sorted(r.LoteNumero for r in read_version(spark, target).collect()) == found
+
+
 def test_publish_config():
     text = """{"target": "${UNKNOWN_NAME}", "tables": [{"name": "dim_lote",
       "gold_path": "${BASE}/dim_lote", "redshift_table": "lote", "primary_keys": ["LoteNumero"],
