@@ -35,7 +35,6 @@ from lakeops.plans.models import gold_full, gold_increment
 from lakeops.plans.publish import incremental_since, target_high_water
 from lakeops.plans.specs import (
     BRANCHES,
-    FATO_ESTOQUE,
     FATO_FATURAMENTO,
     INVOICES,
     MODELS,
