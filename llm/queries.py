@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from llm.near_dedup import near_duplicates
+from llm.order_minhash import edited_fingerprints
+from llm.quality_rules import quality_rules
+from llm.secret_scan import secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,5 +22,17 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(_table(spark, sf_dir, "documents")).drop("kinds")
+
+
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_near_dedup,)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_secret_scan, op3_order_minhash, op7_quality_rules)}
