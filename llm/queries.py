@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from llm.mixing import mixture
 from llm.near_dedup import near_duplicates
 from llm.order_minhash import edited_fingerprints
+from llm.packing import pack
 from llm.quality_rules import quality_rules
 from llm.secret_scan import secret_scan
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -30,9 +36,26 @@ def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(_table(spark, sf_dir, "documents"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(_table(spark, sf_dir, "documents"), TOKENIZER)
+    return pieces.withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_near_dedup, op2_secret_scan, op3_order_minhash, op7_quality_rules)}
+    named = (
+        op1_near_dedup,
+        op2_secret_scan,
+        op3_order_minhash,
+        op4_mixing,
+        op5_packing,
+        op7_quality_rules,
+    )
+    return {f.__name__: f for f in named}
