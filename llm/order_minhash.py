@@ -17,6 +17,7 @@ PLACE_BITS = 28
 HASH_BITS = 29
 BUCKET_BITS = 6
 CUT_PARTS = 3
+NULL_KEY = "cast(-10000000000000000000 as decimal(20,0))"
 WORD = r"[ \t-\r]+"
 
 
@@ -119,40 +120,46 @@ def _tuple_hash(first: Column, second: Column, bucket: Callable[[Column], Column
     return F.lower(F.lpad(F.hex(ordered.bitwiseAND(F.lit(0xFFFF).cast("long"))), 4, "0"))
 
 
+def entries(name: str) -> Column:
+    """The entries of a joined fingerprint."""
+    return F.regexp_extract_all(F.col(name), F.lit("(.{6})"), F.lit(1))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal entries among buckets that either sketch has; 1 for two without words."""
     buckets = lambda x: F.transform(x, lambda s: F.substring(s, 1, 2))
-    either = F.size(F.array_union(buckets(a), buckets(b)))
-    return F.when(either == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / either)
 
+    def share(x: Column, y: Column) -> Column:
+        either = F.size(F.array_union(buckets(x), buckets(y)))
+        return F.when(either == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(x, y)) / either)
+
+    return _let(a, lambda x: _let(b, lambda y: share(x, y)))
 
-def _neighbours(docs: DataFrame, stage: Staging) -> DataFrame:
-    """(doc_id, next_id, longest): the next id in descending order, nulls last, the first after the last.
 
-    Ids are dealt to ranges, ordered within them, and the gaps between ranges closed by
-    a table of one row a range; no task sees all ids.
+def _neighbours(keyed: DataFrame, stage: Staging) -> DataFrame:
+    """(key, longest, pick, next_key): the next smaller key; the largest after the smallest.
+
+    Keys are dealt to ranges, ordered within them, and the gaps between ranges closed by
+    a table of one row a range; no task sees all keys.
     """
-    ids = docs.groupBy("doc_id").agg(F.max(F.char_length("text")).alias("longest"), F.min(F.xxhash64("text")).alias("pick"))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = ids.repartitionByRange(parts, F.desc_nulls_last("doc_id")).withColumn("part", F.spark_partition_id())
-    ranged = stage(ranged.withColumn("is_null", F.col("doc_id").isNull()), "ranges")
-    within = "partition by part order by doc_id desc nulls last"
-    own = ranged.select(
-        "part", "doc_id", "longest", "pick",
-        F.expr(f"lead(doc_id) over ({within})").alias("next_id"),
-        F.expr(f"lead(is_null) over ({within})").alias("next_null"),
+    keys = keyed.groupBy("key").agg(
+        F.max(F.char_length("text")).alias("longest"), F.min(F.xxhash64("text")).alias("pick")
     )
-    firsts = ranged.groupBy("part").agg(F.max("doc_id").alias("first_id"))
-    round_trip = firsts.select(
-        F.col("part"),
-        F.expr("coalesce(lead(struct(first_id)) over (order by part), first_value(struct(first_id)) over (order by part))").alias("after"),
+    parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = keys.repartitionByRange(parts, F.desc("key")).withColumn("part", F.spark_partition_id())
+    ranged = stage(ranged, "ranges")
+    firsts = ranged.groupBy("part").agg(F.max("key").alias("first_key"))
+    following = firsts.select(
+        "part",
+        F.expr(
+            "coalesce(lead(first_key) over (order by part), first_value(first_key) over (order by part))"
+        ).alias("first_after"),
     )
-    joined = own.join(round_trip, "part")
-    return joined.select(
-        "doc_id",
-        "longest",
-        "pick",
-        F.when(F.col("next_null").isNotNull(), F.col("next_id")).otherwise(F.col("after.first_id")).alias("next_id"),
+    inside = F.expr("lead(key) over (partition by part order by key desc)")
+    return (
+        ranged.withColumn("inside", inside)
+        .join(following, "part")
+        .select("key", "longest", "pick", F.coalesce("inside", "first_after").alias("next_key"))
     )
 
 
@@ -172,40 +179,47 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     A place has 28 bits: k-mers beyond 268 million share places, not an error.
     """
     stage = Staging(docs.sparkSession)
-    own = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
-    )
+    # A null id is the smallest key.
+    key = F.coalesce(F.col(id_col).cast("long").cast("decimal(20,0)"), F.expr(NULL_KEY))
+    own = docs.select(key.alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     order = stage(_neighbours(own, stage), "order")
-    before = order.select(F.col("next_id").alias("of"), F.col("doc_id").alias("before_id"), F.col("longest").alias("need"))
-    picked = order.select(F.col("doc_id").alias("of"), "pick", "next_id")
-    before = before.join(picked.select("of", "pick"), before["of"].eqNullSafe(picked["of"])).drop(picked["of"])
-    cut = F.expr(f"left(text, cast(need div {CUT_PARTS} as int))")
+    # Signed before the exchange that both uses below share.
+    signed = own.select("key", "text", F.array_join(fingerprint(F.col("text")), "").alias("fingerprint"))
+
+    before = order.select(F.col("next_key").alias("key"), F.col("key").alias("before_key"), "longest")
+    before = before.join(order.select("key", "pick"), "key")
     following = (
-        own.join(before, own["doc_id"].eqNullSafe(before["of"]))
-        .where(F.xxhash64("text") == F.col("pick"))
-        .select("before_id", cut.alias("start"), F.array_join(fingerprint(F.col("text")), "").alias("next_fingerprint"))
-        .groupBy("before_id")
+        signed.join(before, "key")
+        # Not an equality of two sides, which would deal the texts anew by it.
+        .where(F.xxhash64("text").bitwiseXOR(F.col("pick")) == 0)
+        .select(
+            F.col("before_key").alias("key"),
+            F.expr(f"left(text, cast(longest div {CUT_PARTS} as int))").alias("start"),
+            F.col("fingerprint").alias("next_fingerprint"),
+        )
+        .groupBy("key")
         .agg(F.first("start").alias("start"), F.first("next_fingerprint").alias("next_fingerprint"))
     )
-    n = F.char_length("text")
-    k = F.floor(n / CUT_PARTS).cast("int")
-    whole = own.select("doc_id", "text", n.alias("n_chars"), k.alias("k"), fingerprint(F.col("text")).alias("own"))
-    joined = whole.join(following, F.col("doc_id").eqNullSafe(F.col("before_id")))
-    edited = joined.select(
-        "doc_id",
-        F.col("n_chars").cast("long").alias("n_chars"),
-        "own",
+    edited = signed.join(following, "key").withColumn("n_chars", F.char_length("text"))
+    edited = edited.select(
+        "key",
+        "n_chars",
+        "fingerprint",
         "next_fingerprint",
-        F.expr("concat(left(text, n_chars - k), left(start, k))").alias("edited"),
+        F.expr(
+            f"concat(left(text, cast(n_chars - n_chars div {CUT_PARTS} as int)), "
+            f"left(start, cast(n_chars div {CUT_PARTS} as int)))"
+        ).alias("edited"),
     )
-    signed = edited.select("*", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("edited")).alias("other"))
-    following_entries = F.regexp_extract_all("next_fingerprint", F.lit("(.{6})"), F.lit(1))
-    return signed.select(
-        "doc_id",
-        "n_chars",
+    edited = edited.select(
+        "*", F.sha2("edited", 256).alias("edited_sha256"), F.array_join(fingerprint(F.col("edited")), "").alias("other")
+    )
+    return edited.select(
+        F.when(F.col("key") != F.expr(NULL_KEY), F.col("key").cast("long")).alias("doc_id"),
+        F.col("n_chars").cast("long").alias("n_chars"),
         "edited_sha256",
-        F.array_join("own", "").alias("fingerprint"),
-        F.array_join("other", "").alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("other")).alias("near_edited"),
-        likeness(F.col("own"), following_entries).alias("near_next"),
+        "fingerprint",
+        F.col("other").alias("edited_fingerprint"),
+        likeness(entries("fingerprint"), entries("other")).alias("near_edited"),
+        likeness(entries("fingerprint"), entries("next_fingerprint")).alias("near_next"),
     )

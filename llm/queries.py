@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from llm.html_text import main_text
 from llm.mixing import mixture
 from llm.near_dedup import near_duplicates
 from llm.order_minhash import edited_fingerprints
 from llm.packing import pack
 from llm.quality_rules import quality_rules
 from llm.secret_scan import secret_scan
+from llm.warc import derivatives, responses
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -49,6 +51,30 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
+def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    derived = derivatives(responses(_table(spark, sf_dir, "pages")))
+    named = {
+        "record_type": "WARC-Type",
+        "record_id": "WARC-Record-ID",
+        "refers_to": "WARC-Refers-To",
+        "target_uri": "WARC-Target-URI",
+        "record_date": "WARC-Date",
+        "payload_digest": "WARC-Payload-Digest",
+        "block_digest": "WARC-Block-Digest",
+        "content_type": "Content-Type",
+    }
+    return derived.select(
+        F.col("source_id").alias("page_id"),
+        *(F.col("headers")[header].alias(name) for name, header in named.items()),
+        F.col("headers")["Content-Length"].cast("long").alias("content_length"),
+        "content",
+    )
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_near_dedup,
@@ -57,5 +83,7 @@ def queries() -> dict[str, Query]:
         op4_mixing,
         op5_packing,
         op7_quality_rules,
+        op8_html_text,
+        op10_warc_derivatives,
     )
     return {f.__name__: f for f in named}
