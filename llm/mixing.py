@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.sinks.staging import Staging
+from llm.rows import as_rows, from_rows
 
 WORDS = r"[^ \t-\r]+"
 SYMBOLS = "#*$%&|<>"
@@ -135,3 +136,40 @@ def planned(
     rest = F.floor(F.col("target")) - epochs * F.col("source_size")
     part = F.least(F.col("size"), F.greatest(rest - before, F.lit(0)))
     return rows.select(*kept, "source_size", "target", (epochs * F.col("size") + part).cast("long").alias("taken"))
+
+
+def mixed_documents(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    size_col: str | None = "n_chars",
+    weights: tuple[float, ...] = SOURCE_WEIGHTS,
+    share: float = BUDGET_SHARE,
+    most_epochs: float = MOST_EPOCHS,
+    seed: int = SEED,
+) -> DataFrame:
+    """The rows of the mix with all columns of ``docs``: once for each epoch that takes them.
+
+    As :func:`mixture`, whose decisions these are. The one document of a source that
+    gives only its first words has them joined by spaces; ``size_col``, where given, is
+    then the code points of that text.
+    """
+    stage = Staging(docs.sparkSession)
+    rows = as_rows(docs, doc_id=id_col, text=text_col, source=source_col)
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("size", word_count(F.col("text")))
+    key = -F.log(uniform(F.col("doc_id"), F.lit(seed))) / quality_weight(F.col("text"), F.col("size"))
+    mix = planned(rows.withColumn("key", key), stage, weights, share, most_epochs).where("taken > 0")
+    copies = F.concat(
+        F.array_repeat(F.col("size"), (F.col("taken") / F.col("size")).cast("int")),
+        F.filter(F.array(F.col("taken") % F.col("size")), lambda n: n > 0),
+    )
+    mix = mix.select("row", "text", "size", F.explode(copies).alias("words"))
+    first_words = F.slice(F.regexp_extract_all("text", F.lit(f"({WORDS})"), F.lit(1)), 1, F.col("words").cast("int"))
+    cut = F.col("words") < F.col("size")
+    mix = mix.withColumn("cut", cut).withColumn("text", F.when(cut, F.array_join(first_words, " ")).otherwise(F.col("text")))
+    if size_col is None:
+        return from_rows(mix, docs, **{text_col: "text"})
+    old = F.col(f"row.c{docs.columns.index(size_col)}")
+    mix = mix.withColumn("n", F.when(F.col("cut"), F.char_length("text").cast("long")).otherwise(old))
+    return from_rows(mix, docs, **{text_col: "text", size_col: "n"})

@@ -13,6 +13,7 @@ from lakeops.sinks.staging import Staging
 from llm import hyperminhash as hmh
 from llm.byteops import LOWER, shingle_hashes, span_hashes, text_chunks, word_bounds
 from llm.components import connected_components
+from llm.rows import as_rows, from_rows
 
 SHINGLE_WORDS = 5
 LINK_PERCENT = 85
@@ -195,6 +196,16 @@ def near_duplicates(
     )
 
 
+def keep_one_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", link_percent: int = LINK_PERCENT
+) -> DataFrame:
+    """The rows of ``docs`` that :func:`near_duplicates` keeps, with all their columns; null ids stay."""
+    found = near_duplicates(docs, id_col, text_col, link_percent)
+    gone = found.where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
+    rows = as_rows(docs, key=id_col).withColumn("key", F.col("key").cast("long"))
+    return from_rows(rows.join(gone.select(F.col(id_col).alias("key")), "key", "left_anti"), docs)
+
+
 def _bucket_members(classes: DataFrame) -> DataFrame:
     """(bucket, node, pivot) of all buckets with two classes or more; the pivot differs by bucket."""
     key = "transform(sequence(0, {}), i -> xxhash64(i, substring(registers, cast(i * {} + 1 as int), {})))"

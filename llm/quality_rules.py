@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.sinks.staging import Staging
+from llm.rows import as_rows, from_rows
 from llm.text_stats import rule_counts
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
@@ -94,6 +95,34 @@ def host_verdicts(counted: DataFrame) -> DataFrame:
     )
 
 
+def _verdict_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batch's rows with their counts."""
+    for batch in batches:
+        for rows, counts in rule_counts(batch.column("text")):
+            part = batch.slice(rows.start, rows.stop - rows.start)
+            yield pa.record_batch(
+                [part.column("row"), part.column("host"), *(pa.array(counts[c].astype("int64")) for c in COUNTS)],
+                names=["row", "host", *COUNTS],
+            )
+
+
+def keep_by_quality(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source"
+) -> DataFrame:
+    """The rows of ``docs`` that :func:`quality_rules` keeps, with all their columns.
+
+    Texts are read twice, for the hosts' rates and for the rows, and not shuffled.
+    """
+    stage = Staging(docs.sparkSession)
+    counted = document_counts(docs, id_col, text_col, host_col)
+    verdicts = stage(host_verdicts(counted), "hosts").select(F.col("host").alias("of"), "host_rejected")
+    rows = as_rows(docs, text=text_col, host=host_col)
+    kind = rows.schema["row"].dataType.simpleString()
+    counts = rows.mapInArrow(_verdict_batches, f"row {kind}, host string, " + ", ".join(f"{c} long" for c in COUNTS))
+    kept = counts.where(~rule_failed()).join(verdicts, F.col("host").eqNullSafe(F.col("of")))
+    return from_rows(kept.where("not host_rejected"), docs)
+
+
 def quality_rules(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source"
 ) -> DataFrame:

@@ -13,6 +13,8 @@ from llm.mixing import mixture
 from llm.near_dedup import near_duplicates
 from llm.order_minhash import edited_fingerprints
 from llm.packing import pack
+from llm.pii import personal_data
+from llm.quality_model import score_documents
 from llm.quality_rules import quality_rules
 from llm.secret_scan import secret_scan
 from llm.warc import derivatives, responses
@@ -47,6 +49,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
 
 
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -55,6 +61,10 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(_table(spark, sf_dir, "pages"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     derived = derivatives(responses(_table(spark, sf_dir, "pages")))
     named = {
@@ -82,8 +92,10 @@ def queries() -> dict[str, Query]:
         op3_order_minhash,
         op4_mixing,
         op5_packing,
+        op6_quality_model,
         op7_quality_rules,
         op8_html_text,
+        op9_personal_data,
         op10_warc_derivatives,
     )
     return {f.__name__: f for f in named}

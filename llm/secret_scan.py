@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from llm.rows import as_rows, from_rows
 from llm.trigrams import TrigramIndex, compiled
 
 BASE = ("assign", "access", "hex")
@@ -28,6 +29,7 @@ RULES = {
 }
 PATTERNS = {kind: pattern for kind, (pattern, _) in RULES.items()}
 ORDER = {kind: i for i, kind in enumerate(RULES)}
+REDACTED = "[SECRET]"
 _cache: dict[str, object] = {}
 
 
@@ -73,6 +75,50 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _redact_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    index, patterns = _tools()
+    for batch in batches:
+        texts = batch.column("text")
+        found: dict[int, list[tuple[int, int, str]]] = {}
+        for rows, candidates in index.segments(texts):
+            for kind, numbers in candidates.items():
+                for i in (numbers + rows.start).tolist():
+                    spans = spans_of(kind, patterns[kind], texts[i].as_py() or "")
+                    if spans:
+                        found.setdefault(i, []).extend(spans)
+        out = texts.to_pylist()
+        for i, spans in found.items():
+            out[i] = redacted(out[i], spans)
+        yield pa.record_batch([batch.column("row"), pa.array(out, pa.string())], names=["row", "text"])
+
+
+def redacted(text: str, spans: list[tuple[int, int, str]]) -> str:
+    """The text with each run of overlapping spans replaced by a mark."""
+    parts, at = [], 0
+    for start, end, _ in sorted(spans):
+        if start >= at:
+            parts += [text[at:start], REDACTED]
+        at = max(at, end)
+    return "".join([*parts, text[at:]])
+
+
+def redact_secrets(docs: DataFrame, text_col: str = "text", size_col: str | None = "n_chars") -> DataFrame:
+    """All rows and columns of ``docs``, secrets in the text replaced by ``[SECRET]``.
+
+    ``size_col``, where given, becomes the new text's code points. Rows without
+    secrets, null texts too, stay as they are.
+    """
+    rows = as_rows(docs, text=text_col)
+    kind = rows.schema["row"].dataType.simpleString()
+    done = rows.mapInArrow(_redact_batches, f"row {kind}, text string")
+    if size_col is None:
+        return from_rows(done, docs, **{text_col: "text"})
+    old = F.col(f"row.c{docs.columns.index(size_col)}")
+    changed = ~F.col("text").eqNullSafe(F.col(f"row.c{docs.columns.index(text_col)}").cast("string"))
+    done = done.withColumn("n", F.when(changed, F.char_length("text").cast("long")).otherwise(old))
+    return from_rows(done, docs, **{text_col: "text", size_col: "n"})
+
+
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Secrets of every row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, kinds.
 
