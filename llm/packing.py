@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,45 +21,81 @@ SPREAD = 8.0
 # Words given to the tokenizer at once, divided by a special token.
 ENCODE_WORDS = 4096
 SEPARATOR = "<|endoftext|>"
-_tokenizers: dict[str, object] = {}
+REMEMBERED = 250_000
+_encoders: dict[str, object] = {}
 
 
-def _tokenizer(path: str):
-    if path not in _tokenizers:
-        from tokenizers import Tokenizer
+class _Encoder:
+    """Ids of words by one tokenizer, remembered between batches of a worker.
 
-        _tokenizers[path] = Tokenizer.from_file(path)
-    return _tokenizers[path]
+    Words of Latin letters alone are one unit to the tokenizer, so many are encoded as
+    one text and told apart by the tokens that end a word. Others are divided by a
+    special token, which is never merged with its neighbours; words that hold such a
+    string go alone. The memory has two generations: what was not met during the last
+    REMEMBERED new words is forgotten.
+    """
 
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
-def encode_words(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, first): ids of each word, all in one array.
-
-    Words are encoded many at a time with a special token between them, which the
-    tokenizer never merges with its neighbours; words that hold such a string go alone.
-    """
-    tokenizer = _tokenizer(path)
-    split = tokenizer.token_to_id(SEPARATOR)
-    special = [i for i, w in enumerate(words) if "<|" in w]
-    alone = {i: tokenizer.encode(words[i], add_special_tokens=False).ids for i in special}
-    words = list(words)
-    for i in special:
-        words[i] = ""
-    parts, lengths = [], []
-    for begin in range(0, len(words), ENCODE_WORDS):
-        text = SEPARATOR.join(words[begin : begin + ENCODE_WORDS]) + SEPARATOR
-        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
-        ends = np.flatnonzero(ids == split)
-        lengths.append(np.diff(ends, prepend=-1) - 1)
-        parts.append(np.delete(ids, ends))
-    ids = np.concatenate([*parts, np.zeros(0, np.int64)])
-    length = np.concatenate([*lengths, np.zeros(0, np.int64)])
-    if alone:
-        pieces = np.split(ids, np.cumsum(length)[:-1])
-        for i, own in alone.items():
-            pieces[i] = np.array(own, np.int64)
-        ids, length = np.concatenate(pieces), np.array([len(x) for x in pieces])
-    return ids, np.concatenate([[0], np.cumsum(length)])
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.split = vocabulary[SEPARATOR]
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.recent: dict[int, bytes] = {}
+        self.earlier: dict[int, bytes] = {}
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2")
+
+    def encode(self, hashes: list[int], words: Callable[[list[int]], list[str]]) -> list[bytes]:
+        """Ids (two bytes each) of the words with these hashes; ``words`` spells out those at some places."""
+        out = [self.recent.get(h) or self.earlier.get(h) or b"" for h in hashes]
+        missing = [i for i, x in enumerate(out) if not x]
+        if missing:
+            for i, x in zip(missing, self._new(words(missing)), strict=True):
+                out[i] = x
+        for i in missing:
+            self.recent[hashes[i]] = out[i]
+        if len(self.recent) > REMEMBERED:
+            self.recent, self.earlier = {}, self.recent
+        return out
+
+    def _new(self, words: list[str]) -> list[bytes]:
+        out = [b""] * len(words)
+        plain = [i for i, w in enumerate(words) if w.isalpha() and max(w) < "\u0100"]
+        for part in _parts(plain):
+            ids = self.ids(" ".join([words[i] for i in part]))
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer does not end each word with a closing token")
+            _spread(out, part, ids, np.concatenate([[0], ends[:-1]]), ends)
+        known = set(plain)
+        for part in _parts([i for i, w in enumerate(words) if i not in known and "<|" not in w]):
+            ids = self.ids(SEPARATOR.join([words[i] for i in part]) + SEPARATOR)
+            ends = np.flatnonzero(ids == self.split)
+            _spread(out, part, ids, np.concatenate([[0], ends[:-1] + 1]), ends)
+        for i, word in enumerate(words):
+            if "<|" in word:
+                out[i] = self.ids(word).tobytes()
+        return out
+
+
+def _parts(numbers: list[int]) -> Iterator[list[int]]:
+    return (numbers[i : i + ENCODE_WORDS] for i in range(0, len(numbers), ENCODE_WORDS))
+
+
+def _spread(out: list[bytes], part: list[int], ids: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+    data = ids.tobytes()
+    for i, b, e in zip(part, (2 * begin).tolist(), (2 * end).tolist(), strict=True):
+        out[i] = data[b:e]
+
+
+def _encoder(path: str) -> _Encoder:
+    if path not in _encoders:
+        _encoders[path] = _Encoder(path)
+    return _encoders[path]
 
 
 def ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -143,60 +179,43 @@ def units(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndar
 def _token_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     """doc_id, n_tokens, place, tokens (two bytes an id) of each text.
 
-    Each different unit of a batch is encoded once. No token crosses units, so the ids
-    of a text are its units' ids in order.
+    Each different unit of some megabytes of text is encoded once. No token crosses
+    units, so the ids of a text are its units' ids in order.
     """
+    encoder = _encoder(path)
     for batch in batches:
-        chunks, hashes, keys = [], [], []
         for rows, data, offsets in text_chunks(batch.column("text")):
-            starts, ends, first = word_bounds(data, offsets)
-            data, starts, ends, first = units(data, starts, ends, first)
-            own = span_hashes(data, starts, ends)
-            chunks.append((rows, data, starts, ends, first))
-            hashes.append(own)
-            keys.append(curve_keys(own, first))
-        if not chunks:
-            continue
-        words, inverse = _distinct_words(hashes, chunks)
-        ids, begin = encode_words(words, path)
-        ids = np.append(ids, end_id).astype("<u2")
-        begin = np.append(begin, len(ids))
-        at = 0
-        for (rows, _, starts, _, first), place in zip(chunks, keys, strict=True):
-            own = inverse[at : at + len(starts)]
-            at += len(starts)
-            own = np.insert(own, first[1:], len(words))
-            last = first + np.arange(len(first))
-            length = begin[own + 1] - begin[own]
-            flat = ids[ranges(begin[own], length)]
-            sums = np.concatenate([[0], np.cumsum(length)])[last]
+            data, starts, ends, first = units(data, *word_bounds(data, offsets))
+            hashes = span_hashes(data, starts, ends)
+            place = curve_keys(hashes, first)
+            different, index, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+            buffer, begin, end = data.tobytes(), starts[index], ends[index]
+
+            def words(at: list[int], buffer=buffer, begin=begin, end=end) -> list[str]:
+                return [
+                    buffer[s:e].decode() for s, e in zip(begin[at].tolist(), end[at].tolist(), strict=True)
+                ]
+
+            parts = [*encoder.encode(different.tolist(), words), np.array([end_id], "<u2").tobytes()]
+            ids = np.frombuffer(b"".join(parts), "<u2")
+            at = np.concatenate([[0], np.cumsum([len(x) // 2 for x in parts])])
+            # The end id stands after the last unit of each text.
+            own = np.insert(inverse, first[1:], len(different))
+            length = at[own + 1] - at[own]
+            flat = ids[ranges(at[own], length)]
+            sums = np.concatenate([[0], np.cumsum(length)])[first + np.arange(len(first))]
+            tokens = [None, pa.py_buffer(sums.astype(np.int32) * 2), pa.py_buffer(flat)]
             yield pa.record_batch(
                 [
                     batch.column("doc_id").slice(rows.start, rows.stop - rows.start),
-                    pa.array(np.diff(sums).astype(np.int64)),
+                    pa.array(np.diff(sums)),
                     pa.array(place),
-                    pa.Array.from_buffers(
-                        pa.large_binary(), len(sums) - 1, [None, pa.py_buffer(sums * 2), pa.py_buffer(flat)]
-                    ).cast(pa.binary()),
+                    pa.Array.from_buffers(pa.binary(), len(sums) - 1, tokens),
                 ],
                 names=["doc_id", "n_tokens", "place", "tokens"],
             )
 
 
-def _distinct_words(hashes: list[np.ndarray], chunks: list) -> tuple[list[str], np.ndarray]:
-    """The different words of a batch, and the number of each word's."""
-    _, index, inverse = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-    bounds = np.cumsum([0, *(len(h) for h in hashes)])
-    words: list[str] = [""] * len(index)
-    of = np.searchsorted(bounds, index, "right") - 1
-    for c, (_, data, starts, ends, _) in enumerate(chunks):
-        mine = np.flatnonzero(of == c)
-        local, buffer = index[mine] - bounds[c], data.tobytes()
-        for i, s, e in zip(mine.tolist(), starts[local].tolist(), ends[local].tolist(), strict=True):
-            words[i] = buffer[s:e].decode()
-    return words, inverse
-
-
 def _piece_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Cut each document at multiples of the sequence length of its place in the stream."""
     for batch in batches:
