@@ -5,6 +5,7 @@ from __future__ import annotations
 from lakeops.catalog.queries import (
     AS_OF_VERSION,
     DQ_COLUMNS,
+    EVENT_DAY,
     FEED_OUTPUT,
     HIGH_WATER,
     PREVIEW_ROWS,
@@ -19,7 +20,15 @@ from lakeops.fixtures import (
     SPLIT_VERSION,
     STOCK_TIEBREAK,
 )
-from lakeops.plans.specs import BRANCHES, FATO_FATURAMENTO, INVOICES, MODELS, STOCK, ModelSpec
+from lakeops.plans.specs import (
+    BRANCHES,
+    FATO_FATURAMENTO,
+    INVOICES,
+    MODELS,
+    PUBLISHED,
+    STOCK,
+    ModelSpec,
+)
 
 NOW = f"TIMESTAMP '{RUN_TIME}'"
 
@@ -317,6 +326,24 @@ def check_sql(spec: ModelSpec) -> list[str]:
     return checks
 
 
+def without_stamp(sql: str) -> str:
+    return f"SELECT * EXCLUDE (data_atualizacao) FROM ({sql}) g"
+
+
+def first_load_sql() -> str:
+    """The newest change per key over all commits, deletes included, if it is no delete."""
+    spec = FATO_FATURAMENTO
+    where = f"_change_type <> 'update_preimage' AND {key_filter(spec)}"
+    rows = newest("invoice", where, spec.source_keys, INVOICE_TIEBREAK, f"_change_type, {gold_list(spec, NOW)}")
+    return f"WITH {INVOICE} SELECT * EXCLUDE (data_atualizacao, _change_type) FROM ({rows}) g WHERE _change_type <> 'delete'"
+
+
+def published_stock_sql() -> str:
+    spec = PUBLISHED["fato_estoque"]
+    casts = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in spec.columns.items())
+    return f"WITH {STOCK_CTE} SELECT {casts} FROM ({gold_incr_body(MODELS['fato_estoque'])}) g"
+
+
 def oracle_sql() -> dict[str, str]:
     invoice = f"WITH {INVOICE}"
     feed_columns = names(FEED_OUTPUT)
@@ -350,7 +377,7 @@ def oracle_sql() -> dict[str, str]:
         "event_state": f"WITH {EVENT_FEED} "
         + newest(
             "feed",
-            "_commit_version <= 31 AND _change_type <> 'update_preimage'",
+            f"_commit_version <= {EVENT_DAY} AND _change_type <> 'update_preimage'",
             ["user_id"],
             ["event_id"],
             "user_id, event_id, value, _change_type, _commit_version, _commit_timestamp",
@@ -436,6 +463,12 @@ def oracle_sql() -> dict[str, str]:
             "preview_rows": f"{invoice} SELECT NR_NF, NR_ITEM, COD_PRODUTO, COD_VENDEDOR, "
             "VALOR_LIQUIDO FROM invoice ORDER BY VALOR_LIQUIDO DESC, NR_NF, NR_ITEM, "
             f"COD_PRODUTO, COD_VENDEDOR LIMIT {PREVIEW_ROWS}",
+            "resume_with_late_commit": f"WITH {INVOICE} "
+            + without_stamp(gold_incr_body(FATO_FATURAMENTO)),
+            "first_load_after_deletes": first_load_sql(),
+            "publish_stock_rerun": published_stock_sql(),
+            "versioned_feed": f"WITH {SCD2} SELECT * FROM applied "
+            "WHERE data_fim IS NULL OR data_fim > TIMESTAMP '2023-03-01 00:00:00'",
         }
     )
     return sql

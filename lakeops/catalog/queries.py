@@ -32,7 +32,8 @@ from lakeops.operators.merge import (
 )
 from lakeops.plans import control
 from lakeops.plans.models import gold_full, gold_increment
-from lakeops.plans.publish import incremental_since, target_high_water
+from lakeops.plans.pipeline import Feed, run_pipeline
+from lakeops.plans.publish import incremental_since, publish, target_high_water
 from lakeops.plans.specs import (
     BRANCHES,
     FATO_FATURAMENTO,
@@ -44,8 +45,10 @@ from lakeops.plans.specs import (
     STOCK,
     ModelSpec,
 )
+from lakeops.plans.versioned import save_versioned
 from lakeops.sinks.staging import Staging
-from lakeops.sources.registry import read_changes
+from lakeops.sinks.tables import append_changes, read_version
+from lakeops.sources.registry import open_changes, read_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +58,7 @@ FEED_OUTPUT = (*FEED_COLUMNS, "NR_NF", "COD_VENDEDOR", CHANGE_TYPE, VERSION, COM
 STOCK_KEYS = ("COD_FILIAL", "COD_PRODUTO", "COD_FABRICANTE")
 ITEM_GRAIN = ("CHAVE_NFE", "NR_ITEM")
 AS_OF_VERSION = 4
+EVENT_DAY = 15
 HIGH_WATER = "2024-01-15 12:00:00"
 PREVIEW_ROWS = 800
 TYPED_COLUMNS = {**PUBLISHED["fato_faturamento"].columns, STAMP: "TIMESTAMP_NTZ"}
@@ -128,14 +132,15 @@ def as_of(spark: SparkSession, d: str) -> DataFrame:
 def _split(
     feed: DataFrame, keys: tuple[str, ...], tiebreak: tuple[str, ...]
 ) -> tuple[DataFrame, DataFrame]:
-    """Newest rows before the split version, and from it on."""
+    """Newest rows before the split version, and from it on; those are staged.
+
+    An upsert needs them for their keys and as rows.
+    """
     rows = upserts_only(feed)
     before = read_changes(rows, 0, fx.SPLIT_VERSION - 1)
     after = read_changes(rows, fx.SPLIT_VERSION)
-    return (
-        latest_by_key(before, keys, VERSION, tiebreak),
-        latest_by_key(after, keys, VERSION, tiebreak),
-    )
+    staged = Staging(feed.sparkSession)(latest_by_key(after, keys, VERSION, tiebreak), "rows")
+    return latest_by_key(before, keys, VERSION, tiebreak), staged
 
 
 def upsert_single_key(spark: SparkSession, d: str) -> DataFrame:
@@ -258,8 +263,13 @@ def publish_stage(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _staged_items(spark: SparkSession, d: str) -> DataFrame:
+    """The staged items, written once: a publish reads them for keys and as rows."""
+    return Staging(spark)(fx.items_staged(spark, d), "items")
+
+
 def items_delete_insert(spark: SparkSession, d: str) -> DataFrame:
-    return delete_insert(fx.items_target(spark, d), fx.items_staged(spark, d), fx.ITEM_KEYS)
+    return delete_insert(fx.items_target(spark, d), _staged_items(spark, d), fx.ITEM_KEYS)
 
 
 def items_tombstones(spark: SparkSession, d: str) -> DataFrame:
@@ -268,7 +278,7 @@ def items_tombstones(spark: SparkSession, d: str) -> DataFrame:
 
 def items_publish(spark: SparkSession, d: str) -> DataFrame:
     return publish_with_deletes(
-        fx.items_target(spark, d), fx.items_staged(spark, d), fx.ITEM_KEYS
+        fx.items_target(spark, d), _staged_items(spark, d), fx.ITEM_KEYS
     )
 
 
@@ -279,7 +289,10 @@ def items_history(spark: SparkSession, d: str) -> DataFrame:
 
 
 def items_full_history(spark: SparkSession, d: str) -> DataFrame:
-    return full_history(items_history(spark, d), items_publish(spark, d), "dt_atualizacao")
+    target, staged = fx.items_target(spark, d), _staged_items(spark, d)
+    archive = history_capture(target, staged, fx.ITEM_KEYS, "dt_atualizacao")
+    published = publish_with_deletes(target, staged, fx.ITEM_KEYS)
+    return full_history(archive, published, "dt_atualizacao")
 
 
 DQ_COLUMNS = ("CHAVE_NFE", "CPF_CNPJ_CLIFOR", "LOTE_INTERNO", "COD_TRATAMENTO", "NR_NF")
@@ -294,13 +307,19 @@ def dq_unique(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dq_models(spark: SparkSession, d: str) -> DataFrame:
-    """The declared tests of every model, on its full load."""
-    results = [
-        quality.check_model(_full(spec)(spark, d), spec.not_null, spec.unique).select(
-            F.lit(spec.name).alias("model"), "*"
-        )
-        for spec in MODELS.values()
-    ]
+    """The declared tests of every model, on its full load.
+
+    Models of one source share one staged scan of the columns their tests look at.
+    """
+    tested = [m for m in MODELS.values() if m.not_null or m.unique]
+    stage, results = Staging(spark), []
+    needed = {c for m in tested if m.source == INVOICES for c in m.source_columns}
+    sources = {INVOICES: stage(fx.silver_invoices(spark, d, sorted(needed)), "invoices")}
+    for spec in tested:
+        source = sources.setdefault(spec.source, None) or _source(spec, spark, d)
+        full = gold_full(spec, source, fx.run_time())
+        checks = quality.check_model(full, spec.not_null, spec.unique)
+        results.append(checks.select(F.lit(spec.name).alias("model"), "*"))
     return reduce(DataFrame.unionByName, results)
 
 
@@ -333,7 +352,82 @@ def preview_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def event_state(spark: SparkSession, d: str) -> DataFrame:
-    return snapshot_as_of(fx.event_feed(spark, d), 31, ["user_id"], fx.EVENT_TIEBREAK)
+    return snapshot_as_of(fx.event_feed(spark, d), EVENT_DAY, ["user_id"], fx.EVENT_TIEBREAK)
+
+
+def _versions(spark: SparkSession) -> str:
+    """A new folder for the tables of one call, dropped with the application."""
+    return Staging(spark).path
+
+
+def resume_with_late_commit(spark: SparkSession, d: str) -> DataFrame:
+    """Gold after runs over a log whose commits arrive out of order.
+
+    Commits below the split arrive first, then all above it, then the split itself;
+    each arrival is followed by a run.
+    """
+    root = _versions(spark)
+    feed = fx.invoice_feed(spark, d, FATO_FATURAMENTO.source_columns)
+    arrivals = (
+        read_changes(feed, 0, fx.SPLIT_VERSION - 1),
+        read_changes(feed, fx.SPLIT_VERSION + 1),
+        read_changes(feed, fx.SPLIT_VERSION, fx.SPLIT_VERSION),
+    )
+    source = Feed(f"{root}/log", fx.INVOICE_TIEBREAK)
+    for rows in arrivals:
+        append_changes(rows, source.log)
+        run_pipeline(
+            spark, {INVOICES: source}, root, models=[FATO_FATURAMENTO], run_ts=fx.run_time(), checks=False
+        )
+    gold = read_version(spark, f"{root}/default/gold/{FATO_FATURAMENTO.name}")
+    return gold.drop(STAMP)
+
+
+def first_load_after_deletes(spark: SparkSession, d: str) -> DataFrame:
+    """Gold of a first load from the source table, deletes applied, and the commits after it."""
+    root = _versions(spark)
+    feed = _feed_of(FATO_FATURAMENTO, spark, d)
+    before = fx.SPLIT_VERSION - 1
+    table = snapshot_as_of(feed, before, ["CHAVE_NFE"], fx.INVOICE_TIEBREAK)
+    table.drop(CHANGE_TYPE, VERSION, COMMIT_TIME).write.parquet(f"{root}/silver")
+    append_changes(read_changes(feed, fx.SPLIT_VERSION), f"{root}/log")
+    source = Feed(f"{root}/log", fx.INVOICE_TIEBREAK, table=f"{root}/silver", table_commit=before)
+    run_pipeline(
+        spark,
+        {INVOICES: source},
+        root,
+        models=[FATO_FATURAMENTO],
+        run_ts=fx.run_time(),
+        apply_deletes=True,
+        checks=False,
+    )
+    return read_version(spark, f"{root}/default/gold/{FATO_FATURAMENTO.name}").drop(STAMP)
+
+
+def _feed_of(spec: ModelSpec, spark: SparkSession, d: str) -> DataFrame:
+    return fx.invoice_feed(spark, d, spec.source_columns).filter(F.col("CHAVE_NFE").isNotNull())
+
+
+def publish_stock_rerun(spark: SparkSession, d: str) -> DataFrame:
+    """Stock, whose keys have NULL parts, published and published again."""
+    root = _versions(spark)
+    spec = PUBLISHED["fato_estoque"]
+    gold = _increment(MODELS["fato_estoque"])(spark, d)
+    for _ in range(2):
+        publish(spark, spec, gold, root, inclusive=True)
+    return read_version(spark, root)
+
+
+def versioned_feed(spark: SparkSession, d: str) -> DataFrame:
+    """A type-2 table rebuilt from its change log: the first load's commit and the next."""
+    root = _versions(spark)
+    history = scd2.active_rows(fx.order_history(spark, d))
+    save_versioned(spark, history, f"{root}/table", fx.run_time(), f"{root}/log")
+    save_versioned(spark, fx.order_current(spark, d), f"{root}/table", fx.run_time(), f"{root}/log")
+    changes = open_changes(spark, f"{root}/log", 0)
+    key = [*(c for c in history.columns if c not in (scd2.END, scd2.ACTIVE))]
+    keyed = changes.withColumn("_row", F.xxhash64(*key))
+    return snapshot_as_of(keyed, 1, ["_row", *key], [CHANGE_TYPE]).select(*history.columns)
 
 
 def queries() -> dict[str, Query]:
@@ -384,6 +478,10 @@ def queries() -> dict[str, Query]:
             "reconcile_filtered": reconcile_filtered,
             "profile_counts": profile_counts,
             "preview_rows": preview_rows,
+            "resume_with_late_commit": resume_with_late_commit,
+            "first_load_after_deletes": first_load_after_deletes,
+            "publish_stock_rerun": publish_stock_rerun,
+            "versioned_feed": versioned_feed,
         }
     )
     return named

@@ -71,6 +71,24 @@ def cast_columns(
     return df.select(*[typed(name, text) for name, text in columns.items()])
 
 
+def check_lengths(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """``df`` with its declared VARCHAR(n) and CHAR(n) columns; a longer value fails the job.
+
+    As a warehouse does on write; the check is part of the same pass.
+    """
+
+    def checked(name: str) -> Column:
+        declared = re.match(r"\s*(?:VAR)?CHAR\s*\(\s*(\d+)\s*\)", columns.get(name, ""), re.I)
+        column = F.col(name)
+        if declared is None:
+            return column
+        message = F.concat(F.lit(f"{name} is declared {columns[name]}, a value has "), F.char_length(column).cast("string"))
+        too_long = F.char_length(column) > int(declared[1])
+        return F.when(too_long, F.raise_error(message)).otherwise(column).alias(name)
+
+    return df.select(*[checked(name) for name in df.columns])
+
+
 def create_table_sql(
     table: str,
     columns: Mapping[str, str],

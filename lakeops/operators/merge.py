@@ -48,12 +48,16 @@ def upsert(
     return kept.unionByName(source)
 
 
-def delete_insert(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+def delete_insert(
+    target: DataFrame, staged: DataFrame, keys: Sequence[str], null_safe: bool = False
+) -> DataFrame:
     """Delete target rows whose key is staged, then insert every staged row.
 
     Unlike :func:`upsert` the staged rows may repeat a key; all of them survive.
+    ``null_safe`` lets a NULL key part match NULL: without, as in plain SQL, rows with
+    such a key are inserted again each time they are staged.
     """
-    kept = without_keys(target, staged, keys)
+    kept = without_keys(target, staged, keys, null_safe)
     return kept.unionByName(staged.select(*target.columns))
 
 

@@ -9,6 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.columns import match_keys, stamp_column
+from lakeops.operators.changes import (
+    CHANGE_TYPE,
+    COMMIT_TIME,
+    INSERT,
+    POSTIMAGE,
+    PREIMAGE,
+    VERSION,
+)
 from lakeops.operators.difference import LEFT, RIGHT, two_way_difference
 
 # The bookkeeping columns of a versioned table.
@@ -42,6 +50,9 @@ def snapshot_changes(history: DataFrame, current: DataFrame) -> DataFrame:
     """
     live = F.when((F.col("_side") == RIGHT) & F.col(ACTIVE), F.lit(True))
     columns = [c for c in history.columns if c not in STATUS]
+    unknown = sorted(set(current.columns) - set(history.columns) - set(STATUS))
+    if unknown:
+        raise ValueError(f"the table's history has no columns {unknown}")
     return two_way_difference(
         active_rows(history).select(*columns),
         current,
@@ -147,3 +158,45 @@ def scd2_apply(
         .select(*history.columns)
     )
     return closed.unionByName(added)
+
+
+def split_changes(
+    history: DataFrame, changes: DataFrame, run_ts: Column | datetime | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(rows ended now, rows active from now on): what a run changes of a history.
+
+    ``changes`` is :func:`snapshot_changes`. Rows ended earlier take no part, so cost
+    follows the active rows and the changes.
+    """
+    active = active_rows(history)
+    touched = close_out(active, changes.filter(F.col("_side") == LEFT), run_ts)
+    added = (
+        changes.filter((F.col("_side") == RIGHT) & F.col("_live"))
+        .withColumn(ACTIVE, F.lit(True))
+        .select(*history.columns)
+    )
+    return touched.filter(~F.col(ACTIVE)), touched.filter(ACTIVE).unionByName(added)
+
+
+def version_feed(
+    history: DataFrame,
+    changes: DataFrame,
+    version: int,
+    run_ts: Column | datetime | None = None,
+) -> DataFrame:
+    """The change rows of a run: ended rows as pre- and post-image, new rows as inserts."""
+    ended, _ = split_changes(history, changes, run_ts)
+    before = active_rows(history).join(
+        changes.filter(F.col("_side") == LEFT).select(HASH).dropna().distinct(), HASH, "left_semi"
+    )
+    added = (
+        changes.filter((F.col("_side") == RIGHT) & F.col("_live"))
+        .withColumn(ACTIVE, F.lit(True))
+        .select(*history.columns)
+    )
+    parts = [(before, PREIMAGE), (ended, POSTIMAGE), (added, INSERT)]
+    rows = [df.select(*history.columns, F.lit(kind).alias(CHANGE_TYPE)) for df, kind in parts]
+    feed = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    return feed.select(
+        "*", F.lit(version).cast("long").alias(VERSION), stamp_column(run_ts).alias(COMMIT_TIME)
+    )

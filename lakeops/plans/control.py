@@ -61,9 +61,19 @@ def watermark_advance(
 
 
 def start_version(last: int) -> int:
-    """Where the next run starts.
+    """Where a run starts after a looked-up watermark.
 
-    0 also stands for "nothing processed yet", so commit 0 is read again; upserts
-    make that repeatable.
+    The lookup shows 0 for "nothing processed yet" too, so commit 0 is read again. A
+    stored table tells the two apart: :func:`processed_upto`.
     """
     return last + 1 if last > 0 else 0
+
+
+def processed_upto(control: DataFrame, source: str) -> int | None:
+    """The last commit processed of a source; None, not 0, if it has no watermark."""
+    return control.filter(F.col(TABLE) == source).agg(F.max(LAST)).first()[0]
+
+
+def empty_control(spark: SparkSession) -> DataFrame:
+    """The table before any source is processed."""
+    return watermark_seed(spark, ["-"], None).limit(0)

@@ -68,16 +68,21 @@ def newest_changes(
     return latest_by_key(kept, spec.source_keys, VERSION, tiebreak)
 
 
-def project_changes(spec: ModelSpec, newest: DataFrame, stamp: Column | None = None) -> DataFrame:
+def project_changes(
+    spec: ModelSpec,
+    newest: DataFrame,
+    stamp: Column | None = None,
+    extra: Sequence[str] = (),
+) -> DataFrame:
     """Gold rows of changes, stamped with their commit time.
 
     Another stamp takes the commit time's type, so that first loads and later
-    increments can be merged.
+    increments can be merged. ``extra`` columns are kept under their name.
     """
     time = F.col(COMMIT_TIME)
     if stamp is not None:
         time = stamp.cast(newest.schema[COMMIT_TIME].dataType)
-    return project(spec, newest, time, [VERSION] if spec.keep_version else [])
+    return project(spec, newest, time, [*([VERSION] if spec.keep_version else []), *extra])
 
 
 def gold_increment(

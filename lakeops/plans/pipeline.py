@@ -10,31 +10,45 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.columns import stamp_column
-from lakeops.operators.changes import CHANGE_TYPE, DELETE
-from lakeops.operators.merge import without_keys
+from lakeops.operators.changes import CHANGE_TYPE, DELETE, VERSION, as_first_load
+from lakeops.operators.latest import latest_by_key
 from lakeops.operators.quality import check_model
 from lakeops.plans.control import (
     LAST,
     TABLE,
-    start_version,
+    empty_control,
+    processed_upto,
     watermark_advance,
-    watermark_lookup,
-    watermark_seed,
 )
-from lakeops.plans.models import newest_changes, project_changes
+from lakeops.plans.models import newest_changes, project_changes, with_key
 from lakeops.plans.specs import MODELS, ModelSpec
-from lakeops.sinks.staging import Staging, count_rows
-from lakeops.sinks.tables import current_version, read_version, write_version
-from lakeops.sources.registry import last_commit, open_changes
+from lakeops.sinks.staging import count_rows
+from lakeops.sinks.tables import (
+    DELETED,
+    current_version,
+    read_version,
+    write_changes,
+    write_version,
+)
+from lakeops.sources.registry import last_in_sequence, open_changes
 
 
 @dataclass(frozen=True)
 class Feed:
-    """Where a source's change log is, and what breaks ties within a commit."""
+    """Where a source's change log is, and what breaks ties within a commit.
+
+    ``table`` is a folder with the source's rows as commit ``table_commit`` left them.
+    A model's first load then reads it and goes on after that commit: deleted rows are
+    gone from it, and the log need not reach back to its beginning. Without it a first
+    load replays the log.
+    """
 
     log: str
     tiebreak: tuple[str, ...]
     file_format: str = "parquet"
+    table: str | None = None
+    table_commit: int | None = None
+    table_format: str = "parquet"
 
 
 @dataclass(frozen=True)
@@ -48,6 +62,19 @@ class ModelRun:
     failures: dict[str, int]
 
 
+def first_load(
+    spec: ModelSpec,
+    silver: DataFrame,
+    tiebreak: Sequence[str],
+    run_ts: Column | datetime | None = None,
+    commit: int = 0,
+) -> DataFrame:
+    """A model's rows from its source table: one per key, stamped with the run time."""
+    known = with_key(spec, as_first_load(silver, stamp_column(run_ts), commit))
+    newest = latest_by_key(known, spec.source_keys, VERSION, tiebreak)
+    return project_changes(spec, newest, stamp_column(run_ts))
+
+
 def run_model(
     spark: SparkSession,
     spec: ModelSpec,
@@ -57,35 +84,31 @@ def run_model(
     run_ts: Column | datetime | None = None,
     apply_deletes: bool = False,
     checks: bool = True,
-    keep_versions: int | None = 2,
+    silver: DataFrame | None = None,
+    silver_commit: int = 0,
 ) -> ModelRun:
-    """Merge the changes into a model's gold table and check the result.
+    """Bring a model's gold table up to its source and check the result.
 
-    A table that does not exist yet is a first load, stamped with the run time and
-    written directly. Later, the newest changes are staged before the merge: they
-    are computed once, counted on the way, and Spark knows their size when it
-    chooses how to join them to the gold table.
+    A table that does not exist yet is a first load, stamped with the run time: of
+    ``silver``, the source as commit ``silver_commit`` left it, or else of the changes.
+    Later the newest change per key is written as the next version's changes. The
+    table before is not read, let alone rewritten; deleted keys go along as such.
     """
     first = current_version(spark, gold_root) is None
-    newest = newest_changes(spec, changes, tiebreak, deletes=apply_deletes)
     live = F.col(CHANGE_TYPE) != DELETE
     if first:
-        gold, counted = count_rows(
-            project_changes(spec, newest.filter(live), stamp_column(run_ts)), spec.name
-        )
+        if silver is not None:
+            rows = first_load(spec, silver, tiebreak, run_ts, silver_commit)
+        else:
+            newest = newest_changes(spec, changes, tiebreak, deletes=apply_deletes)
+            rows = project_changes(spec, newest.filter(live), stamp_column(run_ts))
+        gold, counted = count_rows(rows, spec.name)
         version = write_version(gold, gold_root)
-        count = counted.get["rows"]
     else:
-        with Staging(spark) as staging:
-            staged = staging(newest, spec.name)
-            count = staging.rows[spec.name]
-            # changed keys leave the table, also the deleted ones; live rows come back
-            keys = staged.select(*[F.col(spec.columns[k]).alias(k) for k in spec.keys])
-            kept = without_keys(
-                read_version(spark, gold_root), keys, spec.keys, not spec.require_key, unique=True
-            )
-            merged = kept.unionByName(project_changes(spec, staged.filter(live)))
-            version = write_version(merged, gold_root, keep_versions)
+        newest = newest_changes(spec, changes, tiebreak, deletes=apply_deletes)
+        marked = newest.withColumn(DELETED, ~live)
+        gold, counted = count_rows(project_changes(spec, marked, extra=[DELETED]), spec.name)
+        version = write_changes(gold, gold_root, spec.keys, null_safe=not spec.require_key)
     failures = {}
     if checks and (spec.not_null or spec.unique):
         results = check_model(read_version(spark, gold_root, version), spec.not_null, spec.unique)
@@ -93,7 +116,8 @@ def run_model(
             f"{row.check_name}:{row.column_name}": row.failures
             for row in results.filter("failures > 0").collect()
         }
-    return ModelRun(spec.name, "full" if first else "incremental", count, version, failures)
+    mode = "full" if first else "incremental"
+    return ModelRun(spec.name, mode, counted.get["rows"], version, failures)
 
 
 def run_pipeline(
@@ -105,50 +129,63 @@ def run_pipeline(
     run_ts: Column | datetime | None = None,
     apply_deletes: bool = False,
     checks: bool = True,
-    keep_versions: int | None = 2,
 ) -> list[ModelRun]:
     """Run the models of every feed and then move the feed's watermark.
 
     Models of one source read its log independently: each reads only its own few
     columns of the new commits, which costs less than keeping full-width rows in a
     cache. The watermark moves once all models of the source are written, so a
-    failed run is repeated from the same version; upserts make that safe.
-    ``keep_versions`` is how many versions of each table stay on storage.
+    failed run is repeated from the same version; upserts make that safe. It moves
+    over complete commits without a gap, so a commit that arrives late is still read.
+    All versions of all tables stay; ``drop_versions_before`` deletes on request.
     """
     base = f"{root}/{tenant}"
     control_root = f"{base}/control"
-    if current_version(spark, control_root) is None:
-        write_version(watermark_seed(spark, list(feeds), run_ts), control_root)
     results = []
     for source, feed in feeds.items():
         mine = [m for m in models if m.source == source]
-        control = read_version(spark, control_root)
-        last = watermark_lookup(control, source).first()[LAST]
-        newest = last_commit(spark, feed.log, last, feed.file_format)
-        if newest is None:
-            continue
+        stored = current_version(spark, control_root) is not None
+        control = read_version(spark, control_root) if stored else empty_control(spark)
+        last = processed_upto(control, source)
+        if last is None:
+            last = feed.table_commit
+        newest = last_in_sequence(spark, feed.log, last, feed.file_format)
+        reached = last if newest is None else newest
+        done = 0
         for spec in mine:
             gold_root = f"{base}/gold/{spec.name}"
             exists = current_version(spark, gold_root) is not None
-            start = start_version(last) if exists else 0
-            if start > newest:
-                continue
-            changes = open_changes(spark, feed.log, start, newest, feed.file_format)
-            results.append(
-                run_model(
-                    spark,
-                    spec,
-                    changes,
-                    feed.tiebreak,
-                    gold_root,
-                    run_ts,
-                    apply_deletes,
-                    checks,
-                    keep_versions,
+            steps = []
+            if not exists and feed.table is not None:
+                silver = spark.read.format(feed.table_format).load(feed.table)
+                steps.append((None, silver))
+                start = (feed.table_commit or 0) + 1
+            elif exists:
+                start = 0 if last is None else last + 1
+            else:
+                start = 0
+            if reached is not None and start <= reached:
+                changes = open_changes(spark, feed.log, start, reached, feed.file_format)
+                steps.append((changes, None))
+            for changes, silver in steps:
+                results.append(
+                    run_model(
+                        spark,
+                        spec,
+                        changes,
+                        feed.tiebreak,
+                        gold_root,
+                        run_ts,
+                        apply_deletes,
+                        checks,
+                        silver,
+                        feed.table_commit or 0,
+                    )
                 )
+                done += 1
+        if done and reached is not None:
+            row = spark.range(1).select(
+                F.lit(source).alias(TABLE), F.lit(reached).cast("long").alias(LAST)
             )
-        done = spark.range(1).select(
-            F.lit(source).alias(TABLE), F.lit(newest).cast("long").alias(LAST)
-        )
-        write_version(watermark_advance(control, done, run_ts), control_root, keep_versions)
+            write_version(watermark_advance(control, row, run_ts), control_root)
     return results

@@ -12,18 +12,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from lakeops.functions.types import cast_columns, declared_schema
+from lakeops.functions.types import cast_columns, check_lengths, declared_schema
 from lakeops.operators.history import history_capture
 from lakeops.operators.latest import latest_by_key
-from lakeops.operators.merge import delete_insert, publish_with_deletes
+from lakeops.operators.merge import publish_with_deletes
 from lakeops.plans.specs import PublishSpec
 from lakeops.sinks.staging import Staging
-from lakeops.sinks.tables import current_version, read_version, write_version
+from lakeops.sinks.tables import (
+    DELETED,
+    changed_rows,
+    current_version,
+    read_version,
+    write_changes,
+    write_version,
+)
 
 # Fixed value: where an empty target starts. A target published by commit version
 # starts before version 0.
 FIRST_STAMP = "1900-01-01"
 FIRST_VERSION = -1
+# The folder below a target that holds the gold version it was published up to.
+PROGRESS = "published"
 
 
 def load_publish_config(
@@ -32,7 +41,7 @@ def load_publish_config(
     """Publish specs and their gold paths from a JSON config.
 
     ``tables`` lists name, gold_path, redshift_table, primary_keys,
-    incremental_column and columns. ``${VAR}`` is replaced from the environment;
+    incremental_column, columns and, if wanted, redshift_schema. ``${VAR}`` is replaced from the environment;
     a name that is not there stays as it is.
     """
     filled = Template(text).safe_substitute(os.environ if environment is None else environment)
@@ -44,6 +53,7 @@ def load_publish_config(
                 tuple(table["primary_keys"]),
                 table["columns"],
                 table["incremental_column"],
+                schema=table.get("redshift_schema", ""),
             ),
             table["gold_path"],
         )
@@ -91,38 +101,128 @@ def publish(
     target_root: str,
     inclusive: bool = False,
     on_error: str = "raise",
-    keep_versions: int | None = 2,
+    lengths: bool = False,
 ) -> Published:
-    """Publish one table: increment, casts, staging, delete+insert, next version.
+    """Publish one table by its increment column: casts, staging, next version's changes.
 
-    The increment is counted while it is staged, not by a scan of its own. Stamps
-    come from two clocks (run time of a full load, commit time of an increment); a
-    model with ``keep_version`` can be published by ``_commit_version`` instead,
-    which skips nothing.
+    ``lengths`` makes a value longer than its declared VARCHAR fail the job. A first publish takes every row. Later ones take rows stamped after the target's
+    newest and rows without a stamp, whose time is not known, each time. Stamps come
+    from two clocks (run time of a full load, commit time of an increment) and so may
+    skip rows: where gold is a folder of versions, :func:`publish_versions` does not.
     """
+    first = current_version(spark, target_root) is None
     target = open_target(spark, spec, target_root)
-    since = target_high_water(target, spec.increment).first()[0]
-    increment = incremental_since(gold, spec.increment, since, inclusive)
-    with Staging(spark) as staging:
-        staged = staging(cast_columns(increment, spec.columns, on_error), spec.table)
-        rows = staging.rows[spec.table]
-        if rows:
-            write_version(delete_insert(target, staged, spec.keys), target_root, keep_versions)
+    increment = gold
+    if not first:
+        since = target_high_water(target, spec.increment).first()[0]
+        later = incremental_since(gold, spec.increment, since, inclusive)
+        increment = later.unionByName(gold.filter(F.col(spec.increment).isNull()))
+    rows = _write_published(spark, spec, increment, target_root, first, on_error, lengths)
     return Published(spec.name, rows, "published" if rows else "nothing new")
 
 
+def _write_published(
+    spark: SparkSession,
+    spec: PublishSpec,
+    rows: DataFrame,
+    target_root: str,
+    whole: bool,
+    on_error: str,
+    lengths: bool,
+) -> int:
+    """Write typed rows as a whole table or as changes; no version if there are none."""
+    deleted = [DELETED] if DELETED in rows.columns else []
+    declared = {**spec.columns, **dict.fromkeys(deleted, "BOOLEAN")}
+    typed = cast_columns(rows, declared, on_error)
+    if lengths:
+        typed = check_lengths(typed, spec.columns)
+    with Staging(spark) as staging:
+        staged = staging(typed, spec.table)
+        count = staging.rows[spec.table]
+        if count and whole:
+            write_version(staged, target_root)
+        elif count:
+            write_changes(staged, target_root, spec.keys, spec.null_safe)
+    return count
+
+
+def publish_versions(
+    spark: SparkSession,
+    spec: PublishSpec,
+    gold_root: str,
+    target_root: str,
+    on_error: str = "raise",
+    lengths: bool = True,
+) -> Published:
+    """Publish what gold's versions changed since the last publish, deletes included.
+
+    No stamp decides, so nothing is skipped, and only the changed rows are read and
+    written. The gold version reached is stored beside the target, after it: a run that
+    fails between the two is repeated, with the same result. If gold was written whole
+    in between, the target is too.
+    """
+    upto = current_version(spark, gold_root)
+    if upto is None:
+        return Published(spec.name, 0, "nothing new")
+    progress = f"{target_root}/{PROGRESS}"
+    stored = current_version(spark, progress)
+    after = None if stored is None else read_version(spark, progress).first()[0]
+    if after == upto:
+        return Published(spec.name, 0, "nothing new")
+    changes = None if after is None else changed_rows(spark, gold_root, after, upto)
+    whole = changes is None
+    rows = read_version(spark, gold_root, upto) if whole else changes
+    count = _write_published(spark, spec, rows, target_root, whole, on_error, lengths)
+    reached = spark.range(1).select(F.lit(upto).cast("long").alias("gold_version"))
+    write_version(reached, progress)
+    return Published(spec.name, count, "published" if count else "nothing new")
+
+
 def publish_all(
     spark: SparkSession,
-    jobs: Iterable[tuple[PublishSpec, DataFrame, str]],
+    jobs: Iterable[tuple[PublishSpec, DataFrame | str, str]],
     inclusive: bool = False,
+    lengths: bool = False,
 ) -> list[Published]:
-    """Publish table after table; a table that fails does not stop the others."""
+    """Publish table after table; a table that fails does not stop the others.
+
+    Gold is a folder of versions (:func:`publish_versions`) or a DataFrame
+    (:func:`publish`).
+    """
     results = []
     for spec, gold, target_root in jobs:
         try:
-            results.append(publish(spark, spec, gold, target_root, inclusive))
+            if isinstance(gold, str):
+                results.append(publish_versions(spark, spec, gold, target_root, lengths=lengths))
+            else:
+                results.append(publish(spark, spec, gold, target_root, inclusive, lengths=lengths))
+        except Exception as error:  # noqa: BLE001 - reported per table
+            results.append(Published(spec.name, 0, "failed", str(error)))
+    return results
+
+
+def publish_config(
+    spark: SparkSession,
+    text: str,
+    published_root: str,
+    environment: Mapping[str, str] | None = None,
+) -> list[Published]:
+    """Publish all tables of a JSON config: ``<published_root>/<schema>/<table>``.
+
+    A gold path with versions is published by version, any other Parquet folder by its
+    increment column; declared lengths are checked. A path that cannot be read fails
+    its own table only.
+    """
+    results = []
+    for spec, path in load_publish_config(text, environment):
+        target = "/".join(filter(None, (published_root, spec.schema, spec.table)))
+        try:
+            versioned = current_version(spark, path) is not None
+            gold = path if versioned else spark.read.parquet(path)
         except Exception as error:  # noqa: BLE001 - reported per table
             results.append(Published(spec.name, 0, "failed", str(error)))
+            continue
+        results += publish_all(spark, [(spec, gold, target)], lengths=True)
     return results
 
 
@@ -134,30 +234,41 @@ def publish_with_history(
     history_root: str,
     tiebreak: Sequence[str],
     flag: str = "is_deleted",
-    keep_versions: int | None = 2,
 ) -> Published:
     """Publish with tombstones, archiving the rows that are replaced or deleted.
 
     ``gold`` carries the flag; a NULL flag counts as not deleted, and the newest
-    row of a key counts where it has several. The archive is one folder per target
-    version, written first: a rerun after a failure writes the same folder again.
+    row of a key counts where it has several. Keys must not be NULL: such a row fails
+    the job. The archive is one folder per target version, written first: a rerun after
+    a failure writes the same folder again. A first publish takes every row, a later
+    one those stamped after the target's newest and those without a stamp.
     """
+    first = current_version(spark, target_root) is None
     target = open_target(spark, spec, target_root)
-    since = target_high_water(target, spec.increment).first()[0]
-    increment = incremental_since(gold, spec.increment, since)
+    increment = gold
+    if not first:
+        since = target_high_water(target, spec.increment).first()[0]
+        later = incremental_since(gold, spec.increment, since)
+        increment = later.unionByName(gold.filter(F.col(spec.increment).isNull()))
     declared = {**spec.columns, flag: "BOOLEAN"}
     typed = cast_columns(increment, declared).withColumn(flag, F.coalesce(flag, F.lit(False)))
+    typed = check_lengths(typed, spec.columns)
+    for key in spec.keys:
+        missing = F.raise_error(F.lit(f"{spec.table}: key {key} is NULL"))
+        typed = typed.withColumn(key, F.coalesce(key, missing.cast(typed.schema[key].dataType)))
     typed = latest_by_key(typed, spec.keys, spec.increment, tiebreak)
     with Staging(spark) as staging:
         staged = staging(typed, spec.table)
         rows = staging.rows[spec.table]
         if rows:
-            last = current_version(spark, target_root)
-            version = 0 if last is None else last + 1
+            version = 0 if first else current_version(spark, target_root) + 1
             archived = history_capture(target, staged, spec.keys, spec.increment, flag)
             archived.write.mode("overwrite").parquet(f"{history_root}/target_version={version}")
-            published = publish_with_deletes(target, staged, spec.keys, flag)
-            write_version(published, target_root, keep_versions)
+            if first:
+                write_version(publish_with_deletes(target, staged, spec.keys, flag), target_root)
+            else:
+                changes = staged.withColumnRenamed(flag, DELETED)
+                write_changes(changes, target_root, spec.keys)
     return Published(spec.name, rows, "published" if rows else "nothing new")
 
 

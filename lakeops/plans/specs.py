@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from lakeops.sources.registry import SourceSpec
+
 # Fixed values in this module: the names of the silver and gold columns, the keys,
 # tests and declared types of the gold tables.
 
@@ -12,6 +14,12 @@ STOCK = "silver_stock"
 BRANCHES = "silver_branches"
 SOURCES = (INVOICES, STOCK, BRANCHES)
 
+
+def silver_sources(root: str, file_format: str = "parquet") -> list[SourceSpec]:
+    """The three declared sources below a storage root, one folder a tenant."""
+    return [SourceSpec(name, f"{root}/{{tenant}}/{name}", file_format) for name in SOURCES]
+
+
 STAMP = "data_atualizacao"
 
 
@@ -47,13 +55,18 @@ class ModelSpec:
 
 @dataclass(frozen=True)
 class PublishSpec:
-    """A published table: declared columns in order, key and increment column."""
+    """A published table: declared columns in order, key and increment column.
+
+    ``null_safe`` is for keys with NULL parts, which then replace their like.
+    """
 
     name: str
     table: str
     keys: tuple[str, ...]
     columns: dict[str, str] = field(hash=False)
     increment: str = STAMP
+    null_safe: bool = False
+    schema: str = ""
 
 
 FATO_FATURAMENTO = ModelSpec(
@@ -283,6 +296,7 @@ PUBLISHED = {
                 "EstoqueSaldo": "DECIMAL(18,4)",
                 STAMP: "TIMESTAMP",
             },
+            null_safe=True,
         ),
     )
 }
@@ -309,7 +323,6 @@ ORDER_HISTORY_COLUMNS = {
     "change_type": "VARCHAR(10)",
 }
 ORDER_KEYS = ("pedido_id", "item_id")
-ORDER_NOT_NULL = ("pedido_id", "item_id")
 ORDER_CLUSTER = ("pedido_id",)
 ORDER_SORT = ("data_pedido", "dt_atualizacao")
 ORDER_HISTORY_SORT = ("pedido_id", "item_id", "valid_from")

@@ -18,15 +18,21 @@ SETTINGS = {
 }
 
 PARTITION_BYTES = 128 * 1024 * 1024
+EVEN_PARTITIONS = 10_000
 
 
 def shuffle_partitions_for(input_bytes: int) -> int:
-    """Shuffle partitions that keep each near 128 MB if all input is shuffled.
+    """Shuffle partitions for a job that may shuffle all its input.
 
-    AQE merges partitions that turn out small, but it cannot add any: the number
-    must fit the largest shuffle of a job (about 800,000 for 100 TB).
+    Near 128 MB each up to 10,000 of them. Beyond, their number grows with the square
+    root and so does their size: the driver keeps a map of partitions for every map
+    task, and sorting a larger partition with some spill is cheaper than that. AQE
+    merges partitions that turn out small. 100 TB gives about 90,000 of 1.2 GB.
     """
-    return max(200, math.ceil(input_bytes / PARTITION_BYTES))
+    even = math.ceil(input_bytes / PARTITION_BYTES)
+    if even > EVEN_PARTITIONS:
+        even = math.ceil(math.sqrt(even * EVEN_PARTITIONS))
+    return max(200, even)
 
 
 def build_session(

@@ -2,30 +2,39 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.sinks.files import delete_path
-
-LOCAL_SCRATCH = "spark.lakeops.localScratch"
+from lakeops.sinks.files import delete_at_end, delete_path, path_exists
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Only a local-mode session (tests) falls back to a new temporary folder: on a
-    cluster a machine-local folder would lose data with its machine.
+    Only a local-mode session falls back to a folder in the warehouse: elsewhere
+    someone must name a folder that outlives a machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_SCRATCH, None)
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = f"file://{tempfile.mkdtemp(prefix='lakeops-')}"
-    spark.conf.set(LOCAL_SCRATCH, folder)
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+
+
+def application_folder(spark: SparkSession) -> str:
+    """This application's own folder for intermediate tables.
+
+    Results are lazy and may read a staged table long after the call that wrote it, so
+    what no ``with`` block clears stays until the application ends, which drops the
+    folder. A killed application leaves one folder named after it.
+    """
+    folder = f"{shared_folder(spark)}/staging-{spark.sparkContext.applicationId}"
+    if not path_exists(spark, folder):
+        delete_at_end(spark, folder)
     return folder
 
 
@@ -46,7 +55,7 @@ class Staging:
 
     def __init__(self, spark: SparkSession, run_id: str | None = None):
         self.spark = spark
-        self.path = f"{shared_folder(spark)}/staging/{run_id or uuid.uuid4().hex}"
+        self.path = f"{application_folder(spark)}/{run_id or uuid.uuid4().hex}"
         self.rows: dict[str, int] = {}
         self._written = 0
 

@@ -2,73 +2,196 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakeops.operators.changes import VERSION
-from lakeops.sinks.files import delete_path, folder_names, path_bytes, path_exists
-
-# A single-file export is only made of at most this many bytes.
-SINGLE_FILE_BYTES = 256 * 1024 * 1024
+from lakeops.operators.merge import without_keys
+from lakeops.sinks.files import (
+    create_file,
+    delete_path,
+    file_names,
+    folder_names,
+    path_bytes,
+    path_exists,
+    rename_path,
+)
 
 
 # Versioned folders. A Parquet table cannot be overwritten by a query that reads
-# it, so each write goes to the next <root>/v=<n>. A version counts once its job
-# has committed (_SUCCESS); an unfinished one is invisible and is written again.
+# it, so each write is a new folder: v=<n> holds the whole table, d=<n> only the
+# rows a run changed. A version counts once its job has committed (_SUCCESS); an
+# unfinished one is invisible and is written again. Version n is the newest whole
+# table up to n with the later changes laid over it by key, so a small change costs
+# a small write whatever the size of the table, and `compact` folds the changes.
+
+FULL, CHANGES = "v=", "d="
+DELETED = "_deleted"
+WRITING = "_writing"
+
+
+class ConcurrentWriteError(RuntimeError):
+    """Another run writes the same table, or one died while it did."""
+
+
+@contextmanager
+def one_writer(spark: SparkSession, root: str) -> Iterator[None]:
+    """Hold a table's write mark; a second writer fails instead of taking the same version.
+
+    A run that was killed leaves its mark: :func:`release_writer`, once it is known dead.
+    """
+    if not create_file(spark, f"{root}/{WRITING}"):
+        raise ConcurrentWriteError(f"{root}/{WRITING} exists: another run writes this table")
+    try:
+        yield
+    finally:
+        release_writer(spark, root)
+
+
+def release_writer(spark: SparkSession, root: str) -> None:
+    delete_path(spark, f"{root}/{WRITING}")
+
+
+def _finished(spark: SparkSession, root: str, kind: str) -> list[int]:
+    """Finished versions of a kind, oldest first."""
+    numbers = sorted(int(n[2:]) for n in folder_names(spark, root) if n.startswith(kind))
+    return [n for n in numbers if path_exists(spark, f"{root}/{kind}{n}/_SUCCESS")]
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
-    found = (int(n[2:]) for n in folder_names(spark, root) if n.startswith("v="))
-    for version in sorted(found, reverse=True):
-        if path_exists(spark, f"{root}/v={version}/_SUCCESS"):
-            return version
-    return None
+    return max([*_finished(spark, root, FULL), *_finished(spark, root, CHANGES)], default=None)
+
+
+def _next(spark: SparkSession, root: str) -> int:
+    last = current_version(spark, root)
+    return 0 if last is None else last + 1
 
 
 def write_version(
     df: DataFrame, root: str, keep: int | None = None, partition_by: Sequence[str] = ()
 ) -> int:
-    """Write the next version of a table and return its number.
+    """Write a whole table as the next version and return its number.
 
-    With ``keep``, only that many versions stay, the new one included; at least 2
-    lets a query that has started on the version before run to its end.
+    All versions stay unless ``keep`` asks for only that many, the new one included;
+    at least 2 lets a query that has started on the version before run to its end.
     """
-    last = current_version(df.sparkSession, root)
-    version = 0 if last is None else last + 1
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/v={version}")
+    spark = df.sparkSession
+    with one_writer(spark, root):
+        version = _next(spark, root)
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/{FULL}{version}")
     if keep:
-        drop_versions_before(df.sparkSession, root, version - keep + 1)
+        drop_versions_before(spark, root, version - keep + 1)
+    return version
+
+
+def write_changes(
+    rows: DataFrame, root: str, keys: Sequence[str], null_safe: bool = False
+) -> int:
+    """Write changed rows as the next version of a table and return its number.
+
+    Rows replace those of the same key; all rows of a key within one call stay. Rows
+    flagged in ``_deleted`` (optional) only remove. The key travels in the columns'
+    metadata. The first version of a table must be whole.
+    """
+    spark = rows.sparkSession
+    if DELETED not in rows.columns:
+        rows = rows.withColumn(DELETED, F.lit(False))
+    for key in keys:
+        rows = rows.withMetadata(key, {"key": True, "null_safe": null_safe})
+    with one_writer(spark, root):
+        version = _next(spark, root)
+        if version == 0:
+            raise ValueError(f"{root} has no whole table to lay changes over")
+        rows.write.mode("overwrite").parquet(f"{root}/{CHANGES}{version}")
     return version
 
 
+def changed_rows(
+    spark: SparkSession, root: str, after: int, upto: int | None = None
+) -> DataFrame | None:
+    """Newest change per key of the versions after ``after``; None if one of them is whole.
+
+    Reads the changes' folders only.
+    """
+    upto = current_version(spark, root) if upto is None else upto
+    numbers = [n for n in _finished(spark, root, CHANGES) if after < n <= upto]
+    if len(numbers) != upto - after:
+        return None
+    return _newest_changes(spark, root, numbers) if numbers else None
+
+
+def _newest_changes(spark: SparkSession, root: str, numbers: Sequence[int]) -> DataFrame:
+    paths = [f"{root}/{CHANGES}{n}" for n in numbers]
+    schema = spark.read.parquet(paths[-1]).schema
+    if len(numbers) == 1:
+        return spark.read.schema(schema).parquet(paths[0])
+    rows = spark.read.option("basePath", root).schema(schema).parquet(*paths)
+    by_key = Window.partitionBy(*_keys(schema)[0]).orderBy(F.desc(CHANGES[0]))
+    # rank, not row_number: a version may hold several rows of a key
+    ranked = rows.withColumn("_rank", F.rank().over(by_key)).filter("_rank = 1")
+    return ranked.select(*schema.names)
+
+
+def _keys(schema: StructType) -> tuple[list[str], bool]:
+    keyed = [f for f in schema if f.metadata.get("key")]
+    return [f.name for f in keyed], any(f.metadata["null_safe"] for f in keyed)
+
+
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     if version is None:
         version = current_version(spark, root)
-    if version is None:
+    full = [n for n in _finished(spark, root, FULL) if version is not None and n <= version]
+    if not full:
         raise FileNotFoundError(f"no finished version below {root}")
-    return spark.read.parquet(f"{root}/v={version}")
+    base = spark.read.parquet(f"{root}/{FULL}{full[-1]}")
+    numbers = [n for n in _finished(spark, root, CHANGES) if full[-1] < n <= version]
+    if not numbers:
+        return base
+    changes = _newest_changes(spark, root, numbers)
+    keys, null_safe = _keys(changes.schema)
+    added = [c for c in changes.columns if c not in base.columns and c != DELETED]
+    kept = without_keys(base, changes, keys, null_safe)
+    live = changes.filter(~F.col(DELETED)).select(*base.columns, *added)
+    return kept.unionByName(live, allowMissingColumns=bool(added))
 
 
 def drop_versions_before(spark: SparkSession, root: str, version: int) -> None:
-    """Delete versions older than ``version``, once no reader uses them."""
+    """Delete versions older than ``version``, once no reader uses them.
+
+    Stays are the newest whole table up to ``version`` and what lies over it.
+    """
+    full = [n for n in _finished(spark, root, FULL) if n <= version]
+    first = full[-1] if full else version
     for name in folder_names(spark, root):
-        if name.startswith("v=") and int(name[2:]) < version:
+        if name[:2] in (FULL, CHANGES) and name[2:].isdigit() and int(name[2:]) < first:
             delete_path(spark, f"{root}/{name}")
 
 
-# Change log
+# Change log. A commit is a folder _commit_version=<n> and, written last, an empty
+# file _commits/<n>: readers see marked commits only, so a commit whose folders
+# arrive one by one, or late, is never taken for complete.
 
+MARKS = "_commits"
 
-def append_changes(changes: DataFrame, log: str) -> None:
+
+def append_changes(changes: DataFrame, log: str, replace: bool = False) -> None:
     """Write commits to a change log, one folder per ``_commit_version``.
 
-    Only the folders of the commits at hand are replaced, so a retried write does
-    not double them. Rows are spread evenly over tasks before the write, whatever
-    the share of one commit.
+    A commit that is marked already is refused: written in two calls, the second would
+    take the place of the first. ``replace`` writes it again, for retries. Rows are
+    spread evenly over tasks before the write, whatever the share of one commit.
     """
+    spark = changes.sparkSession
+    versions = [r[0] for r in changes.select(VERSION).distinct().collect()]
+    known = sorted(set(versions) & set(marked_commits(spark, log)))
+    if known and not replace:
+        raise ValueError(f"commits {known} are in {log} already")
+    for version in known:
+        delete_path(spark, f"{log}/{MARKS}/{version}")
     (
         changes.hint("rebalance", VERSION)
         .write.mode("overwrite")
@@ -76,14 +199,46 @@ def append_changes(changes: DataFrame, log: str) -> None:
         .partitionBy(VERSION)
         .parquet(log)
     )
+    mark_commits(spark, log, versions)
+
+
+def mark_commits(spark: SparkSession, log: str, versions: Iterable[int]) -> None:
+    """Declare commits complete; one without a folder changed nothing."""
+    for version in versions:
+        create_file(spark, f"{log}/{MARKS}/{version}")
+
+
+def marked_commits(spark: SparkSession, log: str) -> list[int]:
+    names = file_names(spark, f"{log}/{MARKS}")
+    return sorted(int(n) for n in names if n.isdigit())
 
 
 # Compaction
 
 
 def compact(spark: SparkSession, root: str) -> int:
-    """Rewrite a table's current version into evenly sized files (a new version)."""
-    return write_version(read_version(spark, root).hint("rebalance"), root)
+    """Fold a table's changes into evenly sized files and return the version.
+
+    Changes over a whole table are folded under the same number: the content is the
+    same. A whole table is written again as the next version, with its partitioning.
+    """
+    version = current_version(spark, root)
+    full = _finished(spark, root, FULL)
+    df = read_version(spark, root, version)
+    partitions = partition_columns(spark, f"{root}/{FULL}{full[-1]}")
+    target = version + 1 if full[-1] == version else version
+    with one_writer(spark, root):
+        rows = df.hint("rebalance", *partitions)
+        rows.write.mode("overwrite").partitionBy(*partitions).parquet(f"{root}/{FULL}{target}")
+    return target
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The columns a folder is partitioned by, from its folder names."""
+    names = [n for n in folder_names(spark, path) if "=" in n]
+    if not names:
+        return []
+    return [names[0].split("=")[0], *partition_columns(spark, f"{path}/{names[0]}")]
 
 
 # Catalog
@@ -173,31 +328,24 @@ def merge_into(source: DataFrame, table: str, keys: Sequence[str]) -> None:
 # Export
 
 
-def export_parquet(df: DataFrame, path: str, single_file_bytes: int = SINGLE_FILE_BYTES) -> int:
-    """Write an extract and return its size in bytes.
+def export_parquet(df: DataFrame, path: str, single_file: bool = False) -> int:
+    """Write an extract to ``path`` and return its size in bytes.
 
-    It is written by all tasks first. Only if the result is small is it rewritten
-    as the single file a consumer of small extracts expects; a large extract stays
-    a folder of several files rather than passing through one task.
+    It takes the place of the extract before only once it is complete. ``single_file``
+    gives the one file that a consumer of small extracts expects; all rows then pass
+    through one task, which is the caller's choice and does not depend on the size.
     """
     spark = df.sparkSession
-    parts = f"{path}/parts"
-    df.hint("rebalance").write.mode("overwrite").parquet(parts)
-    size = path_bytes(spark, parts)
-    if size > single_file_bytes:
-        delete_path(spark, f"{path}/single")
-        return size
-    spark.read.schema(df.schema).parquet(parts).coalesce(1).write.mode("overwrite").parquet(
-        f"{path}/single"
-    )
-    delete_path(spark, parts)
-    return size
+    new, old = f"{path}.new", f"{path}.old"
+    rows = df.coalesce(1) if single_file else df.hint("rebalance")
+    rows.write.mode("overwrite").parquet(new)
+    delete_path(spark, old)
+    if path_exists(spark, path):
+        rename_path(spark, path, old)
+    rename_path(spark, new, path)
+    delete_path(spark, old)
+    return path_bytes(spark, path)
 
 
 def read_export(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.parquet(f"{path}/single")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.read.parquet(f"{path}/parts")
+    return spark.read.parquet(path)

@@ -7,9 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakeops.operators.changes import VERSION
 from lakeops.sinks.files import folder_names
+from lakeops.sinks.tables import marked_commits
 
 
 @dataclass(frozen=True)
@@ -53,10 +55,8 @@ def read_changes(
 
 
 def commit_versions(spark: SparkSession, log: str) -> list[int]:
-    """Commits of a change log, oldest first; lists one folder level, reads no data."""
-    prefix = f"{VERSION}="
-    names = folder_names(spark, log)
-    return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+    """Complete commits of a change log, oldest first; lists marks, reads no data."""
+    return marked_commits(spark, log)
 
 
 def last_commit(
@@ -70,17 +70,39 @@ def last_commit(
     return changes.agg(F.max(VERSION)).first()[0]
 
 
+def last_in_sequence(
+    spark: SparkSession, log: str, after: int | None, file_format: str = "parquet"
+) -> int | None:
+    """The newest commit up to which none is missing after ``after``; None if there is none.
+
+    A commit may be complete before an older one is. Those beyond the gap wait for it,
+    so a watermark set here passes over nothing. Without ``after`` the log's oldest
+    commit is the first.
+    """
+    if file_format != "parquet":
+        return last_commit(spark, log, 0 if after is None else after + 1, file_format)
+    known = commit_versions(spark, log)
+    reached = after
+    for version in known:
+        if reached is None or version == reached + 1:
+            reached = version
+    return None if reached == after else reached
+
+
 def open_changes(
     spark: SparkSession,
     log: str,
     start_version: int,
     end_version: int | None = None,
     file_format: str = "parquet",
+    schema: StructType | None = None,
 ) -> DataFrame:
     """The change feed at a location: a change log, or a Delta table's own feed.
 
     Of a change log only the folders of the wanted commits are opened, so listing
-    files costs what is new and not what the log holds in all.
+    files costs what is new and not what the log holds in all. Columns that later
+    commits add are NULL in earlier ones; ``schema`` declares them, without it the
+    files' schemas are merged.
     """
     if file_format == "delta":
         reader = (
@@ -94,13 +116,16 @@ def open_changes(
     versions = commit_versions(spark, log)
     if not versions:
         raise FileNotFoundError(f"no commits below {log}")
+    # a commit that changed nothing has a mark and no folder
+    folders = {int(n.split("=")[1]) for n in folder_names(spark, log) if n.startswith(f"{VERSION}=")}
+    stored = [v for v in versions if v in folders]
     wanted = [
-        v for v in versions if v >= start_version and (end_version is None or v <= end_version)
+        v for v in stored if v >= start_version and (end_version is None or v <= end_version)
     ]
     # with nothing wanted, the newest commit still gives the schema
-    paths = [f"{log}/{VERSION}={v}" for v in wanted or versions[-1:]]
-    if len(paths) == len(versions):
-        paths = [log]
-    changes = spark.read.option("basePath", log).parquet(*paths)
+    paths = [f"{log}/{VERSION}={v}" for v in wanted or stored[-1:]]
+    reader = spark.read.option("basePath", log)
+    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
+    changes = reader.parquet(*paths)
     changes = changes.withColumn(VERSION, F.col(VERSION).cast("long"))
     return read_changes(changes, start_version, end_version)

@@ -38,7 +38,8 @@ def start_stream(
     Processes all that is there, then ends (``availableNow``); the checkpoint
     remembers where the next start goes on.
     """
-    reader = spark.readStream.schema(schema)
+    # A file counts as new however old it is; Spark would skip those a week behind.
+    reader = spark.readStream.schema(schema).option("maxFileAge", "36500d")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
 

@@ -9,14 +9,16 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from lakeops.catalog import oracle
+from lakeops.catalog.queries import queries
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -51,6 +53,8 @@ def canonical(columns, rows):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):

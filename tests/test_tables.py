@@ -61,7 +61,10 @@ def test_change_log_is_pruned_by_version_and_rewritten_by_commit(spark, root):
     base = spark.range(10).withColumn("_change_type", F.lit("insert"))
     stamped = base.withColumn("_commit_timestamp", literal_timestamp("2024-01-01 00:00:00"))
     for version in (0, 1, 1, 2):
-        tables.append_changes(stamped.withColumn("_commit_version", F.lit(version).cast("long")), root)
+        commit = stamped.withColumn("_commit_version", F.lit(version).cast("long"))
+        tables.append_changes(commit, root, replace=True)
+    with pytest.raises(ValueError, match=r"commits \[2\]"):
+        tables.append_changes(commit, root)
     log = open_changes(spark, root, 1)
     assert log.count() == 20
     assert dict(log.dtypes)["_commit_version"] == "bigint"
@@ -143,20 +146,30 @@ def test_staging_counts_and_is_cleared(spark):
     assert not path_exists(spark, failing.path)
 
 
-def test_export_is_one_file_only_if_small(spark, root):
-    data = spark.range(0, 5000, 1, 4)
-    tables.export_parquet(data, f"{root}/x", single_file_bytes=10)
-    assert path_exists(spark, f"{root}/x/parts") and tables.read_export(spark, f"{root}/x").count() == 5000
-    tables.export_parquet(data, f"{root}/x")
-    assert not path_exists(spark, f"{root}/x/parts")
-    small = tables.read_export(spark, f"{root}/x")
-    assert small.count() == 5000 and len(small.inputFiles()) == 1
-    tables.export_parquet(data, f"{root}/x", single_file_bytes=10)
-    assert not path_exists(spark, f"{root}/x/single")
+def test_export_has_one_path_whatever_its_size_and_files(spark, root):
+    for n, single in ((5000, False), (50_000, True), (10, False)):
+        tables.export_parquet(spark.range(0, n, 1, 4), f"{root}/x", single_file=single)
+        written = tables.read_export(spark, f"{root}/x")
+        assert written.count() == n and folder_names(spark, root) == ["x"]
+        assert not single or len(written.inputFiles()) == 1
+    with pytest.raises(ZeroDivisionError):
+        tables.export_parquet(failing(spark), f"{root}/x")
+    assert tables.read_export(spark, f"{root}/x").count() == 10
     with pytest.raises(AnalysisException):
         tables.read_export(spark, f"{root}/missing")
 
 
+def failing(spark):
+    """A frame that cannot be made ready for a write."""
+    class Frame:
+        sparkSession = spark
+
+        def hint(self, *_):
+            return 1 / 0
+
+    return Frame()
+
+
 def test_sources_by_tenant(spark, root):
     spark.range(2).write.parquet(f"{root}/t1/orders")
     spark.range(5).write.parquet(f"{root}/t2/orders")

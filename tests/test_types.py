@@ -87,4 +87,8 @@ def test_varchar_length_is_checked_on_write(spark):
 
 def test_shuffle_partitions_grow_with_the_input():
     assert shuffle_partitions_for(0) == 200
-    assert shuffle_partitions_for(100 * 2**40) == 819200
+    assert shuffle_partitions_for(2**40) == 8192
+    # 100 TB: larger partitions rather than 800,000 of them
+    assert shuffle_partitions_for(100 * 2**40) == 90510
+    sizes = [shuffle_partitions_for(n * 2**38) for n in range(1, 400)]
+    assert sizes == sorted(sizes)
