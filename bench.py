@@ -25,6 +25,8 @@ HEADLINE = (
     "snapshot_diff_feed",
     "publish_with_deletes",
     "reconcile_counts",
+    # storage path: three commits arrive, each followed by a run that writes its changes
+    "resume_with_late_commit",
 )
 
 

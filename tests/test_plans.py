@@ -171,3 +171,17 @@ def test_no_nested_loops_or_python(spark, sf_dir, name):
     text = plan(queries()[name](spark, sf_dir))
     for operator in ("NestedLoop", "CartesianProduct", "Python", "Pandas", "CollectLimit"):
         assert operator not in text
+
+
+@pytest.mark.parametrize(
+    "name", ["upsert_single_key", "upsert_item_grain", "delete_insert", "publish_with_deletes", "full_history", "dq_models"]
+)
+def test_staged_queries_scan_their_input_once(name, spark, sf_dir):
+    """The increment is staged: the plan reads lineitem for the state, not again for keys and rows."""
+    with settings(spark, **NO_BROADCAST):
+        df = queries()[name](spark, sf_dir)
+        df.collect()
+        scans = [x for x in df.inputFiles() if "lineitem" in x]
+        text = plan(df).split("Initial Plan")[0]
+    assert len(re.findall(r"FileScan parquet [^\n]*lineitem", text)) <= 2
+    assert len(scans) <= 1
