@@ -95,14 +95,13 @@ def host_verdicts(counted: DataFrame) -> DataFrame:
     )
 
 
-def _verdict_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batch's rows with their counts."""
+def _verdict_batches(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordBatch]:
+    """The batch's rows with their counts; the text is a field of the row, not sent twice."""
     for batch in batches:
-        for rows, counts in rule_counts(batch.column("text")):
-            part = batch.slice(rows.start, rows.stop - rows.start)
+        for rows, counts in rule_counts(batch.column("row").field(text_at).cast(pa.string())):
+            part = batch.column("row").slice(rows.start, rows.stop - rows.start)
             yield pa.record_batch(
-                [part.column("row"), part.column("host"), *(pa.array(counts[c].astype("int64")) for c in COUNTS)],
-                names=["row", "host", *COUNTS],
+                [part, *(pa.array(counts[c].astype("int64")) for c in COUNTS)], names=["row", *COUNTS]
             )
 
 
@@ -116,10 +115,13 @@ def keep_by_quality(
     stage = Staging(docs.sparkSession)
     counted = document_counts(docs, id_col, text_col, host_col)
     verdicts = stage(host_verdicts(counted), "hosts").select(F.col("host").alias("of"), "host_rejected")
-    rows = as_rows(docs, text=text_col, host=host_col)
-    kind = rows.schema["row"].dataType.simpleString()
-    counts = rows.mapInArrow(_verdict_batches, f"row {kind}, host string, " + ", ".join(f"{c} long" for c in COUNTS))
-    kept = counts.where(~rule_failed()).join(verdicts, F.col("host").eqNullSafe(F.col("of")))
+    rows = as_rows(docs)
+    kind, text_at = rows.schema["row"].dataType.simpleString(), docs.columns.index(text_col)
+    counts = rows.mapInArrow(
+        lambda it: _verdict_batches(it, text_at), f"row {kind}, " + ", ".join(f"{c} long" for c in COUNTS)
+    )
+    host = F.col(f"row.c{docs.columns.index(host_col)}").cast("string")
+    kept = counts.where(~rule_failed()).join(verdicts, host.eqNullSafe(F.col("of")))
     return from_rows(kept.where("not host_rejected"), docs)
 
 

@@ -75,10 +75,11 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _redact_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _redact_batches(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordBatch]:
+    """Rows, and the new text of those that change."""
     index, patterns = _tools()
     for batch in batches:
-        texts = batch.column("text")
+        texts = batch.column("row").field(text_at).cast(pa.string())
         found: dict[int, list[tuple[int, int, str]]] = {}
         for rows, candidates in index.segments(texts):
             for kind, numbers in candidates.items():
@@ -86,9 +87,9 @@ def _redact_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                     spans = spans_of(kind, patterns[kind], texts[i].as_py() or "")
                     if spans:
                         found.setdefault(i, []).extend(spans)
-        out = texts.to_pylist()
+        out: list[str | None] = [None] * len(texts)
         for i, spans in found.items():
-            out[i] = redacted(out[i], spans)
+            out[i] = redacted(texts[i].as_py(), spans)
         yield pa.record_batch([batch.column("row"), pa.array(out, pa.string())], names=["row", "text"])
 
 
@@ -108,14 +109,14 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", size_col: str | None
     ``size_col``, where given, becomes the new text's code points. Rows without
     secrets, null texts too, stay as they are.
     """
-    rows = as_rows(docs, text=text_col)
-    kind = rows.schema["row"].dataType.simpleString()
-    done = rows.mapInArrow(_redact_batches, f"row {kind}, text string")
+    rows = as_rows(docs)
+    kind, text_at = rows.schema["row"].dataType.simpleString(), docs.columns.index(text_col)
+    done = rows.mapInArrow(lambda it: _redact_batches(it, text_at), f"row {kind}, changed string")
+    done = done.withColumn("text", F.coalesce("changed", F.col(f"row.c{text_at}").cast("string")))
     if size_col is None:
         return from_rows(done, docs, **{text_col: "text"})
     old = F.col(f"row.c{docs.columns.index(size_col)}")
-    changed = ~F.col("text").eqNullSafe(F.col(f"row.c{docs.columns.index(text_col)}").cast("string"))
-    done = done.withColumn("n", F.when(changed, F.char_length("text").cast("long")).otherwise(old))
+    done = done.withColumn("n", F.coalesce(F.char_length("changed").cast("long"), old))
     return from_rows(done, docs, **{text_col: "text", size_col: "n"})
 
 
