@@ -41,7 +41,7 @@ def source_targets(
     share: float = BUDGET_SHARE,
     most_epochs: float = MOST_EPOCHS,
 ) -> DataFrame:
-    """(source, source_size, documents, target): each source's share of ``share`` times all words.
+    """(source, number, source_size, documents, target): each source's share of ``share`` times all words.
 
     ``sizes`` has one row a source: source, source_size, documents. Sources by code
     point, null last, take the weights in turn. A target stops at ``most_epochs`` times
@@ -49,9 +49,9 @@ def source_targets(
     is found in one pass over the sources, in the order in which they reach their cap.
     The windows run over one row a source.
     """
-    place = F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))) - 1
-    weight = F.element_at(F.array(*map(F.lit, weights)), (place % len(weights) + 1).cast("int"))
-    ranked = sizes.withColumn("weight", weight).withColumn("cap", most_epochs * F.col("source_size"))
+    number = F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))) - 1
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("number") % len(weights) + 1).cast("int"))
+    ranked = sizes.withColumn("number", number).withColumn("weight", weight).withColumn("cap", most_epochs * F.col("source_size"))
     ranked = ranked.withColumn("ratio", F.col("cap") / F.col("weight"))
     order = Window.orderBy("ratio", F.asc_nulls_last("source"))
     before, whole = order.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
@@ -64,7 +64,7 @@ def source_targets(
     open_level = F.when(F.col("ratio") >= F.col("level"), F.struct("place", "level"))
     level = F.min(open_level).over(whole)["level"]
     target = F.coalesce(F.least(F.col("cap"), F.col("weight") * level), F.col("cap"))
-    return ranked.select("source", "source_size", "documents", target.alias("target"))
+    return ranked.select("source", "number", "source_size", "documents", target.alias("target"))
 
 
 def mixture(
@@ -114,23 +114,23 @@ def planned(
     kept = [c for c in sized.columns if c != "key"]
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("documents"))
     targets = stage(source_targets(sources, weights, share, most_epochs), "targets")
-    targets = targets.select(F.col("source").alias("of"), "source_size", "documents", "target")
+    targets = targets.select(F.col("source").alias("of"), "number", "source_size", "documents", "target")
     rows = sized.join(targets, F.col("source").eqNullSafe(F.col("of")))
     # Monotone, so buckets keep the order; near uniform for all weights, so none is large.
     spread = 1 - (F.exp(-F.col("key")) + F.exp(-LEAST_WEIGHT * F.col("key"))) / 2
     buckets = F.ceil(F.col("documents") / BUCKET_DOCUMENTS)
     rows = rows.withColumn("bucket", F.floor(spread * buckets))
 
-    groups = rows.groupBy("of", "bucket").agg(F.sum("size").alias("bucket_size"))
-    earlier = Window.partitionBy("of").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    groups = rows.groupBy("number", "bucket").agg(F.sum("size").alias("bucket_size"))
+    earlier = Window.partitionBy("number").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     groups = groups.select(
-        F.col("of").alias("group_of"),
-        F.col("bucket").alias("group_bucket"),
-        F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)).alias("earlier"),
+        "number", "bucket", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)).alias("earlier")
     )
-    rows = rows.join(groups, F.col("of").eqNullSafe(F.col("group_of")) & (F.col("bucket") == F.col("group_bucket")))
-    within = Window.partitionBy("of", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.col("earlier") + F.coalesce(F.sum("size").over(within), F.lit(0))
+    # Ordered first: the join then finds the rows dealt and sorted by its own keys.
+    within = Window.partitionBy("number", "bucket").orderBy("key", "doc_id", "size")
+    inside = F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("inside", F.coalesce(inside, F.lit(0))).join(groups, ["number", "bucket"])
+    before = F.col("earlier") + F.col("inside")
     epochs = F.floor(F.col("target") / F.when(F.col("source_size") > 0, F.col("source_size")))
     epochs = F.coalesce(epochs, F.lit(0))
     rest = F.floor(F.col("target")) - epochs * F.col("source_size")
@@ -156,18 +156,20 @@ def mixed_documents(
     then the code points of that text.
     """
     stage = Staging(docs.sparkSession)
-    rows = as_rows(docs, doc_id=id_col, text=text_col, source=source_col)
-    rows = rows.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("size", word_count(F.col("text")))
-    key = -F.log(uniform(F.col("doc_id"), F.lit(seed))) / quality_weight(F.col("text"), F.col("size"))
+    rows = as_rows(docs, doc_id=id_col, source=source_col)
+    # A field of the row, so that the text is in the shuffle once.
+    text = F.col(f"row.c{docs.columns.index(text_col)}").cast("string")
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("size", word_count(text))
+    key = -F.log(uniform(F.col("doc_id"), F.lit(seed))) / quality_weight(text, F.col("size"))
     mix = planned(rows.withColumn("key", key), stage, weights, share, most_epochs).where("taken > 0")
     copies = F.concat(
         F.array_repeat(F.col("size"), (F.col("taken") / F.col("size")).cast("int")),
         F.filter(F.array(F.col("taken") % F.col("size")), lambda n: n > 0),
     )
-    mix = mix.select("row", "text", "size", F.explode(copies).alias("words"))
-    first_words = F.slice(F.regexp_extract_all("text", F.lit(f"({WORDS})"), F.lit(1)), 1, F.col("words").cast("int"))
+    mix = mix.select("row", "size", F.explode(copies).alias("words"))
+    first_words = F.slice(F.regexp_extract_all(text, F.lit(f"({WORDS})"), F.lit(1)), 1, F.col("words").cast("int"))
     cut = F.col("words") < F.col("size")
-    mix = mix.withColumn("cut", cut).withColumn("text", F.when(cut, F.array_join(first_words, " ")).otherwise(F.col("text")))
+    mix = mix.withColumn("cut", cut).withColumn("text", F.when(cut, F.array_join(first_words, " ")).otherwise(text))
     if size_col is None:
         return from_rows(mix, docs, **{text_col: "text"})
     old = F.col(f"row.c{docs.columns.index(size_col)}")
