@@ -17,8 +17,8 @@ from llm.byteops import mix
 REGISTERS = 256
 BUCKET_BITS = 8
 MANTISSA_BITS = 10
-BAND_ROWS = 6
-BANDS = REGISTERS // BAND_ROWS
+# The largest chance of a pair at the threshold to share no band.
+MOST_MISSED = 1e-8
 BORROW_TRIES = 256
 
 _EMPTY = np.uint64(2**64 - 1)
@@ -76,13 +76,10 @@ def sketch(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return registers(borrow(minima(hashes, owner, owners)))
 
 
-def bands(sketches: np.ndarray) -> np.ndarray:
-    """(sets, BANDS) 64-bit keys, each of one band number and BAND_ROWS registers."""
-    rows = sketches[:, : BANDS * BAND_ROWS].reshape(len(sketches), BANDS, BAND_ROWS).astype(np.uint64)
-    key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) + np.uint64(1), rows.shape[:2]).copy()
-    for k in range(BAND_ROWS):
-        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, :, k])
-    return key
+def band_rows(threshold: float) -> int:
+    """Registers of a band: as many as keep the chance of missing a pair below MOST_MISSED."""
+    missed = lambda rows: (1 - threshold**rows) ** (REGISTERS // rows)
+    return max((r for r in range(1, 17) if missed(r) <= MOST_MISSED), default=1)
 
 
 def chance_equal(n: np.ndarray, m: np.ndarray) -> np.ndarray:

@@ -16,10 +16,9 @@ from llm.components import connected_components
 from llm.rows import as_rows, from_rows
 
 SHINGLE_WORDS = 5
-LINK_PERCENT = 85
+LINK_PERCENT = 80
 # Bytes of shingle sets a residual block may hold; a block pair is one group.
 BLOCK_BYTES = 8 << 20
-BAND_BYTES = 2 * hmh.BAND_ROWS
 
 
 def _text_sets(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
@@ -154,8 +153,8 @@ def near_duplicates(
     links connect, named by its smallest id; ``kept`` marks that document.
 
     1. One pass sketches every text by HyperMinHash. Equal sets collapse to one class.
-    2. Bands of six registers put classes into buckets (a pair at the threshold shares
-       none with a probability of 2e-9). Each member is compared with one member of
+    2. Bands of registers (six at 85 percent, five at 80) put classes into buckets; a pair
+       at the threshold shares none with a probability below 1e-8. Each member is compared with one member of
        its bucket: first by the collision-corrected estimate, less six standard
        deviations, then on the full sets.
     3. Buckets that still hold several components are finished exactly: members outside
@@ -175,7 +174,7 @@ def near_duplicates(
         .agg(F.min("doc_id").alias("node"), F.min("n_shingles").alias("n"), F.min("registers").alias("registers")),
         "classes",
     )
-    members = stage(_bucket_members(classes), "members")
+    members = stage(_bucket_members(classes, hmh.band_rows(link_percent / 100)), "members")
     sets = _member_sets(docs, id_col, text_col, members)
     sets = stage(sets, "sets")
     links = stage(_star_links(members, classes, sets, link_percent), "links")
@@ -206,10 +205,11 @@ def keep_one_each(
     return from_rows(rows.join(gone.select(F.col(id_col).alias("key")), "key", "left_anti"), docs)
 
 
-def _bucket_members(classes: DataFrame) -> DataFrame:
+def _bucket_members(classes: DataFrame, band_rows: int) -> DataFrame:
     """(bucket, node, pivot) of all buckets with two classes or more; the pivot differs by bucket."""
-    key = "transform(sequence(0, {}), i -> xxhash64(i, substring(registers, cast(i * {} + 1 as int), {})))"
-    rows = classes.select("node", F.explode(F.expr(key.format(hmh.BANDS - 1, BAND_BYTES, BAND_BYTES))).alias("bucket"))
+    last, size = hmh.REGISTERS // band_rows - 1, 2 * band_rows
+    key = f"transform(sequence(0, {last}), i -> xxhash64(i, substring(registers, cast(i * {size} + 1 as int), {size})))"
+    rows = classes.select("node", F.explode(F.expr(key)).alias("bucket"))
     pivots = (
         rows.groupBy("bucket")
         .agg(F.min(F.col("node").bitwiseXOR(F.col("bucket"))).alias("p"), F.count("*").alias("members"))

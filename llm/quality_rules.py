@@ -55,7 +55,7 @@ def rule_failed() -> Column:
     return base_failed() | symbols | lines
 
 
-def host_verdicts(counted: DataFrame) -> DataFrame:
+def host_verdicts(counted: DataFrame, stage: Staging) -> DataFrame:
     """(host, host_documents, host_failures, host_rate, host_rejected).
 
     The beta prior's mean is the rate over all documents; its weight follows from how
@@ -65,6 +65,7 @@ def host_verdicts(counted: DataFrame) -> DataFrame:
     hosts = counted.groupBy("host").agg(
         F.count("*").alias("host_documents"), F.sum(rule_failed().cast("long")).alias("host_failures")
     )
+    hosts = stage(hosts, "host-counts")
     n, x = F.col("host_documents"), F.col("host_failures")
     whole = hosts.agg(
         F.sum(x).alias("failures"),
@@ -80,13 +81,11 @@ def host_verdicts(counted: DataFrame) -> DataFrame:
     unit = F.col("documents") - F.col("squares") / F.col("documents")
     spread = (scatter - expected) / F.when(unit > 0, unit)
     weight = F.when(spread > 0, p * (1 - p) / spread - 1).otherwise(MOST_PRIOR)
-    prior = whole.select(
-        F.coalesce(p, F.lit(0.0)).alias("prior_rate"),
-        F.least(F.greatest(weight, F.lit(LEAST_PRIOR)), F.lit(MOST_PRIOR)).alias("prior_documents"),
-    )
-    # One row: the join is a broadcast of two numbers.
-    rate = (x + F.col("prior_rate") * F.col("prior_documents")) / (n + F.col("prior_documents"))
-    return hosts.join(F.broadcast(prior)).select(
+    prior_rate, prior_documents = whole.select(
+        F.coalesce(p, F.lit(0.0)), F.least(F.greatest(weight, F.lit(LEAST_PRIOR)), F.lit(MOST_PRIOR))
+    ).first()
+    rate = (x + prior_rate * prior_documents) / (n + prior_documents)
+    return hosts.select(
         "host",
         "host_documents",
         "host_failures",
@@ -114,7 +113,7 @@ def keep_by_quality(
     """
     stage = Staging(docs.sparkSession)
     counted = document_counts(docs, id_col, text_col, host_col)
-    verdicts = stage(host_verdicts(counted), "hosts").select(F.col("host").alias("of"), "host_rejected")
+    verdicts = host_verdicts(counted, stage).select(F.col("host").alias("of"), "host_rejected")
     rows = as_rows(docs)
     kind, text_at = rows.schema["row"].dataType.simpleString(), docs.columns.index(text_col)
     counts = rows.mapInArrow(
@@ -144,7 +143,7 @@ def quality_rules(
     """
     stage = Staging(docs.sparkSession)
     counted = stage(document_counts(docs, id_col, text_col, host_col), "rule-counts")
-    verdicts = stage(host_verdicts(counted), "hosts").select(F.col("host").alias("of"), "host_rejected")
+    verdicts = host_verdicts(counted, stage).select(F.col("host").alias("of"), "host_rejected")
     joined = counted.join(verdicts, F.col("host").eqNullSafe(F.col("of")), "left")
     return joined.select(
         "doc_id",

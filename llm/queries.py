@@ -29,7 +29,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_duplicates(_table(spark, sf_dir, "documents"), link_percent=85)
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ def shingles(text):
     return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
 
 
-def brute(rows):
+def brute(rows, percent=80):
     """Components by comparing all rows."""
     sets = [shingles(r[1]) for r in rows]
     group = list(range(len(rows)))
@@ -33,7 +33,7 @@ def brute(rows):
         for j in range(i):
             same = len(sets[i] & sets[j])
             if rows[i][0] is not None and rows[j][0] is not None and sets[i] and sets[j]:
-                if 100 * same >= 85 * (len(sets[i]) + len(sets[j]) - same):
+                if 100 * same >= percent * (len(sets[i]) + len(sets[j]) - same):
                     group[root(i)] = root(j)
     out = []
     for i, row in enumerate(rows):
@@ -60,6 +60,14 @@ def chains(seed, n):
 def test_components_are_those_of_all_pairs(spark, seed):
     rows = chains(seed, 25)
     assert rows_of(near_duplicates(table(spark, rows))) == brute(rows)
+    assert rows_of(near_duplicates(table(spark, rows), link_percent=85)) == brute(rows, 85)
+
+
+def test_bands_keep_the_chance_to_miss_small():
+    assert (hmh.band_rows(0.85), hmh.band_rows(0.8)) == (6, 5)
+    for threshold in (0.3, 0.5, 0.8, 0.85, 0.95):
+        rows = hmh.band_rows(threshold)
+        assert (1 - threshold**rows) ** (hmh.REGISTERS // rows) <= 1e-8 or rows == 1
 
 
 def test_blocks_of_few_bytes_give_the_same(spark, monkeypatch):

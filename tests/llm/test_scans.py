@@ -8,6 +8,7 @@ import pytest
 from helpers import awkward_rows, rows_of, table, text_of
 from pyspark.sql import functions as F
 
+from lakeops.sinks.staging import Staging
 from llm import crf, pii
 from llm.byteops import shingle_hashes, span_hashes, text_chunks, word_bounds
 from llm.pii import KINDS, LABELS, personal_data
@@ -127,7 +128,8 @@ def test_a_bad_host_goes_and_a_small_one_is_judged_mildly(spark):
 
 def test_host_prior_without_spread(spark):
     counted = quality_rules(table(spark, [(i, text_of(i, 60), "en", f"h{i % 3}", 1) for i in range(9)]))
-    rates = host_verdicts(counted.drop("host_rejected", "kept", "failed", "base_failed")).collect()
+    with Staging(spark) as stage:
+        rates = host_verdicts(counted.drop("host_rejected", "kept", "failed", "base_failed"), stage).collect()
     assert [r.host_rate for r in rates] == [0.0] * 3
 
 
