@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lakeops.operators.changes import COMMIT_TIME, VERSION
+from lakeops.operators.changes import CHANGE_TYPE, COMMIT_TIME, DELETE, VERSION
 from lakeops.operators.latest import latest_by_key
 from lakeops.plans.models import newest_changes, project
 from lakeops.plans.specs import ModelSpec
@@ -27,13 +27,15 @@ def start_stream(
     table_root: str,
     checkpoint: str,
     files_per_trigger: int | None = None,
+    apply_deletes: bool = False,
 ) -> StreamingQuery:
     """Read new files of a change log and add each batch's newest rows to a table.
 
     A batch writes only its own folder ``_batch=<id>``: its cost follows the batch
     and not the table, and a batch run again after a failure replaces its folder.
     Rows keep their version and tie-break columns, so :func:`read_streamed` finds
-    the right winner even if files arrive out of version order.
+    the right winner even if files arrive out of version order. With ``apply_deletes``
+    a delete may be that winner, and its key is then not in the table.
 
     Processes all that is there, then ends (``availableNow``); the checkpoint
     remembers where the next start goes on.
@@ -44,7 +46,7 @@ def start_stream(
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        newest_changes(spec, batch, tiebreak).write.mode("overwrite").parquet(
+        newest_changes(spec, batch, tiebreak, deletes=apply_deletes).write.mode("overwrite").parquet(
             f"{table_root}/{BATCH}={batch_id}"
         )
 
@@ -60,7 +62,7 @@ def start_stream(
 def streamed_rows(
     spark: SparkSession, spec: ModelSpec, tiebreak: Sequence[str], table_root: str
 ) -> DataFrame:
-    """Newest silver row per key over all batches written so far."""
+    """Newest change per key over all batches written so far, deletes included."""
     rows = spark.read.parquet(table_root).drop(BATCH)
     return latest_by_key(rows, spec.source_keys, VERSION, tiebreak)
 
@@ -69,7 +71,8 @@ def read_streamed(
     spark: SparkSession, spec: ModelSpec, tiebreak: Sequence[str], table_root: str
 ) -> DataFrame:
     """The gold table kept by :func:`start_stream`."""
-    return project(spec, streamed_rows(spark, spec, tiebreak, table_root), F.col(COMMIT_TIME))
+    rows = streamed_rows(spark, spec, tiebreak, table_root)
+    return project(spec, rows.filter(F.col(CHANGE_TYPE) != DELETE), F.col(COMMIT_TIME))
 
 
 def compact_streamed(

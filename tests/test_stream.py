@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeops import fixtures as fx
-from lakeops.operators.changes import VERSION
+from lakeops.operators.changes import VERSION, snapshot_as_of
 from lakeops.plans import specs
 from lakeops.plans.models import gold_increment
 from lakeops.plans.specs import ModelSpec
@@ -78,3 +78,23 @@ def test_invoices_streamed_to_a_dimension(spark, sf_dir, root):
     assert rows(streamed) == rows(gold_increment(spec, feed, fx.INVOICE_TIEBREAK))
     assert streamed.filter(F.col("ProdutoCodigo").isNull()).count() == 0
     assert VERSION in spark.read.parquet(f"{root}/table").columns
+
+
+@pytest.mark.parametrize("fold", [False, True])
+def test_streamed_deletes(spark, sf_dir, root, fold):
+    """The later half arrives first; a delete wins over older rows that come after it."""
+    feed = fx.event_feed(spark, sf_dir)
+    table = f"{root}/table"
+    for part in (read_changes(feed, 16), read_changes(feed, 0, 15)):
+        append_changes(part, f"{root}/log")
+        query = start_stream(
+            spark, f"{root}/log", feed.schema, USERS, fx.EVENT_TIEBREAK, table, f"{root}/checkpoint", None, True
+        )
+        query.awaitTermination()
+        if fold:
+            compact_streamed(spark, USERS, fx.EVENT_TIEBREAK, table, f"{table}-folded")
+            table = f"{table}-folded"
+    expected = snapshot_as_of(feed.filter("user_id is not null"), 99, ["user_id"], fx.EVENT_TIEBREAK)
+    streamed = read_streamed(spark, USERS, fx.EVENT_TIEBREAK, table)
+    assert rows(streamed.select("user", "last")) == rows(expected.select("user_id", "value"))
+    assert streamed.count() < feed.select("user_id").distinct().count()
