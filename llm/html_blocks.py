@@ -18,6 +18,8 @@ CLOSES_P = frozenset(
     "hr main menu nav ol p pre section table ul".split()
 )
 CONTAINERS = frozenset("article main section div td body".split())
+# Containers nested deeper count as the one at this depth, so paths stay short.
+DEEPEST = 64
 NOISE = re.compile(
     r"(?:^|[^a-z])(?:ad|ads|advert\w*|banner|promo\w*|sponsor\w*|cookie\w*|consent|notice|popup|modal|newsletter|"
     r"subscri\w*|social|share|sharing|related|recommend\w*|sidebar|widget|breadcrumb\w*|menu|nav\w*|header|footer|"
@@ -25,7 +27,11 @@ NOISE = re.compile(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 
-_TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|![^>]*>|\?[^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>)", re.S)
+# Quoted values may hold ">"; where quotes do not close before the next "<", the tag ends at
+# the first ">". No alternative reads on behind what it then takes, so a scan is linear.
+_TAG = re.compile(
+    r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^>"'<]++|"[^"<]*"|'[^'<]*')*+>|[^>]*>))""", re.S
+)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|aria-label)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 _RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 
@@ -86,9 +92,10 @@ def blocks(page: str, marks: bool = True, skipped_names: frozenset[str] = SKIPPE
             if links:
                 linked[0] += len(text.strip())
 
-    at = 0
+    # Behind the last ">" no tag ends.
+    at, last = 0, page.rfind(">") + 1
     while True:
-        m = _TAG.search(page, at)
+        m = _TAG.search(page, at, last)
         if m is None:
             add(page[at:])
             break
@@ -97,6 +104,8 @@ def blocks(page: str, marks: bool = True, skipped_names: frozenset[str] = SKIPPE
         at = m.end()
         name = m[2]
         if name is None:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                break
             continue
         name = name.lower()
         if m[1]:
@@ -132,7 +141,7 @@ def blocks(page: str, marks: bool = True, skipped_names: frozenset[str] = SKIPPE
         parent, skipped = (stack[-1][1], stack[-1][2]) if stack else ("", False)
         classes, noise = _traits(m[3])
         path = parent
-        if name in CONTAINERS:
+        if name in CONTAINERS and parent.count("/") < DEEPEST:
             path = f"{parent}/{name}" + (f".{classes}" if classes else "")
         stack.append((name, path, skipped or (marks and noise and name != "body") or name in skipped_names))
         links = 0

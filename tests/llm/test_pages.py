@@ -71,6 +71,12 @@ def test_articles_and_their_headings():
         ("<p>&lt;b&gt; &amp;amp; &#x1F600; &unknown; &#0;</p>", "<b> &amp; 😀 &unknown; �"),
         ("<body><nav><a href=x>only menus</a></nav></body>", ""),
         ("<p title='a>b'>quoted</p><p>" + "w " * 200_000 + "</p>", "quoted\n\n" + "w " * 199_999 + "w"),
+        ("<p>kept<!-- open <p>hidden</p> and this", "kept"),
+        ("<p class=it's>one</p><p title=\"x>two</p><b>", "one\n\ntwo"),
+        ("x" + "<a " * 50_000, "x" + ("<a " * 50_000).rstrip()),
+        ("y" + "<a \"" * 50_001 + ">z", "yz"),
+        ("<!" * 50_000 + ">w", "w"),
+        ("<div>" * 30_000 + "v" + "</div>" * 30_000, "v"),
         ("</div></p><div><div><div><p>deep</div>", "deep"),
     ],
 )
