@@ -30,6 +30,9 @@ from lakeops.plans.specs import (
     ModelSpec,
 )
 
+# Fixed values in this module: the column names of the silver and gold tables, and what the
+# fixtures put into them.
+
 NOW = f"TIMESTAMP '{RUN_TIME}'"
 
 CHANGE_COLUMNS = """
