@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeops.sinks.staging import Staging
 from llm.html_blocks import best_container, container_scores, page_blocks, text_of
+from llm.shipping import ship
 
 
 def _vote_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,6 +44,7 @@ def _extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    ship(pages.sparkSession)
     url = F.col(url_col).cast("string")
     # The part between // and the next of / ? # :, in lower case; without one, no host.
     host = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[^/?#]*//(?:[^/?#@]*@)?([^/?#:]*)", 1))

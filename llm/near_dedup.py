@@ -14,6 +14,7 @@ from llm import hyperminhash as hmh
 from llm.byteops import LOWER, shingle_hashes, span_hashes, text_chunks, word_bounds
 from llm.components import connected_components
 from llm.rows import as_rows, from_rows
+from llm.shipping import ship
 
 SHINGLE_WORDS = 5
 LINK_PERCENT = 80
@@ -138,6 +139,7 @@ def _block_links(table: pa.Table, percent: int) -> pa.Table:
 
 def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, set_key, registers) of every row."""
+    ship(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return own.mapInArrow(_sketch_batches, "doc_id long, n_shingles long, set_key binary, registers binary")
 

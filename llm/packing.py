@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeops.sinks.staging import Staging
 from llm.byteops import LOWER, span_hashes, text_chunks, word_bounds
+from llm.shipping import ship
 
 SEQUENCE = 2048
 END_ID = 1
@@ -269,8 +270,8 @@ def pack(
     alone. Other columns do not matter; an empty table gives an empty result. The
     tokenizer must have fewer than 65,536 ids and know ``<|endoftext|>``.
     """
-    spark = docs.sparkSession
-    stage = Staging(spark)
+    ship(docs.sparkSession)
+    stage = Staging(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     tokens = own.mapInArrow(
         lambda it: _token_batches(it, tokenizer_path, end_id),

@@ -15,6 +15,7 @@ from llm import crf
 from llm.byteops import text_chunks, word_bounds
 from llm.pii_examples import KINDS, labelled_sentences
 from llm.secret_scan import joined
+from llm.shipping import ship
 from llm.text_stats import counts_between
 
 LABELS = ("O", *(f"{edge}-{kind}" for kind in KINDS for edge in "BI"))
@@ -197,6 +198,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spans. Rows are independent: ids may be null or repeat, other columns do not
     matter, an empty table gives an empty result. There is no shuffle.
     """
+    ship(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     field = model()
     counts = ", ".join(f"n_{kind} long" for kind in KINDS)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lakeops.sinks.staging import Staging
 from llm.byteops import LOWER, span_hashes, text_chunks, word_bounds
+from llm.shipping import ship
 from llm.text_stats import counts_between, repeats, rule_counts
 
 FEATURES = (
@@ -164,6 +165,7 @@ def score_documents(
     the share of ones, 0.5 without any. A null id is no label's and its fold that of an
     empty text. Other columns do not matter; an empty table gives an empty result.
     """
+    ship(docs.sparkSession)
     stage = Staging(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     features = stage(own.mapInArrow(_feature_batches, "doc_id long, features array<double>"), "features")

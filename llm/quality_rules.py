@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeops.sinks.staging import Staging
 from llm.rows import as_rows, from_rows
+from llm.shipping import ship
 from llm.text_stats import rule_counts
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
@@ -35,6 +36,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def document_counts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
     """(doc_id, host, counts) of every row, in one pass over the text."""
+    ship(docs.sparkSession)
     own = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(host_col).cast("string").alias("host"),

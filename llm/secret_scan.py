@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.rows import as_rows, from_rows
+from llm.shipping import ship
 from llm.trigrams import TrigramIndex, compiled
 
 BASE = ("assign", "access", "hex")
@@ -109,6 +110,7 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", size_col: str | None
     ``size_col``, where given, becomes the new text's code points. Rows without
     secrets, null texts too, stay as they are.
     """
+    ship(docs.sparkSession)
     rows = as_rows(docs)
     kind, text_at = rows.schema["row"].dataType.simpleString(), docs.columns.index(text_col)
     done = rows.mapInArrow(lambda it: _redact_batches(it, text_at), f"row {kind}, changed string")
@@ -132,6 +134,7 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     repeat, other columns do not matter, an empty table gives an empty result. There
     is no shuffle; a task holds a segment of about 4 MB, or one longer text.
     """
+    ship(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return own.mapInArrow(
         _scan,

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.html_blocks import visible_text
+from llm.shipping import ship
 
 VERSION = "WARC/1.1"
 CRAWL_DATE = "2024-01-01T00:00:00Z"
@@ -109,6 +110,7 @@ def derivatives(records: DataFrame) -> DataFrame:
     and links as fields, the conversion record its text without markup. Record ids
     follow from the response's. A response without content gives an empty text.
     """
+    ship(records.sparkSession)
     headers = F.map_filter(F.col("headers"), lambda _, v: v.isNotNull())
     rows = records.select(
         F.col("source_id").cast("long").alias("source_id"), headers.alias("headers"), F.coalesce("content", F.lit("")).alias("content")
