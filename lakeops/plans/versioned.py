@@ -22,7 +22,6 @@ from lakeops.sinks.tables import (
     append_changes,
     current_version,
     export_parquet,
-    mark_commits,
     read_version,
     write_version,
 )
@@ -87,8 +86,7 @@ def _store(
     change_log: str | None,
 ) -> None:
     if change_log:
-        append_changes(feed, change_log, replace=True)
-        mark_commits(active.sparkSession, change_log, [version])
+        append_changes(feed, change_log, replace=True, versions=[version])
     ended.write.mode("overwrite").parquet(f"{root}/{ENDED}/c={version}")
     write_version(active.hint("rebalance"), root, partition_by=[ACTIVE])
 

@@ -178,20 +178,30 @@ def drop_versions_before(spark: SparkSession, root: str, version: int) -> None:
 MARKS = "_commits"
 
 
-def append_changes(changes: DataFrame, log: str, replace: bool = False) -> None:
+def append_changes(
+    changes: DataFrame,
+    log: str,
+    replace: bool = False,
+    versions: Sequence[int] | None = None,
+) -> None:
     """Write commits to a change log, one folder per ``_commit_version``.
 
     A commit that is marked already is refused: written in two calls, the second would
-    take the place of the first. ``replace`` writes it again, for retries. Rows are
-    spread evenly over tasks before the write, whatever the share of one commit.
+    take the place of the first. ``replace`` writes it again, for retries. ``versions``
+    names the commits at hand, also one without rows; without it they are looked up
+    first, which computes the changes once more. Rows are spread evenly over tasks
+    before the write, whatever the share of one commit.
     """
     spark = changes.sparkSession
-    versions = [r[0] for r in changes.select(VERSION).distinct().collect()]
+    if versions is None:
+        versions = [r[0] for r in changes.select(VERSION).distinct().collect()]
     known = sorted(set(versions) & set(marked_commits(spark, log)))
     if known and not replace:
         raise ValueError(f"commits {known} are in {log} already")
-    for version in known:
+    for version in versions:
+        # The mark first; the folder may be a failed attempt's.
         delete_path(spark, f"{log}/{MARKS}/{version}")
+        delete_path(spark, f"{log}/{VERSION}={version}")
     (
         changes.hint("rebalance", VERSION)
         .write.mode("overwrite")
