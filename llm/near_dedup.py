@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeops.sinks.staging import Staging
 from llm import hyperminhash as hmh
+from llm.batches import small_batches
 from llm.byteops import LOWER, shingle_hashes, span_hashes, text_chunks, word_bounds
 from llm.components import connected_components
 from llm.rows import as_rows, from_rows
@@ -169,7 +170,8 @@ def near_duplicates(
     """
     spark = docs.sparkSession
     stage = Staging(spark)
-    sketches = stage(sketch_documents(docs, id_col, text_col), "sketches")
+    with small_batches(spark):
+        sketches = stage(sketch_documents(docs, id_col, text_col), "sketches")
     classes = stage(
         sketches.where("n_shingles > 0 and doc_id is not null")
         .groupBy("set_key")
@@ -178,8 +180,9 @@ def near_duplicates(
     )
     members = stage(_bucket_members(classes, hmh.band_rows(link_percent / 100)), "members")
     sets = _member_sets(docs, id_col, text_col, members)
-    sets = stage(sets, "sets")
-    links = stage(_star_links(members, classes, sets, link_percent), "links")
+    with small_batches(spark):
+        sets = stage(sets, "sets")
+        links = stage(_star_links(members, classes, sets, link_percent), "links")
     part = stage(connected_components(links, stage, "part"), "part-labels")
     rest = stage(_residual_links(members, part, sets, classes, link_percent), "rest")
     labels = connected_components(links.unionByName(rest), stage, "whole")

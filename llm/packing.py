@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.sinks.staging import Staging
+from llm.batches import small_batches
 from llm.byteops import LOWER, span_hashes, text_chunks, word_bounds
 from llm.shipping import ship
 
@@ -277,7 +278,8 @@ def pack(
         lambda it: _token_batches(it, tokenizer_path, end_id),
         "doc_id long, n_tokens long, place long, tokens binary",
     )
-    tokens = stage(tokens.withColumn("row", F.monotonically_increasing_id()), "tokens")
+    with small_batches(docs.sparkSession):
+        tokens = stage(tokens.withColumn("row", F.monotonically_increasing_id()), "tokens")
     starts = _stream_starts(tokens.select("row", "place", "n_tokens"), stage)
     return (
         tokens.select("row", "doc_id", F.col("n_tokens").alias("doc_tokens"), "tokens")
