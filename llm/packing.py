@@ -23,7 +23,7 @@ SPREAD = 8.0
 # Words given to the tokenizer at once, divided by a special token.
 ENCODE_WORDS = 4096
 SEPARATOR = "<|endoftext|>"
-REMEMBERED = 150_000
+REMEMBERED = 400_000
 _encoders: dict[str, object] = {}
 
 
