@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import html
 import re
+from functools import lru_cache
 
 # Element names of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
-    "strong sub sup time tt u var wbr br img".split()
+    "strong sub sup time tt u var wbr br img "
+    "math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace "
+    "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
-RAW = frozenset("script style noscript template textarea title iframe svg math object select".split())
-SKIPPED = RAW | frozenset("nav header footer aside form button dialog menu head".split())
+RAW = frozenset("script style noscript template textarea title iframe svg annotation annotation-xml object select".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
     "hr main menu nav ol p pre section table ul".split()
@@ -20,11 +22,28 @@ CLOSES_P = frozenset(
 CONTAINERS = frozenset("article main section div td body".split())
 # Containers nested deeper count as the one at this depth, so paths stay short.
 DEEPEST = 64
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Words of class names and ids. Of others' words (comments, consent) a page often has more than of its own.
+OTHERS = re.compile(r"comment\w*|disqus|repl(?:y|ies)|discussion|cookie\w*|consent")
 NOISE = re.compile(
-    r"(?:^|[^a-z])(?:ad|ads|advert\w*|banner|promo\w*|sponsor\w*|cookie\w*|consent|notice|popup|modal|newsletter|"
-    r"subscri\w*|social|share|sharing|related|recommend\w*|sidebar|widget|breadcrumb\w*|menu|nav\w*|header|footer|"
-    r"comment\w*|disqus|repl(?:y|ies)|discussion|pagination|pager|login|signup|masthead|toolbar|copyright)(?![a-z])"
+    r"ads?|advert\w*|banner|promo\w*|sponsor\w*|cookie\w*|consent|notice|popup|modal|newsletter|"
+    r"subscri\w*|social|share|sharing|related|recommend\w*|sidebar|widgets?|breadcrumb\w*|menu|nav\w*|header|footer|"
+    r"comment\w*|disqus|repl(?:y|ies)|discussion|pagination|pager|login|signup|masthead|toolbar|copyright"
 )
+# Builders' words that say nothing within a longer name, and ids that sections take from their headings.
+BARE = re.compile(r"widgets?")
+TOPICS = re.compile(r"discussion|related|shar\w+|recommend\w*|consent|notice|social|repl(?:y|ies)|copyright|sponsor\w*|advert\w*")
+STRUCTURE = frozenset("area bar block body box col container content group inner list outer panel section text thread title wrap wrapper".split())
+LACKS = frozenset("has hide no not show with without".split())
+OWN = frozenset("article body content entry heading main page post section story text title".split())
+# How sure a mark is. A NAMED element (nav and the like) is part of the text only where it
+# holds the page, a whole class name also where nearly nothing is left without it; a form or
+# a name with other words in it where it holds most of the text; others' words and hidden
+# elements where nothing is left.
+LIKELY, WHOLE, NAMED, SURE = range(1, 5)
+MARKED_NAMES = {n: NAMED for n in ("nav", "header", "footer", "aside")} | {"form": LIKELY, "button": LIKELY, "menu": LIKELY, "dialog": SURE}
+# Marks told apart within nested ones.
+MOST_MARKS = 64
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 
 # Quoted values may hold ">"; where quotes do not close before the next "<", the tag ends at
@@ -36,44 +55,98 @@ _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|aria-label)(?:\s*=
 _RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 
 
-def _traits(attributes: str) -> tuple[str, bool]:
-    """(generalised classes, whether an attribute marks the element as no part of the text)."""
+@lru_cache(1 << 16)
+def _name_level(name: str) -> int:
+    """How sure a class name or id marks its element as no part of the text; 0 if it does not."""
+    parts = [p for p in re.split(r"[^a-z]+", name) if p]
+    words = [p for p in parts if NOISE.fullmatch(p)]
+    if not words or parts[0] in LACKS:
+        return 0
+    telling = [p for p in parts if p in words or p not in STRUCTURE]
+    last, whole = telling[-1], len(telling) == len(words)
+    if OTHERS.fullmatch(last) or (whole and any(map(OTHERS.fullmatch, words))):
+        return SURE
+    if last in ("header", "banner", "masthead") and OWN.intersection(parts[: parts.index(last)]):
+        return 0
+    if whole:
+        return WHOLE
+    return 0 if all(map(BARE.fullmatch, words)) else LIKELY
+
+
+def _traits(element: str, attributes: str) -> tuple[str, tuple[int, str] | None]:
+    """(generalised classes, the surest mark of the element as no part of the text)."""
     if not attributes or attributes.isspace():
-        return "", False
-    classes, noise = "", False
+        return "", None
+    classes, ids, mark = [], [], (0, "")
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next((v for v in values if v), "").lower()
         if name == "class":
-            classes = ".".join(sorted({re.sub(r"\d+", "0", c) for c in value.split()}))
-        if name in ("class", "id"):
-            noise |= bool(NOISE.search(value))
-        elif name == "role":
-            noise |= value in ROLES
-        elif name == "hidden" or name == "aria-hidden":
-            noise |= name == "hidden" or value == "true"
-    return classes, noise
+            classes = value.split()
+        elif name == "id":
+            ids = value.split()
+        elif name == "role" and value in ROLES:
+            mark = max(mark, (LIKELY if value == "form" else WHOLE, f"role={value}"))
+        elif name == "hidden" or (name == "aria-hidden" and value == "true"):
+            mark = max(mark, (SURE, "hidden"))
+    if element not in ("html", "body", "main"):
+        # Ids of headings and sections are anchors named after the topic.
+        anchored = element in ("section", "p", "li", "dt") or "section" in classes
+        for value in classes:
+            level = _name_level(value)
+            if element not in HEADINGS or level == SURE:
+                mark = max(mark, (level, value))
+        for value in () if element in HEADINGS else ids:
+            level = _name_level(value)
+            if not (anchored and (level == LIKELY or any(map(TOPICS.fullmatch, re.split(r"[^a-z]+", value))))):
+                mark = max(mark, (level, value))
+    generalised = ".".join(sorted({re.sub(r"\d+", "0", c) for c in classes}))
+    return generalised, mark if mark[0] and element != "body" else None
 
 
 class Block(tuple):
-    """(text, container path, characters within links)."""
+    """(text, container path, characters within links, name of its element)."""
 
     __slots__ = ()
 
 
 def page_blocks(page: str) -> list[Block]:
-    """:func:`blocks`; where class marks leave no text (a wrapper named after its sidebar), without them."""
-    return blocks(page) or blocks(page, marks=False)
+    """Blocks of the page's own text."""
+    return blocks(page)
+
+
+def blocks(page: str, marks: bool = True) -> list[Block]:
+    """Text blocks in page order, without those of marked elements that are no part of the text."""
+    found, holds = _scan(page)
+    if not marks:
+        return [block for block, _ in found]
+    # All elements of one mark are judged together, by their text outside links.
+    share: dict[tuple[int, str], int] = {}
+    total = 0
+    for (text, _, linked, _), own in found:
+        if not any(level == SURE for level, _ in own):
+            total += len(text) - linked
+            for mark in own:
+                share[mark] = share.get(mark, 0) + len(text) - linked
+    kept = {
+        mark
+        for mark, chars in share.items()
+        if (2 * chars > total and (mark[0] == LIKELY or mark in holds)) or (mark[0] == WHOLE and chars and 10 * chars >= 9 * total)
+    }
+    out = [block for block, own in found if own <= kept]
+    return out or [block for block, own in found if not any(level == NAMED for level, _ in own)]
 
 
-def blocks(page: str, marks: bool = True, skipped_names: frozenset[str] = SKIPPED) -> list[Block]:
-    """Text blocks in page order, without those of skipped or marked elements.
+def _scan(page: str) -> tuple[list[tuple[Block, frozenset]], set[tuple[int, str]]]:
+    """(every block with the marks of the elements around it, marks around a main element or first heading).
 
     A path lists the open containers from the outside in, each as tag and sorted
     classes with digits folded, so pages of one template share paths. Elements left
     open are closed by their parent's end, paragraphs by the next block element.
     """
-    out: list[Block] = []
-    stack: list[tuple[str, str, bool]] = []  # name, path with it, skipped
+    holds: set[tuple[int, str]] = set()
+    out: list[tuple[Block, frozenset]] = []
+    none: frozenset[tuple[int, str]] = frozenset()
+    stack: list[tuple[str, str, frozenset]] = []  # name, path with it, marks
     parts: list[str] = []
     linked = [0]
     links = 0
@@ -81,12 +154,13 @@ def blocks(page: str, marks: bool = True, skipped_names: frozenset[str] = SKIPPE
     def flush() -> None:
         text = " ".join("".join(parts).split())
         if text:
-            out.append(Block((text, stack[-1][1] if stack else "", min(linked[0], len(text)))))
+            name, path, own = stack[-1] if stack else ("", "", none)
+            out.append((Block((text, path, min(linked[0], len(text)), name)), own))
         parts.clear()
         linked[0] = 0
 
     def add(text: str) -> None:
-        if text and not (stack and stack[-1][2]):
+        if text and not (stack and stack[-1][0] == "head"):
             text = html.unescape(text)
             parts.append(text)
             if links:
@@ -138,20 +212,26 @@ def blocks(page: str, marks: bool = True, skipped_names: frozenset[str] = SKIPPE
             stack.pop()
         if name == "li" and stack and stack[-1][0] == "li":
             stack.pop()
-        parent, skipped = (stack[-1][1], stack[-1][2]) if stack else ("", False)
-        classes, noise = _traits(m[3])
+        parent, around = (stack[-1][1], stack[-1][2]) if stack else ("", none)
+        classes, mark = _traits(name, m[3])
+        if name in ("h1", "main"):
+            holds |= around
+        if name in MARKED_NAMES and not (name == "header" and any(n in ("article", "main") for n, _, _ in stack[-16:])):
+            mark = max(mark or (0, ""), (MARKED_NAMES[name], f"<{name}>"))
+        if mark and len(around) < MOST_MARKS:
+            around |= {mark}
         path = parent
         if name in CONTAINERS and parent.count("/") < DEEPEST:
             path = f"{parent}/{name}" + (f".{classes}" if classes else "")
-        stack.append((name, path, skipped or (marks and noise and name != "body") or name in skipped_names))
+        stack.append((name, path, around))
         links = 0
     flush()
-    return out
+    return out, holds
 
 
 def visible_text(page: str) -> str:
     """All text a page shows, menus and notices too, without scripts and the like."""
-    return text_of(blocks(page, marks=False, skipped_names=RAW | {"head"}), None)
+    return text_of(blocks(page, marks=False), None)
 
 
 def container_scores(found: list[Block]) -> dict[str, float]:
@@ -161,7 +241,7 @@ def container_scores(found: list[Block]) -> dict[str, float]:
     around it, so the innermost one that holds most of the text wins.
     """
     scores: dict[str, float] = {}
-    for text, path, linked in found:
+    for text, path, linked, _ in found:
         value = float(len(text) - 2 * linked)
         while path:
             scores[path] = scores.get(path, 0.0) + value
@@ -179,5 +259,5 @@ def best_container(scores: dict[str, float]) -> str | None:
 
 def text_of(found: list[Block], path: str | None) -> str:
     """Blocks inside a container, joined by an empty line; all of them without one."""
-    inside = [t for t, p, _ in found if path is None or p == path or p.startswith(f"{path}/")]
+    inside = [t for t, p, _, _ in found if path is None or p == path or p.startswith(f"{path}/")]
     return "\n\n".join(inside)

@@ -58,6 +58,29 @@ def test_articles_and_their_headings():
     assert [b[0] for b in page_blocks(wrapper)] == ["All the text there is."]
 
 
+LONG = "Some words of the article. " * 20
+
+
+@pytest.mark.parametrize(
+    "html,kept,gone",
+    [
+        ("<div class='page has-sidebar'><p>article</p></div><p>Powered by X</p>", ["article"], []),
+        (f"<html class='no-comments'><div class='layout sidebar-right'><p>{LONG}</p><div class=sidebar>Side</div></div>", [LONG], ["Side"]),
+        (f"<body><form id=aspnetForm><nav>Menu</nav><div><p>{LONG}</p></div></form><footer>Foot words</footer>", [LONG], ["Menu", "Foot"]),
+        (f"<div><div class='article-header'><h1>Title</h1></div><p>{LONG}</p></div>", ["Title", LONG], []),
+        (f"<article><header><h1>Title</h1></header><p>{LONG}</p></article>", ["Title", LONG], []),
+        ("".join(f"<div class='elementor-widget elementor-widget-text'><p>Part {i}.</p></div>" for i in range(9)), ["Part 0", "Part 8"], []),
+        (f"<div><p>{LONG}</p><h2 id=discussion>Discussion</h2><section id=related-work><p>Others did.</p></section></div>", ["Discussion", "Others did"], []),
+        (f"<div><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p><p>{LONG}</p></div>", ["Let x=1 be."], []),
+        (f"<div><p>{LONG}</p></div><div class=post-comments>{LONG * 3}comment end</div><form>Name</form>", [LONG], ["comment end", "Name"]),
+        (f"<div><p>{LONG}</p></div><div class=related-posts>Next</div><div class=cookie-notice>{LONG * 9}we bake</div>", [LONG], ["Next", "we bake"]),
+    ],
+)
+def test_names_alone_drop_no_article_text(html, kept, gone):
+    text = "\n\n".join(b[0] for b in page_blocks(html))
+    assert all(k.strip() in text for k in kept) and not any(g in text for g in gone)
+
+
 @pytest.mark.parametrize(
     "html,text",
     [
