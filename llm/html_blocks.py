@@ -257,7 +257,49 @@ def best_container(scores: dict[str, float]) -> str | None:
     return around[0] if around else best
 
 
-def text_of(found: list[Block], path: str | None) -> str:
-    """Blocks inside a container, joined by an empty line; all of them without one."""
-    inside = [t for t, p, _, _ in found if path is None or p == path or p.startswith(f"{path}/")]
-    return "\n\n".join(inside)
+def within(path: str, container: str) -> bool:
+    """Whether a block's path lies in a container; of one that ends in "/", directly in it."""
+    return path == container[:-1] if container.endswith("/") else path == container or path.startswith(f"{container}/")
+
+
+def main_container(found: list[Block]) -> str | None:
+    """The best container, widened to main, or to any around it whose other blocks are low in links.
+
+    The body is widened to only where most of what it adds stands in it directly, and
+    what is around an article only where a first heading is added. Of a container that
+    is not widened to, a heading and the blocks beside it still count: further lines of
+    the result name such containers, with "/" at the end.
+    """
+    best = best_container(container_scores(found))
+    if best is None:
+        return None
+    rest = [b for b in found if not within(b[1], best)]
+    around, article, beside = best.rpartition("/")[0], "/article" in best, []
+    while around and rest:
+        added = [b for b in rest if within(b[1], around)]
+        chars, linked = sum(len(b[0]) for b in added), sum(b[2] for b in added)
+        name = around.rpartition("/")[2].partition(".")[0]
+        fits = name == "main" or 3 * linked <= chars
+        if name == "body":
+            fits &= 2 * sum(len(b[0]) for b in added if b[1] == around) >= chars
+        if article:
+            fits &= any(b[3] == "h1" for b in added)
+        own = [b for b in added if b[1] == around]
+        if added and fits:
+            best, beside, rest = around, [], [b for b in rest if not within(b[1], around)]
+        elif any(b[3] == "h1" for b in own) and 3 * sum(b[2] for b in own) <= sum(len(b[0]) for b in own):
+            beside.append(f"{around}/")
+        around = around.rpartition("/")[0]
+    return "\n".join([best, *beside])
+
+
+def text_of(found: list[Block], paths: str | None) -> str:
+    """Blocks inside the containers (one a line), joined by an empty line; all of them without any."""
+    return "\n\n".join(b[0] for b in inside(found, paths))
+
+
+def inside(found: list[Block], paths: str | None) -> list[Block]:
+    if paths is None:
+        return found
+    containers = paths.split("\n")
+    return [b for b in found if any(within(b[1], c) for c in containers)]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.sinks.staging import Staging
-from llm.html_blocks import best_container, container_scores, page_blocks, text_of
+from llm.html_blocks import main_container, page_blocks, text_of
 from llm.shipping import ship
 
 
@@ -18,8 +18,7 @@ def _vote_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         hosts, paths = [], []
         for host, page in zip(batch.column("host"), batch.column("html"), strict=True):
-            scores = container_scores(page_blocks(page.as_py() or ""))
-            best = best_container(scores)
+            best = main_container(page_blocks(page.as_py() or ""))
             if best is not None:
                 hosts.append(host.as_py())
                 paths.append(best)
@@ -36,7 +35,7 @@ def _extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             found, path = page_blocks(page.as_py() or ""), path.as_py()
             text = text_of(found, path) if path is not None else ""
             if not text:
-                text = text_of(found, best_container(container_scores(found)))
+                text = text_of(found, main_container(found))
             texts.append(text)
         yield pa.record_batch(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"]

@@ -6,7 +6,7 @@ import pytest
 from helpers import CLASHES
 from pyspark.sql import functions as F
 
-from llm.html_blocks import best_container, blocks, container_scores, page_blocks
+from llm.html_blocks import best_container, blocks, container_scores, main_container, page_blocks, text_of
 from llm.html_text import host_paths, main_text
 from llm.queries import queries
 from llm.warc import derivatives, read_warc, responses, write_warc
@@ -81,6 +81,21 @@ def test_names_alone_drop_no_article_text(html, kept, gone):
     assert all(k.strip() in text for k in kept) and not any(g in text for g in gone)
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<body><main><h1>Title</h1><p>The lede.</p><div class=body><p>{LONG}</p><p>{LONG}</p></div></main></body>",
+        f"<body><h1>Title</h1><p>The lede.</p><div class=body><p>{LONG}</p></div></body>",
+        f"<body><div id=w><section class=top><h1>Title</h1><p>The lede.</p></section><section class=b><p>{LONG * 4}</p></section></div></body>",
+        f"<body><main><h1>Title</h1><p>The lede.</p><article><p>{LONG}</p></article></main></body>",
+    ],
+)
+def test_title_and_lede_beside_the_longest_container_stay(html):
+    links = "<div class=x><p><a href=/>Far away</a> <a href=/>and farther</a></p></div>"
+    text = text_of(found := page_blocks(html.replace("</body>", links + "</body>")), main_container(found))
+    assert text.startswith("Title\n\nThe lede.\n\nSome words") and "Far away" not in text
+
+
 @pytest.mark.parametrize(
     "html,text",
     [
