@@ -51,6 +51,22 @@ def test_consensus_corrects_a_page_whose_own_best_is_wrong(spark):
     assert together[99] == EXPECTED.format(i=99, more="")
 
 
+def test_a_second_template_of_a_host_keeps_its_articles(spark):
+    """The winning path has an intro on each page of the other template, and a caption on a page of none."""
+    first = "<body><div class=text><p>{}</p></div><div class=foot><p>Foot</p></div></body>"
+    second = "<body><div class=text><p>Intro {}.</p></div><div class=story><p>{}</p></div></body>"
+    lone = "<body><div class=text><p>Caption.</p></div><div class=lone><p>{}</p></div></body>"
+    bodies = [LONG * 2 + f"end {i}" for i in range(10)]
+    rows = [(i, f"http://c.org/{i}", first.format(bodies[i])) for i in range(6)]
+    rows += [(i, f"http://c.org/{i}", second.format("word " * 20, bodies[i])) for i in range(6, 9)]
+    rows += [(9, "http://c.org/9", lone.format(bodies[9]))]
+    out = {r.page_id: r.text for r in main_text(pages(spark, rows)).collect()}
+    assert [out[i] for i in range(6)] == bodies[:6]
+    assert all(bodies[i] in out[i] and "Foot" not in out[i] for i in range(6, 10))
+    [won] = host_paths(pages(spark, rows)).collect()
+    assert (won.path, won.votes, won.others) == ("/body/div.text", 6, ["/body/div.story"])
+
+
 def test_articles_and_their_headings():
     html = "<body><div><p>short</p></div><article class=x7><h1>H</h1><div class=inner><p>" + "long text " * 50 + "</p></div></article></body>"
     assert best_container(container_scores(blocks(html))) == "/body/article.x0"
