@@ -14,13 +14,27 @@ from llm.shipping import ship
 from llm.trigrams import TrigramIndex, compiled
 
 BASE = ("assign", "access", "hex")
+# A private key from its BEGIN to its END line, whatever stands between them but another such
+# line. Without an END line: headers, long base64 words (quoted, indented or parted by escaped
+# line ends as well), and then whole lines of shorter ones or a padded end. No look-around, so
+# that SQL engines take the rule.
+_SEP = r"""(?:[\x20\t\r\n>|#*"'+,;]|\\[nrt])"""
+_EOL = r"(?:\r?\n|\\r\\n|\\n)"
+_KEY = (
+    r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+    r"(?:[^-]*(?:-{1,4}[^-]+)*-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+    r"|(?:(?:\\[nrt]|[^A-Za-z0-9-]){0,40}[A-Z][A-Za-z-]*:\x20(?:[^-]|-[^-]){0,200}?[^A-Za-z0-9+/=-][A-Za-z0-9+/=]{40,})?"
+    rf"(?:{_SEP}*[A-Za-z0-9+/=]{{24,}})*"
+    rf"(?:{_SEP}+(?:[A-Za-z0-9+/]+={{1,2}}|=[A-Za-z0-9+/]{{4}})){{0,2}}"
+    rf"(?:(?:{_EOL}[\x20\t>|#*]*[A-Za-z0-9+/=]+)+(?:{_EOL}|$))?)"
+)
 # The kinds, their patterns and the least length of the secret part
 # (group 2 of assign, else the whole match). Base kinds first.
 RULES = {
     "assign": (r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6),
     "access": (r"AKIA[A-Z0-9]+", 20),
     "hex": (r"[0-9a-f]+", 24),
-    "private_key": (r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 27),
+    "private_key": (_KEY, 27),
     "code_host": (r"gh[opsur]_[A-Za-z0-9]+", 40),
     "chat": (r"xox[abprs]-[A-Za-z0-9-]+", 20),
     "maps": (r"AIza[A-Za-z0-9_-]+", 39),
@@ -128,7 +142,8 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Each pattern's mandatory trigrams give a Boolean query; postings of each segment of
     texts are intersected, and only candidates are verified by the pattern. ``hex`` has
     no mandatory trigram and scans fully. ``spans`` lists kind:start:end (code points)
-    by start and kind; ``base_sha256`` is the digest of the base kinds' list.
+    by start and kind; ``base_sha256`` is the digest of the base kinds' list. A private
+    key's span holds the key itself, to its END line or to the end of its base64 lines.
 
     Null and empty texts have no spans. Rows are independent: ids may be null or
     repeat, other columns do not matter, an empty table gives an empty result. There

@@ -74,6 +74,26 @@ def test_redaction_takes_effect_and_keeps_rows(spark):
     assert changed.n_chars == len(changed.text) and "[SECRET]" in changed.text
 
 
+def test_no_line_of_a_private_key_survives(spark):
+    """With and without END, other line ends, quoting and headers; the prose after it stays."""
+    import base64
+    import random
+
+    data = base64.b64encode(random.Random(1).randbytes(600)).decode()
+    lines = [data[i : i + 64] for i in range(0, len(data), 64)]
+    rows = []
+    for name, head in [("PRIVATE KEY", []), ("RSA PRIVATE KEY", ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0102", ""]), ("PGP PRIVATE KEY BLOCK", ["Version: 2", ""])]:
+        for end in ([f"-----END {name}-----"], []):
+            for part in ("\n", "\r\n", "\\n", " ", "\n    ", "\n> ", '\\n" +\n  "'):
+                text = part.join([f"Before.\n-----BEGIN {name}-----", *head, *lines, *end]) + "\n\nAfter this, prose goes on."
+                rows.append((len(rows), text, "en", "a", len(text)))
+    for r in redact_secrets(table(spark, rows)).collect():
+        assert r.text == "Before.\n[SECRET]\n\nAfter this, prose goes on."
+    mention = "A line -----BEGIN PRIVATE KEY----- is first in a key, says the manual."
+    done = redact_secrets(table(spark, [(1, mention, "en", "a", len(mention))])).first().text
+    assert done == mention.replace("-----BEGIN PRIVATE KEY-----", "[SECRET]")
+
+
 def test_trigram_queries_never_lose_a_match():
     index = TrigramIndex(PATTERNS)
     assert trigram_query(RULES["hex"][0]) == () and trigram_query(RULES["access"][0]) == (frozenset({b"akia"}),)
