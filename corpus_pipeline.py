@@ -33,8 +33,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
-    return mixed_documents(docs)
+    """Whole documents as often as the mix of sources takes them."""
+    return mixed_documents(docs, whole=True)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

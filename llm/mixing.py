@@ -109,8 +109,9 @@ def planned(
     weights: tuple[float, ...] = SOURCE_WEIGHTS,
     share: float = BUDGET_SHARE,
     most_epochs: float = MOST_EPOCHS,
+    whole: bool = False,
 ) -> DataFrame:
-    """``sized`` (source, size, key and more) with source_size, target and taken."""
+    """``sized`` (source, size, key and more) with source_size, target and taken; ``whole`` parts no document."""
     kept = [c for c in sized.columns if c != "key"]
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("documents"))
     targets = stage(source_targets(sources, weights, share, most_epochs), "targets")
@@ -135,6 +136,10 @@ def planned(
     epochs = F.coalesce(epochs, F.lit(0))
     rest = F.floor(F.col("target")) - epochs * F.col("source_size")
     part = F.least(F.col("size"), F.greatest(rest - before, F.lit(0)))
+    if whole:
+        # The nearer end of the document the target falls into; a source is not left without any.
+        ends = (2 * part >= F.col("size")) | ((epochs == 0) & (before == 0))
+        part = F.when((part > 0) & ends, F.col("size")).otherwise(F.lit(0))
     return rows.select(*kept, "source_size", "target", (epochs * F.col("size") + part).cast("long").alias("taken"))
 
 
@@ -148,12 +153,14 @@ def mixed_documents(
     share: float = BUDGET_SHARE,
     most_epochs: float = MOST_EPOCHS,
     seed: int = SEED,
+    whole: bool = False,
 ) -> DataFrame:
     """The rows of the mix with all columns of ``docs``: once for each epoch that takes them.
 
     As :func:`mixture`, whose decisions these are. The one document of a source that
     gives only its first words has them joined by spaces; ``size_col``, where given, is
-    then the code points of that text.
+    then the code points of that text. With ``whole`` that document is taken or left as it
+    is, whichever lands nearer to the target, and taken where the source has no other.
     """
     stage = Staging(docs.sparkSession)
     rows = as_rows(docs, doc_id=id_col, source=source_col)
@@ -161,7 +168,7 @@ def mixed_documents(
     text = F.col(f"row.c{docs.columns.index(text_col)}").cast("string")
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("size", word_count(text))
     key = -F.log(uniform(F.col("doc_id"), F.lit(seed))) / quality_weight(text, F.col("size"))
-    mix = planned(rows.withColumn("key", key), stage, weights, share, most_epochs).where("taken > 0")
+    mix = planned(rows.withColumn("key", key), stage, weights, share, most_epochs, whole).where("taken > 0")
     copies = F.concat(
         F.array_repeat(F.col("size"), (F.col("taken") / F.col("size")).cast("int")),
         F.filter(F.array(F.col("taken") % F.col("size")), lambda n: n > 0),

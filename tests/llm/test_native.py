@@ -171,3 +171,17 @@ def test_mixing_of_awkward_rows(spark):
     assert {(r.target, r.taken) for r in mixture(empty).collect()} == {(0.0, 0)}
     with Staging(spark) as stage:
         assert stage(out, "again").count() == len(sizes)
+
+
+def test_a_mix_of_whole_documents_parts_none(spark):
+    """Texts keep their line ends; each source lands within half a document of its target."""
+    rows = [(i, text_of(i, 30 + i).replace(" ", "\n", 5), "en", "abc"[i % 3], 1) for i in range(60)]
+    rows.append((99, text_of(99, 4000), "en", "d", 1))
+    df = table(spark, rows)
+    target = {r.source: r.target for r in mixture(df, share=0.4).collect()}
+    taken = mixed_documents(df, share=0.4, whole=True).collect()
+    assert {r.text for r in taken} <= {r[1] for r in rows} and {r.n_chars for r in taken} == {1}
+    for source in "abc":
+        words = sum(len(WORD.findall(r.text)) for r in taken if r.source == source)
+        assert abs(words - target[source]) <= 45.5, "half of the longest document, and less than a word"
+    assert [r.doc_id for r in taken if r.source == "d"] == [99]
