@@ -120,5 +120,112 @@ FROM ruled r JOIN verdicts v ON r.host IS NOT DISTINCT FROM v.host
 """
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+# The table of the reflected crc32, from its polynomial, and the crc32 of a text's UTF-8 bytes.
+CRC_TABLE = """crc_table AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+
+
+def _crc(text: str) -> str:
+    code = f"hex(encode({text}))"
+    units = f"list_transform(range(1, length({code}), 2), lambda i: ('0x' || substr({code}, i, 2))::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295], {units}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def _features(table: str) -> str:
+    folded = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
+    return rf"regexp_extract_all({folded}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {table}"
+
+
+OP11 = f"""
+WITH {CRC_TABLE}, docs AS (SELECT doc_id, {_features("documents")}
+), each AS (SELECT doc_id, unnest(w) AS f FROM docs
+), wanted AS (SELECT unnest(w) AS f FROM (SELECT {_features("benchmark")})
+), buckets AS (SELECT f, {_crc("f")} % 10000 AS b FROM (SELECT f FROM each UNION SELECT f FROM wanted), crc_table
+), raw AS (SELECT b, count(*) AS n FROM each JOIN buckets USING (f) GROUP BY b
+), target AS (SELECT b, count(*) AS n FROM wanted JOIN buckets USING (f) GROUP BY b
+), sums AS (SELECT (SELECT count(*) FROM each) AS s, (SELECT count(*) FROM wanted) AS t
+), gains AS (
+    SELECT b, floor(1000 * ln((coalesce(target.n, 0) + 1)::DOUBLE * (s + 10000)::DOUBLE
+                              / ((coalesce(raw.n, 0) + 1)::DOUBLE * (t + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM raw FULL JOIN target USING (b), sums
+), weights AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM each JOIN buckets USING (f) JOIN gains USING (b) GROUP BY doc_id
+), scored AS (
+    SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5) / 4294967296.0::DOUBLE)))::BIGINT AS score
+    FROM docs LEFT JOIN weights USING (doc_id)
+), ranked AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, 10 * count(*) OVER () // 100 AS k FROM scored WHERE n_features >= 20)
+SELECT s.*, CASE WHEN r <= k THEN r END AS rank FROM scored s LEFT JOIN ranked USING (doc_id)
+"""
+
+
+def _leaf(text: str) -> str:
+    parts = [f"coalesce(strlen({c}::VARCHAR) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _tree(name: str, height: int) -> str:
+    """Levels over the nodes ``<name>0`` (g, p, h, c: group, place, hash, nodes of the group), and their siblings."""
+    out = []
+    for k in range(height):
+        run = "PARTITION BY g, p // 16 ORDER BY p ROWS BETWEEN"
+        out.append(f"""{name}s{k} AS (
+    SELECT g, p, c, coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS x,
+           coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS y FROM {name}{k}
+), {name}{k + 1} AS (
+    SELECT g, p // 16 AS p, CASE WHEN c > 1 THEN sha256(string_agg(h, '' ORDER BY p)) ELSE min(h) END AS h, (c + 15) // 16 AS c
+    FROM {name}{k} GROUP BY g, p // 16, c)""")
+    return ", ".join(out)
+
+
+def _siblings(name: str, height: int, group: str, place: str) -> tuple[str, str]:
+    """Joins of a path's siblings by level, and their text."""
+    joins, proof = "", "''"
+    for k in range(height):
+        joins += f" JOIN {name}s{k} ON {name}s{k}.g = {group} AND {name}s{k}.p = {place} // {16**k}"
+        proof += f" || {name}s{k}.x || {name}s{k}.y"
+    return joins, proof
+
+
+def _op12(height: int = 5, source_height: int = 2) -> str:
+    """Trees of up to 16 ** height documents a source and 16 ** source_height sources."""
+    joins, proof = _siblings("a", height, "of.g", "of.p")
+    more, over = _siblings("b", source_height, "0", "of.g")
+    steps, last = [], "start"
+    for name, levels in (("a", height), ("b", source_height)):
+        for k in range(levels):
+            at = "f.p" if name == "a" else "f.g"
+            group = "f.g" if name == "a" else "0"
+            step = f"f_{name}{k}"
+            steps.append(f"""{step} AS (
+    SELECT f.g, f.p, CASE WHEN s.c > 1 THEN sha256(s.x || f.h || s.y) ELSE f.h END AS h
+    FROM {last} f JOIN {name}s{k} s ON s.g = {group} AND s.p = {at} // {16**k})""")
+            last = step
+    return f"""
+WITH {CRC_TABLE}, leaves AS (
+    SELECT doc_id, {_leaf("text")} AS leaf, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS p, count(*) OVER (PARTITION BY source) AS c,
+           CASE WHEN {_crc("doc_id::VARCHAR")} % 5 = 0 THEN {_leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} END AS tampered
+    FROM documents, crc_table
+), a0 AS (SELECT g, p, leaf AS h, c FROM leaves
+), {_tree("a", height)}, b0 AS (SELECT 0 AS g, g AS p, h, count(*) OVER () AS c FROM a{height}
+), {_tree("b", source_height)}, start AS (SELECT g, p, coalesce(tampered, leaf) AS h FROM leaves
+), {", ".join(steps)}
+SELECT doc_id, leaf, sub.h AS subroot, top.h AS root, sha256({proof} || {over}) AS proof_sha256, {last}.h AS folded_root,
+       {last}.h = top.h AS verified
+FROM leaves of{joins}{more} JOIN a{height} sub ON sub.g = of.g JOIN {last} ON {last}.g = of.g AND {last}.p = of.p, b{source_height} top
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_dedup": OP1, "op2_secret_scan": _op2(), "op4_mixing": OP4, "op7_quality_rules": OP7}
+    return {
+        "op1_near_dedup": OP1,
+        "op2_secret_scan": _op2(),
+        "op4_mixing": OP4,
+        "op7_quality_rules": OP7,
+        "op11_importance": OP11,
+        "op12_merkle": _op12(),
+    }

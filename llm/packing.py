@@ -13,6 +13,7 @@ from lakeops.sinks.staging import Staging
 from llm.batches import small_batches
 from llm.byteops import LOWER, span_hashes, text_chunks, word_bounds
 from llm.shipping import ship
+from llm.tokenizer_files import tokenizer_path
 
 SEQUENCE = 2048
 END_ID = 1
@@ -184,7 +185,7 @@ def _token_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int) ->
     Each different unit of some megabytes of text is encoded once. No token crosses
     units, so the ids of a text are its units' ids in order.
     """
-    encoder = _encoder(path)
+    encoder = _encoder(tokenizer_path(path))
     for batch in batches:
         for rows, data, offsets in text_chunks(batch.column("text")):
             data, starts, ends, first = units(data, *word_bounds(data, offsets))

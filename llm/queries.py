@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.html_text import main_text
+from llm.importance import resampled
+from llm.merkle import manifest
 from llm.mixing import mixture
 from llm.near_dedup import near_duplicates
 from llm.order_minhash import edited_fingerprints
@@ -17,9 +18,10 @@ from llm.pii import personal_data
 from llm.quality_model import score_documents
 from llm.quality_rules import quality_rules
 from llm.secret_scan import secret_scan
+from llm.token_counts import token_counts
 from llm.warc import derivatives, responses
 
-TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+TOKENIZER = "word_bpe_49k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +87,18 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(_table(spark, sf_dir, "documents")).drop("source")
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_near_dedup,
@@ -97,5 +111,8 @@ def queries() -> dict[str, Query]:
         op8_html_text,
         op9_personal_data,
         op10_warc_derivatives,
+        op11_importance,
+        op12_merkle,
+        op13_token_counts,
     )
     return {f.__name__: f for f in named}

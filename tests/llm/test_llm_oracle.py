@@ -18,7 +18,8 @@ def plain(value):
 @pytest.mark.parametrize("name", list(oracle_sql()))
 def test_same_rows_as_sql(name, spark):
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_DIR}/documents.parquet')")
+    for view in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {view} AS SELECT * FROM read_parquet('{SF_DIR}/{view}.parquet')")
     cursor = connection.execute(oracle_sql()[name])
     columns = sorted(c[0] for c in cursor.description)
     place = [[c[0] for c in cursor.description].index(c) for c in columns]
