@@ -17,6 +17,7 @@ from llm.tokenizer_files import tokenizer_path
 
 SEQUENCE = 2048
 END_ID = 1
+ID_BYTES = 4
 DIMENSIONS = 4
 BITS = 10
 # Mean coordinates lie near zero; the factor spreads them over the curve's cube.
@@ -34,8 +35,7 @@ class _Encoder:
     Words of Latin letters alone are one unit to the tokenizer, so many are encoded as
     one text and told apart by the tokens that end a word. Others are divided by a
     special token, which is never merged with its neighbours; words that hold such a
-    string go alone. The memory has two generations: what was not met during the last
-    REMEMBERED new words is forgotten.
+    string go alone. Beyond REMEMBERED words the memory begins anew.
     """
 
     def __init__(self, path: str):
@@ -46,23 +46,21 @@ class _Encoder:
         self.split = vocabulary[SEPARATOR]
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.recent: dict[int, bytes] = {}
-        self.earlier: dict[int, bytes] = {}
+        self.known: dict[int, bytes] = {}
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2")
 
     def encode(self, hashes: list[int], words: Callable[[list[int]], list[str]]) -> list[bytes]:
         """Ids (two bytes each) of the words with these hashes; ``words`` spells out those at some places."""
-        out = [self.recent.get(h) or self.earlier.get(h) or b"" for h in hashes]
+        out = [self.known.get(h, b"") for h in hashes]
         missing = [i for i, x in enumerate(out) if not x]
-        if missing:
-            for i, x in zip(missing, self._new(words(missing)), strict=True):
-                out[i] = x
-        for i in missing:
-            self.recent[hashes[i]] = out[i]
-        if len(self.recent) > REMEMBERED:
-            self.recent, self.earlier = {}, self.recent
+        if not missing:
+            return out
+        if len(self.known) + len(missing) > REMEMBERED:
+            self.known = {}
+        for i, x in zip(missing, self._new(words(missing)), strict=True):
+            out[i] = self.known[hashes[i]] = x
         return out
 
     def _new(self, words: list[str]) -> list[bytes]:
@@ -180,7 +178,7 @@ def units(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndar
 
 
 def _token_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    """doc_id, n_tokens, place, tokens (two bytes an id) of each text.
+    """doc_id, n_tokens, place, tokens (ID_BYTES an id, little-endian) of each text.
 
     Each different unit of some megabytes of text is encoded once. No token crosses
     units, so the ids of a text are its units' ids in order.
@@ -188,66 +186,60 @@ def _token_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int) ->
     encoder = _encoder(tokenizer_path(path))
     for batch in batches:
         for rows, data, offsets in text_chunks(batch.column("text")):
-            data, starts, ends, first = units(data, *word_bounds(data, offsets))
-            hashes = span_hashes(data, starts, ends)
-            place = curve_keys(hashes, first)
-            different, index, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-            buffer, begin, end = data.tobytes(), starts[index], ends[index]
-
-            def words(at: list[int], buffer=buffer, begin=begin, end=end) -> list[str]:
-                return [
-                    buffer[s:e].decode() for s, e in zip(begin[at].tolist(), end[at].tolist(), strict=True)
-                ]
-
-            parts = [*encoder.encode(different.tolist(), words), np.array([end_id], "<u2").tobytes()]
-            ids = np.frombuffer(b"".join(parts), "<u2")
-            at = np.concatenate([[0], np.cumsum([len(x) // 2 for x in parts])])
-            # The end id stands after the last unit of each text.
-            own = np.insert(inverse, first[1:], len(different))
-            length = at[own + 1] - at[own]
-            flat = ids[ranges(at[own], length)]
-            sums = np.concatenate([[0], np.cumsum(length)])[first + np.arange(len(first))]
-            tokens = [None, pa.py_buffer(sums.astype(np.int32) * 2), pa.py_buffer(flat)]
-            yield pa.record_batch(
-                [
-                    batch.column("doc_id").slice(rows.start, rows.stop - rows.start),
-                    pa.array(np.diff(sums)),
-                    pa.array(place),
-                    pa.Array.from_buffers(pa.binary(), len(sums) - 1, tokens),
-                ],
-                names=["doc_id", "n_tokens", "place", "tokens"],
-            )
-
-
-def _piece_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Cut each document at multiples of the sequence length of its place in the stream."""
-    for batch in batches:
-        at = batch.column("stream_start").to_numpy()
-        n = batch.column("doc_tokens").to_numpy()
-        pieces = (at + n - 1) // length - at // length + 1
-        row = np.repeat(np.arange(len(at)), pieces)
-        number = ranges(np.zeros(len(at), np.int64), pieces)
-        begin = np.where(number == 0, at[row], (at[row] // length + number) * length)
-        end = np.minimum((begin // length + 1) * length, at[row] + n[row])
-        tokens = batch.column("tokens")
-        views = [np.frombuffer(x.as_buffer(), "<u2") for x in tokens]
-        start = begin - at[row]
-        cut = [
-            views[r][s : s + k].astype("<u4").tobytes()
-            for r, s, k in zip(row.tolist(), start.tolist(), (end - begin).tolist(), strict=True)
-        ]
-        yield pa.record_batch(
-            [
-                batch.column("doc_id").take(pa.array(row)),
-                pa.array(start),
-                pa.array(end - begin),
-                pa.array(cut, pa.binary()),
-                pa.array(n[row]),
-                pa.array(begin // length),
-                pa.array(begin % length),
-            ],
-            names=["doc_id", "start", "length", "tokens", "doc_tokens", "sequence_id", "offset"],
-        )
+            n_tokens, place, tokens = _chunk_tokens(encoder, data, offsets, end_id)
+            doc_id = batch.column("doc_id").slice(rows.start, rows.stop - rows.start)
+            yield pa.record_batch([doc_id, n_tokens, place, tokens], names=["doc_id", "n_tokens", "place", "tokens"])
+            del n_tokens, place, tokens, doc_id
+            pa.default_memory_pool().release_unused()
+
+
+def _chunk_tokens(encoder: _Encoder, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[pa.Array, ...]:
+    """Number of tokens, curve key and tokens of the texts of a chunk."""
+    data, starts, ends, first = units(data, *word_bounds(data, offsets))
+    hashes = span_hashes(data, starts, ends)
+    place = pa.array(curve_keys(hashes, first))
+    different, index, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+    buffer, begin, end = data.tobytes(), starts[index], ends[index]
+    del data, starts, ends, hashes
+
+    def words(at: list[int]) -> list[str]:
+        return [buffer[s:e].decode() for s, e in zip(begin[at].tolist(), end[at].tolist(), strict=True)]
+
+    parts = [*encoder.encode(different.tolist(), words), np.array([end_id], "<u2").tobytes()]
+    at = np.concatenate([[0], np.cumsum([len(x) // 2 for x in parts])])
+    ids = np.frombuffer(b"".join(parts), "<u2").astype("<u4")
+    # The end id stands after the last unit of each text.
+    own = np.insert(inverse, first[1:], len(different))
+    del parts, inverse, buffer, begin, end
+    length = at[own + 1] - at[own]
+    flat = ids[ranges(at[own], length)]
+    sums = np.concatenate([[0], np.cumsum(length)])[first + np.arange(len(first))]
+    buffers = [None, pa.py_buffer(sums * ID_BYTES), pa.py_buffer(flat)]
+    return pa.array(np.diff(sums)), place, pa.Array.from_buffers(pa.large_binary(), len(sums) - 1, buffers).cast(pa.binary())
+
+
+def _pieces(rows: DataFrame, length: int) -> DataFrame:
+    """Cut each document at multiples of the sequence length of its place in the stream.
+
+    A document's pieces are made as one array, so that its tokens are not copied with
+    each piece.
+    """
+    piece = (
+        "transform(sequence(stream_start div {n}, (stream_start + doc_tokens - 1) div {n}), s -> named_struct("
+        "'sequence_id', s, 'begin', greatest(s * {n}, stream_start), "
+        "'tokens', substring(tokens, cast((greatest(s * {n}, stream_start) - stream_start) * {w} + 1 as int), "
+        "cast((least((s + 1) * {n}, stream_start + doc_tokens) - greatest(s * {n}, stream_start)) * {w} as int))))"
+    )
+    cut = rows.select("doc_id", "doc_tokens", "stream_start", F.explode(F.expr(piece.format(n=length, w=ID_BYTES))).alias("p"))
+    return cut.select(
+        "doc_id",
+        (F.col("p.begin") - F.col("stream_start")).alias("start"),
+        (F.octet_length("p.tokens") / ID_BYTES).cast("long").alias("length"),
+        "p.tokens",
+        "doc_tokens",
+        "p.sequence_id",
+        (F.col("p.begin") % length).alias("offset"),
+    )
 
 
 def pack(
@@ -282,14 +274,8 @@ def pack(
     with small_batches(docs.sparkSession):
         tokens = stage(tokens.withColumn("row", F.monotonically_increasing_id()), "tokens")
     starts = _stream_starts(tokens.select("row", "place", "n_tokens"), stage)
-    return (
-        tokens.select("row", "doc_id", F.col("n_tokens").alias("doc_tokens"), "tokens")
-        .join(starts, "row")
-        .mapInArrow(
-            lambda it: _piece_batches(it, length),
-            "doc_id long, start long, length long, tokens binary, doc_tokens long, sequence_id long, offset long",
-        )
-    )
+    tokens = tokens.select("row", "doc_id", F.col("n_tokens").alias("doc_tokens"), "tokens")
+    return _pieces(tokens.join(starts, "row"), length)
 
 
 def _stream_starts(rows: DataFrame, stage: Staging) -> DataFrame:

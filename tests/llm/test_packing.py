@@ -11,6 +11,7 @@ from llm import packing
 from llm.packing import hilbert_key, pack
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
+NAME = "word_bpe_49k.json"
 
 
 @pytest.fixture(scope="module")
@@ -56,7 +57,7 @@ def check(pieces, rows, tokenizer, length=2048):
 def test_ids_survive_whole(spark, tokenizer, length):
     rows = awkward_rows() + [(300 + i, t, "en", "a", 1) for i, t in enumerate(ODD)]
     rows += [(400 + i, text_of(i, i % 90), "en", "a", 1) for i in range(150)]
-    check(pack(table(spark, rows), PATH, length=length).collect(), rows, tokenizer, length)
+    check(pack(table(spark, rows), NAME, length=length).collect(), rows, tokenizer, length)
 
 
 def test_memory_of_words_changes_nothing(spark, tokenizer, monkeypatch):
