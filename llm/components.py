@@ -12,8 +12,9 @@ def connected_components(edges: DataFrame, stage: Staging, name: str = "componen
     """(node, component) for every node of ``edges`` (a, b): the smallest node it is connected with.
 
     Alternating large-star and small-star steps: each hangs neighbours on the
-    smallest node seen, until no edge changes. Only minima are aggregated and the
-    joins have equal keys, so a node with very many neighbours is split by AQE.
+    smallest node seen, until no edge changes. Only minima are aggregated, and staged:
+    AQE splits a node with very many neighbours where both sides of a join come
+    straight from a shuffle, not from an aggregation.
     Every step is written to shared storage, which cuts the lineage. Edges with a
     null end and loops join nothing; an empty table gives an empty result.
     """
@@ -39,12 +40,12 @@ def connected_components(edges: DataFrame, stage: Staging, name: str = "componen
 def _star_steps(edges: DataFrame, stage: Staging, name: str) -> tuple[DataFrame, tuple]:
     """One large-star and one small-star step; the state that no longer changes at the end."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    smallest = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
+    smallest = stage(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m")), f"{name}-nearest")
     large = (
         both.where("b > a").join(smallest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
     )
     large = stage(large, f"{name}-large")
-    smallest = large.groupBy("a").agg(F.min("b").alias("m"))
+    smallest = stage(large.groupBy("a").agg(F.min("b").alias("m")), f"{name}-least")
     small = large.join(smallest, "a").select(
         F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")
     )

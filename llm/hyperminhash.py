@@ -98,13 +98,17 @@ def chance_equal(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return (at(n) * at(m)).sum(axis=0) / 2**MANTISSA_BITS
 
 
-def jaccard(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Jaccard similarity of set pairs from their registers, less accidental matches."""
-    same = (a == b).mean(axis=1)
+def jaccard(equal: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Jaccard similarity of set pairs from their equal registers, less accidental matches."""
     chance = chance_equal(n, m)
-    return np.clip((same - chance) / (1 - chance), 0, 1)
+    return np.clip((equal.mean(axis=1) - chance) / (1 - chance), 0, 1)
 
 
 def slack(n: np.ndarray, threshold: float) -> np.ndarray:
     """Six standard deviations of the estimate at ``threshold``, for the smaller set's size."""
     return 6 * np.sqrt(threshold * (1 - threshold) / np.minimum(np.maximum(n, 1), REGISTERS))
+
+
+def possible(equal: np.ndarray, n: np.ndarray, m: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether the corrected estimate does not rule out the threshold; ``equal`` is (pairs, REGISTERS)."""
+    return jaccard(equal, n, m) >= threshold - slack(np.minimum(n, m), threshold)

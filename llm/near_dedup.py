@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.sinks.staging import Staging
 from llm import hyperminhash as hmh
 from llm.batches import small_batches
-from llm.byteops import LOWER, shingle_hashes, span_hashes, text_chunks, word_bounds
+from llm.byteops import LOWER, ranges, shingle_hashes, span_hashes, text_chunks, word_bounds
 from llm.components import connected_components
 from llm.rows import as_rows, from_rows
 from llm.shipping import ship
@@ -20,7 +22,9 @@ from llm.shipping import ship
 SHINGLE_WORDS = 5
 LINK_PERCENT = 80
 # Bytes of shingle sets a residual block may hold; a block pair is one group.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+# Digests that, with the id, tell texts apart.
+TEXT_KEYS = ("k0", "k1")
 
 
 def _text_sets(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
@@ -57,12 +61,12 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 keys[full, k] = np.add.reduceat(mixed, first[:-1][full]) if full.any() else 0
             yield pa.record_batch(
                 [
-                    batch.column("doc_id")[rows.start : rows.stop],
+                    *(batch.column(c).slice(rows.start, len(n)) for c in ("doc_id", *TEXT_KEYS)),
                     pa.array(n.astype(np.int64)),
                     _binary(keys.tobytes(), np.arange(len(n) + 1) * 16),
                     _binary(registers.tobytes(), np.arange(len(n) + 1) * 2 * hmh.REGISTERS),
                 ],
-                names=["doc_id", "n_shingles", "set_key", "registers"],
+                names=["doc_id", *TEXT_KEYS, "n_shingles", "set_key", "registers"],
             )
 
 
@@ -70,8 +74,8 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, hashes, first in _text_sets(batch):
             yield pa.record_batch(
-                [batch.column("doc_id")[rows.start : rows.stop], _binary(hashes.tobytes(), first * 8)],
-                names=["doc_id", "shingles"],
+                [batch.column("node").slice(rows.start, rows.stop - rows.start), _binary(hashes.tobytes(), first * 8)],
+                names=["node", "shingles"],
             )
 
 
@@ -85,10 +89,8 @@ def _likely(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
         if not batch.num_rows:
             continue
         n, m = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
-        estimate = hmh.jaccard(_matrix(batch.column("registers_a")), _matrix(batch.column("registers_b")), n, m)
-        keep = (estimate >= threshold - hmh.slack(np.minimum(n, m), threshold)) & (
-            np.minimum(n, m) >= threshold * np.maximum(n, m) - 1e-9
-        )
+        equal = _matrix(batch.column("registers_a")) == _matrix(batch.column("registers_b"))
+        keep = hmh.possible(equal, n, m, threshold) & (np.minimum(n, m) >= threshold * np.maximum(n, m) - 1e-9)
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
@@ -107,29 +109,85 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+class _Rare:
+    """Members of a block by their rarest shingles, in one order for all, rarest first.
+
+    Of linked sets with n >= m shingles, ``percent`` of n and 2 * percent / (100 + percent)
+    of m are common at least. So the n less that many plus one rarest of the larger set
+    (``wide``) and of the smaller one (``narrow``) hold a common shingle.
+    """
+
+    def __init__(self, at: np.ndarray, sizes: np.ndarray, first: np.ndarray, percent: int):
+        count = np.bincount(at).astype(np.int32)
+        owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        order = np.lexsort((count[at], owner))  # stable: equally rare ones stay in the order of their numbers
+        rank = np.arange(len(at), dtype=np.int32) - np.repeat(first[:-1].astype(np.int32), sizes)
+        wide = sizes + (-percent * sizes) // 100 + 1
+        narrow = sizes + (-2 * percent * sizes) // (100 + percent) + 1
+        # Shingles that no other member has find nobody.
+        shared = count[at[order]] > 1
+        pick = lambda length: order[shared & (rank < np.repeat(length, sizes))]
+        self.wide, self.narrow = pick(wide), pick(narrow)
+        self.of_wide, self.of_narrow = at[self.wide], at[self.narrow]
+        self.wide_of, self.narrow_of = owner[self.wide], owner[self.narrow]
+        members = np.arange(len(sizes) + 1)
+        self.wide_first, self.narrow_first = np.searchsorted(self.wide_of, members), np.searchsorted(self.narrow_of, members)
+        self.by_wide, self.by_narrow = np.argsort(self.of_wide, kind="stable"), np.argsort(self.of_narrow, kind="stable")
+        self.sorted_wide, self.sorted_narrow = self.of_wide[self.by_wide], self.of_narrow[self.by_narrow]
+
+    def near(self, i: int) -> np.ndarray:
+        """Members that may be linked with member ``i``."""
+        mine = self.of_wide[self.wide_first[i] : self.wide_first[i + 1]]
+        smaller = self.narrow_of[self.by_narrow[self._places(self.sorted_narrow, mine)]]
+        mine = self.of_narrow[self.narrow_first[i] : self.narrow_first[i + 1]]
+        larger = self.wide_of[self.by_wide[self._places(self.sorted_wide, mine)]]
+        return np.unique(np.concatenate([smaller, larger]))
+
+    @staticmethod
+    def _places(ordered: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        begin = np.searchsorted(ordered, wanted)
+        return ranges(begin, np.searchsorted(ordered, wanted, "right") - begin)
+
+
 def _block_links(table: pa.Table, percent: int) -> pa.Table:
-    """Links between different components of one block pair; at most one per member.
+    """Links between different components of one block pair; at most one per member and component.
 
-    Every member outside the largest component is compared with all others by one
-    pass over the concatenated sets. A link whose ends are joined already is left out.
+    Members outside the largest component look for others in an index of rare shingles.
+    Those of fitting size are kept by the corrected estimate, if this is the first
+    bucket that both are in, and verified on their full sets. A link whose ends are
+    joined already is left out.
     """
     ids = table.column("node").to_numpy()
     component = table.column("component").to_numpy()
+    registers = _matrix(table.column("registers").combine_chunks())
+    band, rows = table.column("band")[0].as_py(), hmh.band_rows(percent / 100)
+    bands = hmh.REGISTERS // rows
     buffers = table.column("shingles").combine_chunks().to_pylist()
-    sizes = np.array([len(x) // 8 for x in buffers])
+    sizes = np.array([len(x) // 8 for x in buffers], np.int64)
     values, at = np.unique(np.frombuffer(b"".join(buffers), np.uint64), return_inverse=True)
+    seen, at = np.zeros(len(values), bool), at.astype(np.int32)
+    del buffers, values
     first = np.concatenate([[0], np.cumsum(sizes)])
+    rare = _Rare(at, sizes, first, percent)
     _, label, counts = np.unique(component, return_inverse=True, return_counts=True)
-    seen, out = np.zeros(len(values), bool), []
-    for i in np.flatnonzero(label != counts.argmax()):
-        others = np.flatnonzero(label != label[i])
+    out = []
+    for i in np.flatnonzero(label != counts.argmax()).tolist():
+        others = rare.near(i)
+        others = others[label[others] != label[i]]
+        others = others[100 * np.minimum(sizes[i], sizes[others]) >= percent * np.maximum(sizes[i], sizes[others])]
+        if not len(others):
+            continue
+        equal = registers[others] == registers[i]
+        shared = equal[:, : bands * rows].reshape(-1, bands, rows).all(axis=2)
+        others = others[hmh.possible(equal, sizes[i], sizes[others], percent / 100) & (shared.argmax(axis=1) == band)]
         if not len(others):
-            break
-        own = at[first[i] : first[i + 1]]
-        seen[own] = True
-        same = np.add.reduceat(seen[at].astype(np.int64), first[:-1])
-        seen[own] = False
-        linked = others[_linked(sizes[i], sizes[others], same[others], percent)]
+            continue
+        mine = at[first[i] : first[i + 1]]
+        seen[mine] = True
+        ends = np.cumsum(sizes[others])
+        same = np.add.reduceat(seen[at[ranges(first[others], sizes[others])]].astype(np.int64), ends - sizes[others])
+        seen[mine] = False
+        linked = others[_linked(sizes[i], sizes[others], same, percent)]
         for j in linked[np.unique(label[linked], return_index=True)[1]]:
             out.append((ids[i], ids[j]))
             label[label == label[j]] = label[i]
@@ -138,11 +196,19 @@ def _block_links(table: pa.Table, percent: int) -> pa.Table:
     )
 
 
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text and two digests of the text; null and empty are alike."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    return own.withColumns({k: F.xxhash64(F.lit(i), "text") for i, k in enumerate(TEXT_KEYS)})
+
+
 def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, set_key, registers) of every row."""
+    """(doc_id, k0, k1, n_shingles, set_key, registers) of every row; k0 and k1 are digests of the text."""
     ship(docs.sparkSession)
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return own.mapInArrow(_sketch_batches, "doc_id long, n_shingles long, set_key binary, registers binary")
+    return _texts(docs, id_col, text_col).mapInArrow(
+        _sketch_batches, "doc_id long, k0 long, k1 long, n_shingles long, set_key binary, registers binary"
+    )
 
 
 def near_duplicates(
@@ -161,77 +227,118 @@ def near_duplicates(
        its bucket: first by the collision-corrected estimate, less six standard
        deviations, then on the full sets.
     3. Buckets that still hold several components are finished exactly: members outside
-       the largest component meet all others, in blocks of bounded bytes, and only
-       links that join components leave a block. No pairs are emitted.
+       the largest component meet those they share a rare shingle with, by the estimate
+       and then on the full sets, in blocks of bounded bytes, and only links that join
+       components leave a block. No pairs are emitted.
 
     A null or empty text has no shingles, is linked with nothing and stands for
-    itself. Rows without id have no component and are kept. Rows with the same id are
-    one document with several texts. Other columns of the input do not matter.
+    itself; a very long one is a chunk of its own, never cut. Rows without id belong to
+    the component of their text and are named by its smallest id; where no row of it
+    has one, they have no component and are kept. Rows that repeat an id are documents
+    of their own, each in its text's component. An empty table gives an empty result.
+    Other columns of the input do not matter.
     """
+    rows = _grouped(docs, id_col, text_col, link_percent)
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return rows.select(
+        "doc_id",
+        "n_shingles",
+        component.alias("component_id"),
+        F.coalesce(component == F.col("doc_id"), component.isNull()).alias("kept"),
+    )
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, link_percent: int) -> DataFrame:
+    """Every row (doc_id, k0, k1, n_shingles) with its component and that one's smallest id."""
     spark = docs.sparkSession
     stage = Staging(spark)
     with small_batches(spark):
         sketches = stage(sketch_documents(docs, id_col, text_col), "sketches")
-    classes = stage(
-        sketches.where("n_shingles > 0 and doc_id is not null")
-        .groupBy("set_key")
-        .agg(F.min("doc_id").alias("node"), F.min("n_shingles").alias("n"), F.min("registers").alias("registers")),
-        "classes",
-    )
+    # The class's first row by id stands for it: its text is found again by id and digests.
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", *TEXT_KEYS)).alias("least")
+    classes = sketches.where("n_shingles > 0").groupBy("set_key")
+    classes = classes.agg(least, F.min("n_shingles").alias("n"), F.min("registers").alias("registers"))
+    classes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     members = stage(_bucket_members(classes, hmh.band_rows(link_percent / 100)), "members")
-    sets = _member_sets(docs, id_col, text_col, members)
+    needed = classes.select("node", *(F.col(f"least.{k}").alias(f"_{k}") for k in ("doc_id", *TEXT_KEYS)))
+    needed = stage(needed.join(members.select("node").distinct(), "node", "left_semi"), "needed")
+    sets = _member_sets(docs, id_col, text_col, needed)
     with small_batches(spark):
         sets = stage(sets, "sets")
         links = stage(_star_links(members, classes, sets, link_percent), "links")
     part = stage(connected_components(links, stage, "part"), "part-labels")
-    rest = stage(_residual_links(members, part, sets, classes, link_percent), "rest")
-    labels = connected_components(links.unionByName(rest), stage, "whole")
-
-    node_of = classes.select("set_key", "node").join(labels, "node", "left")
-    node_of = node_of.select("set_key", F.coalesce("component", "node").alias("component"))
-    # Ids that rows of several texts share connect those texts' components by name only.
-    out = sketches.select("doc_id", "n_shingles", "set_key").join(node_of, "set_key", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select(
-        "doc_id",
-        "n_shingles",
-        component.alias("component_id"),
-        F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
-    )
+    with small_batches(spark):
+        rest = stage(_residual_links(members, part, sets, classes, link_percent), "rest")
+    labels = stage(connected_components(links.unionByName(rest), stage, "whole"), "labels")
+
+    named = classes.select("set_key", "node", F.col("least.doc_id").alias("doc_id")).join(labels, "node", "left")
+    named = stage(named.select("set_key", F.coalesce("component", "node").alias("component"), "doc_id"), "named")
+    # One row a component of several classes; the others are named by their own smallest id.
+    smallest = stage(named.groupBy("component").agg(F.min("doc_id").alias("component_id")), "names")
+    named = stage(named.drop("doc_id").join(smallest, "component"), "set-names")
+    return sketches.drop("registers").join(named, "set_key", "left").drop("set_key")
 
 
 def keep_one_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", link_percent: int = LINK_PERCENT
 ) -> DataFrame:
-    """The rows of ``docs`` that :func:`near_duplicates` keeps, with all their columns; null ids stay."""
-    found = near_duplicates(docs, id_col, text_col, link_percent)
-    gone = found.where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
-    rows = as_rows(docs, key=id_col).withColumn("key", F.col("key").cast("long"))
-    return from_rows(rows.join(gone.select(F.col(id_col).alias("key")), "key", "left_anti"), docs)
+    """One row of each component of :func:`near_duplicates`, with all its columns.
+
+    The row with the smallest id stays (of several, and where none has an id, that
+    whose text's digest is least; of rows alike in id and text, that whose columns'
+    digest is least). Rows without shingles, null and empty texts too, all stay; a text
+    is never dropped for sharing an id. An empty table gives an empty result, and
+    columns of any name pass.
+    """
+    stage = Staging(docs.sparkSession)
+    found = stage(_grouped(docs, id_col, text_col, link_percent).where("n_shingles > 0"), "grouped")
+    key = ("doc_id", *TEXT_KEYS)
+    rank = F.struct(F.col("doc_id").isNull().alias("nameless"), *key)
+    winners = stage(found.groupBy("component").agg(F.min(rank).alias("w")), "winners").select("component", "w")
+    judged = found.groupBy("component", *key).agg(F.count("*").alias("copies")).join(winners, "component")
+    judged = stage(judged.select(*key, "copies", (rank == F.col("w")).alias("won")), "judged")
+    gone, repeated = judged.where("not won"), judged.where("won and copies > 1")
+
+    text = F.coalesce(F.col(f"row.c{docs.columns.index(text_col)}").cast("string"), F.lit(""))
+    rows = as_rows(docs, doc_id=id_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    rows = rows.withColumns({k: F.xxhash64(F.lit(i), text) for i, k in enumerate(TEXT_KEYS)})
+    kept = _without(rows, gone)
+    if not repeated.isEmpty():
+        first = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("row")))
+        one = rows.join(repeated.select(*(F.col(k).alias(f"_{k}") for k in key)), _same(key), "left_semi")
+        one = one.withColumn("place", first).where("place = 1").drop("place")
+        kept = _without(kept, repeated).unionByName(one)
+    return from_rows(kept, docs)
+
+
+def _same(key: tuple[str, ...]) -> Column:
+    return reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key])
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    key = ("doc_id", *TEXT_KEYS)
+    return rows.join(gone.select(*(F.col(k).alias(f"_{k}") for k in key)), _same(key), "left_anti")
 
 
 def _bucket_members(classes: DataFrame, band_rows: int) -> DataFrame:
-    """(bucket, node, pivot) of all buckets with two classes or more; the pivot differs by bucket."""
+    """(bucket, band, node, pivot) of all buckets with two classes or more; the pivot differs by bucket."""
     last, size = hmh.REGISTERS // band_rows - 1, 2 * band_rows
     key = f"transform(sequence(0, {last}), i -> xxhash64(i, substring(registers, cast(i * {size} + 1 as int), {size})))"
-    rows = classes.select("node", F.explode(F.expr(key)).alias("bucket"))
+    rows = classes.select("node", F.posexplode(F.expr(key)).alias("band", "bucket"))
     pivots = (
         rows.groupBy("bucket")
         .agg(F.min(F.col("node").bitwiseXOR(F.col("bucket"))).alias("p"), F.count("*").alias("members"))
         .where("members > 1")
     )
-    return rows.join(pivots, "bucket").select("bucket", "node", F.col("p").bitwiseXOR(F.col("bucket")).alias("pivot"))
+    return rows.join(pivots, "bucket").select("bucket", "band", "node", F.col("p").bitwiseXOR(F.col("bucket")).alias("pivot"))
 
 
-def _member_sets(docs: DataFrame, id_col: str, text_col: str, members: DataFrame) -> DataFrame:
-    """(node, shingles) of the classes that share a bucket with another."""
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    needed = members.select(F.col("node").alias("doc_id")).distinct()
-    return (
-        own.join(needed, "doc_id", "left_semi")
-        .mapInArrow(_set_batches, "doc_id long, shingles binary")
-        .withColumnRenamed("doc_id", "node")
-    )
+def _member_sets(docs: DataFrame, id_col: str, text_col: str, needed: DataFrame) -> DataFrame:
+    """(node, shingles) of the classes that share a bucket with another, from their texts."""
+    own = _texts(docs, id_col, text_col).join(needed, _same(("doc_id", *TEXT_KEYS)))
+    # Rows alike in id and text have one set; they collapse before they are dealt.
+    own = own.groupBy("node").agg(F.first("text").alias("text"))
+    return own.mapInArrow(_set_batches, "node long, shingles binary")
 
 
 def _star_links(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -255,8 +362,8 @@ def _residual_links(
     members: DataFrame, labels: DataFrame, sets: DataFrame, classes: DataFrame, percent: int
 ) -> DataFrame:
     """Links in buckets that hold several components, found block pair by block pair."""
-    rows = members.select("bucket", "node").join(labels, "node", "left").join(classes.select("node", "n"), "node")
-    rows = rows.select("bucket", "node", F.coalesce("component", "node").alias("component"), "n")
+    rows = members.select("bucket", "band", "node").join(labels, "node", "left").join(classes.select("node", "n"), "node")
+    rows = rows.select("bucket", "band", "node", F.coalesce("component", "node").alias("component"), "n")
     open_buckets = (
         rows.groupBy("bucket")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.sum("n").alias("total"))
@@ -264,11 +371,14 @@ def _residual_links(
         .select("bucket", F.ceil(F.col("total") * 8 / BLOCK_BYTES).cast("int").alias("blocks"))
     )
     rows = rows.join(open_buckets, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    units = rows.select(
-        "bucket", "node", "component", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    ).select("bucket", "node", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    units = rows.select("bucket", "band", "node", "component", "own", each)
+    units = units.select(
+        "bucket", "band", "node", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    )
     return (
         units.join(sets, "node")
+        .join(classes.select("node", "registers"), "node")
         .groupBy("bucket", "i", "j")
         .applyInArrow(lambda t: _block_links(t, percent), "a long, b long")
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeops.sinks.staging import Staging
 from llm.batches import small_batches
-from llm.byteops import LOWER, span_hashes, text_chunks, word_bounds
+from llm.byteops import LOWER, ranges, span_hashes, text_chunks, word_bounds
 from llm.shipping import ship
 from llm.tokenizer_files import tokenizer_path
 
@@ -99,13 +99,6 @@ def _encoder(path: str) -> _Encoder:
     return _encoders[path]
 
 
-def ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """begin[0], begin[0] + 1, ... for length[0] numbers, and so on."""
-    ends = np.cumsum(length)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total) + np.repeat(begin - (ends - length), length)
-
-
 def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     """Places of integer points (n, dimensions) along a Hilbert curve of 2**bits cells a side."""
     x = [points[:, i].astype(np.int64) for i in range(points.shape[1])]

@@ -1,7 +1,9 @@
 import random
 import re
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import awkward_rows, rows_of, table, text_of
 
@@ -32,14 +34,15 @@ def brute(rows, percent=80):
     for i in range(len(rows)):
         for j in range(i):
             same = len(sets[i] & sets[j])
-            if rows[i][0] is not None and rows[j][0] is not None and sets[i] and sets[j]:
+            if sets[i] and sets[j]:
                 if 100 * same >= percent * (len(sets[i]) + len(sets[j]) - same):
                     group[root(i)] = root(j)
     out = []
     for i, row in enumerate(rows):
         ids = [rows[j][0] for j in range(len(rows)) if root(j) == root(i)]
         least = min((x for x in ids if x is not None), default=None)
-        out.append((row[0], len(sets[i]), least, row[0] is None or row[0] == least))
+        least = least if sets[i] else row[0]
+        out.append((row[0], len(sets[i]), least, least is None or row[0] == least))
     return sorted(out, key=repr)
 
 
@@ -89,6 +92,123 @@ def test_kept_rows_have_their_columns(spark):
     assert kept.where("doc_id is null").count() == 2
 
 
+def test_repeated_and_null_ids_are_rows_of_their_own(spark):
+    base, other, third = text_of(1, 120), text_of(2, 120), text_of(3, 120)
+    near = base.rsplit(" ", 1)[0] + " end"
+    rows = [
+        (1, base, "en", "a", 1),
+        (5, near, "en", "a", 1),  # a near copy ...
+        (5, other, "en", "a", 1),  # ... whose id a clean text has too
+        (5, other, "en", "b", 1),  # alike in id and text
+        (5, other, "en", "b", 1),
+        (None, base, "en", "a", 1),
+        (None, third, "en", "a", 1),
+        (None, third, "de", "a", 1),
+        (None, third + " and more", "en", "a", 1),
+        (None, None, "en", "a", 1),
+        (None, "", "en", "a", 1),
+    ]
+    assert rows_of(near_duplicates(table(spark, rows))) == brute(rows)
+    kept = keep_one_each(table(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept if r.doc_id) == [(1, base), (5, other)]
+    nameless = [r.text for r in kept if r.doc_id is None]
+    assert len(nameless) == 3 and {None, ""} < set(nameless)
+    assert {third, third + " and more"} & set(nameless)
+    again = keep_one_each(table(spark, rows).repartition(5)).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, kept))
+
+
+def _bucket_table(sets, component, band):
+    hashes, first = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    registers = hmh.sketch(hashes, first)
+    return pa.table(
+        {
+            "node": pa.array(range(len(sets)), pa.int64()),
+            "component": pa.array(component, pa.int64()),
+            "band": pa.array([band] * len(sets), pa.int64()),
+            "registers": pa.array([r.tobytes() for r in registers], pa.binary()),
+            "shingles": pa.array([s.tobytes() for s in sets], pa.binary()),
+        }
+    ), registers
+
+
+def _template_sets(rng, n, shared=21, own=5):
+    template = rng.integers(0, 2**63, shared, dtype=np.uint64)
+    return [np.sort(np.concatenate([template, rng.integers(0, 2**63, own, dtype=np.uint64)])) for _ in range(n)]
+
+
+def test_bucket_links_are_those_of_all_pairs(monkeypatch):
+    """In any one bucket: all links between components that share no earlier bucket."""
+    rng = np.random.default_rng(4)
+    sets = _template_sets(rng, 120) + _template_sets(rng, 60, 40, 4)
+    sets += [np.sort(np.concatenate([s[:-2], rng.integers(0, 2**63, 2, dtype=np.uint64)])) for s in sets[:40]]
+    sets += [s[:-1] for s in sets[130:150]]
+    component = [i // 3 for i in range(len(sets))]
+    for band in range(0, 51, 7):
+        tab, registers = _bucket_table(sets, component, band)
+        found = near_dedup._block_links(tab, 80)
+        label = list(component)
+        for a, b in zip(*found.to_pydict().values()):
+            same = len(np.intersect1d(sets[a], sets[b]))
+            assert 100 * same >= 80 * (len(sets[a]) + len(sets[b]) - same) and label[a] != label[b]
+            label = [label[b] if x == label[a] else x for x in label]
+        for a in range(len(sets)):
+            for b in range(a):
+                same = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                linked = 100 * same >= 80 * (len(sets[a]) + len(sets[b]) - same)
+                equal = (registers[a] == registers[b])[: 51 * 5].reshape(51, 5).all(axis=1)
+                if linked and equal.any() and equal.argmax() == band:
+                    assert label[a] == label[b], "a link between components is missing"
+
+
+def test_a_full_bucket_of_unlike_members_takes_time_in_proportion():
+    rng = np.random.default_rng(6)
+
+    def seconds(n):
+        tab, _ = _bucket_table(_template_sets(rng, n), list(range(n)), 0)
+        begin = time.perf_counter()
+        assert near_dedup._block_links(tab, 80).num_rows == 0
+        return time.perf_counter() - begin
+
+    small, large = min(seconds(1000) for _ in range(2)), seconds(8000)
+    assert large < 8 * small * 2.5 + 0.5
+
+
+def test_hub_of_a_third_of_all_edges_is_split(spark):
+    edges = spark.range(60000).selectExpr("id + 1 as a", "0L as b").union(spark.range(120000).selectExpr("200000 + 2 * id", "200001 + 2 * id"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.files.maxPartitionBytes": "40k",
+        "spark.sql.files.openCostInBytes": "1k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    plans = []
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+
+        class Watching(Staging):
+            def __call__(self, df, name):
+                out = super().__call__(df, name)
+                if name.endswith("-large") and not plans:
+                    again = df.select("*")
+                    again.collect()
+                    plans.append(again._jdf.queryExecution().executedPlan().toString())
+                return out
+
+        found = connected_components(edges, Watching(spark)).where("component = 0").count()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert found == 60001
+    assert "skew=true" in plans[0]
+
+
 def test_empty_table(spark):
     assert near_duplicates(table(spark, [])).collect() == []
     assert keep_one_each(table(spark, [])).collect() == []
@@ -104,7 +224,7 @@ def test_estimate_is_corrected_for_chance():
         for _ in range(40):
             x = rng.integers(0, 2**63, same + 2 * own, dtype=np.uint64)
             a, b = sketch(x[: same + own]), sketch(np.concatenate([x[:same], x[same + own :]]))
-            estimates.append(hmh.jaccard(a, b, np.array([same + own]), np.array([same + own]))[0])
+            estimates.append(hmh.jaccard(a == b, np.array([same + own]), np.array([same + own]))[0])
         truth = same / (same + 2 * own)
         assert abs(np.mean(estimates) - truth) < 0.03
         assert all(e >= truth - hmh.slack(np.array([same + own]), max(truth, 0.01))[0] for e in estimates)
