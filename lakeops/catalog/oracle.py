@@ -9,12 +9,15 @@ from lakeops.catalog.queries import (
     FEED_OUTPUT,
     HIGH_WATER,
     PREVIEW_ROWS,
+    SQL_START,
     TYPED_COLUMNS,
     UNDEFINED_SPEC,
 )
 from lakeops.fixtures import (
     BRANCH_TIEBREAK,
+    EDITED_DAY,
     INVOICE_TIEBREAK,
+    MISSING_DAY,
     ORDER_COLUMNS,
     RUN_TIME,
     SPLIT_VERSION,
@@ -284,6 +287,22 @@ only_r AS (SELECT {REDUCED} FROM snap_new EXCEPT SELECT {REDUCED} FROM snap_old)
 both_sides AS (
 SELECT *, 'left' AS side FROM only_l UNION ALL SELECT *, 'right' AS side FROM only_r)"""
 
+EDITED = f"""{SNAPSHOTS},
+edited AS (
+SELECT o_orderkey, o_custkey,
+  CASE WHEN CAST(o_orderdate AS DATE) = DATE '{EDITED_DAY}' THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+  o_totalprice, o_orderdate, o_orderpriority
+FROM snap_old WHERE CAST(o_orderdate AS DATE) <> DATE '{MISSING_DAY}'),
+gone AS (SELECT * FROM snap_old EXCEPT SELECT * FROM edited),
+come AS (SELECT * FROM edited EXCEPT SELECT * FROM snap_old)"""
+
+BULK = """bulk AS (
+SELECT CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderkey AS VARCHAR) END AS o_orderkey,
+  CAST(o_custkey AS VARCHAR) AS o_custkey,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN 'n/a' ELSE CAST(o_custkey AS VARCHAR) END AS amount,
+  o_orderpriority, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate
+FROM orders)"""
+
 DIFF = f"""WITH {SNAPSHOTS},
 gone AS (SELECT * FROM snap_old EXCEPT SELECT * FROM snap_new),
 come AS (SELECT * FROM snap_new EXCEPT SELECT * FROM snap_old)
@@ -389,6 +408,9 @@ def oracle_sql() -> dict[str, str]:
     }
     sql.update({f"gold_full_{name}": gold_full_sql(spec) for name, spec in MODELS.items()})
     sql.update({f"gold_incr_{name}": gold_incr_sql(spec) for name, spec in MODELS.items()})
+    for name, spec in MODELS.items():
+        body = gold_incr_body(spec, f"_commit_version >= {SQL_START}")
+        sql[f"sql_incr_{name}"] = f"WITH {FEEDS[spec.source][1]} {body}"
     sql.update(
         {
             "undefined_code_default": gold_full_sql(UNDEFINED_SPEC),
@@ -458,6 +480,24 @@ def oracle_sql() -> dict[str, str]:
             "reconcile_rows": f"WITH {RECONCILE} SELECT * FROM both_sides",
             "reconcile_counts": f"WITH {RECONCILE} SELECT (SELECT count(*) FROM only_l) AS only_left, "
             "(SELECT count(*) FROM only_r) AS only_right",
+            "reconcile_tree": f"WITH {EDITED} SELECT *, 'left' AS side FROM gone UNION ALL SELECT *, 'right' FROM come",
+            "dq_increment": f"{invoice} "
+            + " UNION ALL ".join(
+                f"SELECT 'not_null' AS check_name, '{c}' AS column_name, count(*) - count({c}) AS failures "
+                f"FROM invoice WHERE {from_split}"
+                for c in DQ_COLUMNS
+            )
+            + " UNION ALL SELECT 'unique', 'CHAVE_NFE', count(*) FROM (SELECT CHAVE_NFE FROM invoice "
+            "WHERE CHAVE_NFE IS NOT NULL GROUP BY CHAVE_NFE "
+            f"HAVING count(*) > 1 AND count(*) FILTER ({from_split}) > 0) r",
+            "load_rejects": f"WITH {BULK} SELECT o_orderkey, 'o_orderkey' AS column_name, 'key is null' AS reason, "
+            "o_orderkey AS value FROM bulk WHERE o_orderkey IS NULL UNION ALL "
+            "SELECT o_orderkey, 'amount', 'not DECIMAL(18,2)', amount FROM bulk WHERE amount = 'n/a' UNION ALL "
+            "SELECT o_orderkey, 'o_orderpriority', 'longer than 10', o_orderpriority FROM bulk "
+            "WHERE length(o_orderpriority) > 10",
+            "load_typed": f"WITH {BULK} SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS INT) AS o_custkey, "
+            "CAST(amount AS DECIMAL(18,2)) AS amount, o_orderpriority, CAST(o_orderdate AS DATE) AS o_orderdate "
+            "FROM bulk WHERE o_orderkey IS NOT NULL AND amount <> 'n/a' AND length(o_orderpriority) <= 10",
             "reconcile_filtered": f"WITH {RECONCILE} SELECT * FROM both_sides "
             "WHERE o_orderpriority = '1-URGENT'",
             "profile_counts": f"{invoice} SELECT count(*) AS n_rows, "
@@ -474,4 +514,13 @@ def oracle_sql() -> dict[str, str]:
             "WHERE data_fim IS NULL OR data_fim > TIMESTAMP '2023-03-01 00:00:00'",
         }
     )
+    changes = newest(
+        "feed",
+        "_change_type <> 'update_preimage'",
+        ["user_id"],
+        ["event_id"],
+        "user_id, value AS last_value, _commit_timestamp AS data_atualizacao, _change_type",
+    )
+    sql["streamed_state"] = f"WITH {EVENT_FEED} SELECT * EXCLUDE (_change_type) FROM ({changes}) n WHERE _change_type <> 'delete'"
+    sql["incremental_run_scalar"] = sql["incremental_run"]
     return sql

@@ -22,6 +22,8 @@ from lakeops.operators.changes import (
     snapshot_diff,
     upserts_only,
 )
+from lakeops.operators.changed_checks import check_changed, observe_nulls, observed_failures
+from lakeops.operators.hashtree import reconcile_by_tree
 from lakeops.operators.history import full_history, history_capture
 from lakeops.operators.latest import latest_by_key
 from lakeops.operators.merge import (
@@ -30,6 +32,7 @@ from lakeops.operators.merge import (
     publish_with_deletes,
     upsert,
 )
+from lakeops.operators.rejects import load_with_rejects
 from lakeops.plans import control
 from lakeops.plans.models import gold_full, gold_increment
 from lakeops.plans.pipeline import Feed, run_pipeline
@@ -45,10 +48,12 @@ from lakeops.plans.specs import (
     STOCK,
     ModelSpec,
 )
+from lakeops.plans.sql_feeds import create_feed_function, increment_sql
 from lakeops.plans.versioned import save_versioned
 from lakeops.sinks.staging import Staging
 from lakeops.sinks.tables import append_changes, read_version
 from lakeops.sources.registry import open_changes, read_changes
+from lakeops.streaming.state import read_state, start_state_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,7 +66,19 @@ AS_OF_VERSION = 4
 EVENT_DAY = 15
 HIGH_WATER = "2024-01-15 12:00:00"
 PREVIEW_ROWS = 800
+# First commit of the models' runs as SQL.
+SQL_START = 1
+LOAD_COLUMNS = {
+    "o_orderkey": "BIGINT",
+    "o_custkey": "INT",
+    "amount": "DECIMAL(18,2)",
+    "o_orderpriority": "VARCHAR(10)",
+    "o_orderdate": "DATE",
+}
 TYPED_COLUMNS = {**PUBLISHED["fato_faturamento"].columns, STAMP: "TIMESTAMP_NTZ"}
+USERS = ModelSpec(
+    name="users", source="events", keys=("user_id",), columns={"user_id": "user_id", "last_value": "value"}
+)
 UNDEFINED_SPEC = replace(
     FATO_FATURAMENTO, undefined=("FaturamentoLote", "FaturamentoTratamento")
 )
@@ -339,6 +356,65 @@ def reconcile_filtered(spark: SparkSession, d: str) -> DataFrame:
     return reconcile_rows(spark, d).filter(F.col("o_orderpriority") == "1-URGENT")
 
 
+def reconcile_tree(spark: SparkSession, d: str) -> DataFrame:
+    """A snapshot against one that differs in few rows."""
+    return reconcile_by_tree(fx.orders_old(spark, d), fx.orders_edited(spark, d), ["o_orderkey"], Staging(spark))
+
+
+def dq_increment(spark: SparkSession, d: str) -> DataFrame:
+    """The checks of the commits from the split on, appended to the rows before."""
+    feed = fx.invoice_feed(spark, d, DQ_COLUMNS).select(*DQ_COLUMNS, VERSION)
+    seen, counted = observe_nulls(read_changes(feed, fx.SPLIT_VERSION), DQ_COLUMNS)
+    written = Staging(spark)(seen, "increment")
+    nulls = observed_failures(written, counted, DQ_COLUMNS)
+    table = read_changes(feed, 0, fx.SPLIT_VERSION - 1).unionByName(written)
+    return check_changed(table, written, ["CHAVE_NFE"], nulls)
+
+
+def load_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Values of a bulk file that its declared columns do not take."""
+    return load_with_rejects(fx.orders_as_text(spark, d), LOAD_COLUMNS, Staging(spark), ["o_orderkey"]).rejects
+
+
+def load_typed(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of a bulk file that fit its declared columns."""
+    return load_with_rejects(fx.orders_as_text(spark, d), LOAD_COLUMNS, Staging(spark), ["o_orderkey"]).rows
+
+
+def _sql_increment(spec: ModelSpec) -> Query:
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        changes, tiebreak = _changes(spec, spark, d)
+        function = create_feed_function(spark, f"changes_of_{spec.source}", changes)
+        return spark.sql(increment_sql(spec, function, str(SQL_START), tiebreak))
+
+    return query
+
+
+def incremental_run_scalar(spark: SparkSession, d: str) -> DataFrame:
+    """The run of ``incremental_run``, its watermark a subquery of the plan."""
+    feed, tiebreak = _changes(FATO_FATURAMENTO, spark, d)
+    processed = read_changes(feed, 0, fx.SPLIT_VERSION - 1)
+    table = control.watermark_advance(
+        control.watermark_seed(spark, [INVOICES], fx.run_time()),
+        control.processed_version(INVOICES, processed),
+        fx.run_time(),
+    )
+    state = gold_increment(FATO_FATURAMENTO, processed, tiebreak)
+    rest = control.since_watermark(feed, table, INVOICES)
+    rows = Staging(spark)(gold_increment(FATO_FATURAMENTO, rest, tiebreak), "rows")
+    return upsert(state, rows, FATO_FATURAMENTO.keys)
+
+
+def streamed_state(spark: SparkSession, d: str) -> DataFrame:
+    """Users after a stream over the event feed, deletes applied, read from its state."""
+    root, feed = _versions(spark), fx.event_feed(spark, d)
+    feed.write.parquet(f"{root}/log")
+    start_state_stream(
+        spark, f"{root}/log", feed.schema, USERS, fx.EVENT_TIEBREAK, f"{root}/checkpoint", apply_deletes=True
+    ).awaitTermination()
+    return read_state(spark, USERS, f"{root}/checkpoint")
+
+
 def profile_counts(spark: SparkSession, d: str) -> DataFrame:
     return quality.profile_counts(fx.silver_invoices(spark, d, DQ_COLUMNS), DQ_COLUMNS)
 
@@ -442,6 +518,7 @@ def queries() -> dict[str, Query]:
     }
     named.update({f"gold_full_{name}": _full(spec) for name, spec in MODELS.items()})
     named.update({f"gold_incr_{name}": _increment(spec) for name, spec in MODELS.items()})
+    named.update({f"sql_incr_{name}": _sql_increment(spec) for name, spec in MODELS.items()})
     named.update(
         {
             "undefined_code_default": _full(UNDEFINED_SPEC),
@@ -451,6 +528,7 @@ def queries() -> dict[str, Query]:
             "watermark_advance": watermark_advance,
             "watermark_lookup": watermark_lookup,
             "incremental_run": incremental_run,
+            "incremental_run_scalar": incremental_run_scalar,
             "feed_from_first_load": feed_from_first_load,
             "snapshot_diff_feed": snapshot_diff_feed,
             "snapshot_inserts": snapshot_inserts,
@@ -476,6 +554,11 @@ def queries() -> dict[str, Query]:
             "reconcile_rows": reconcile_rows,
             "reconcile_counts": reconcile_counts,
             "reconcile_filtered": reconcile_filtered,
+            "reconcile_tree": reconcile_tree,
+            "dq_increment": dq_increment,
+            "load_rejects": load_rejects,
+            "load_typed": load_typed,
+            "streamed_state": streamed_state,
             "profile_counts": profile_counts,
             "preview_rows": preview_rows,
             "resume_with_late_commit": resume_with_late_commit,

@@ -212,6 +212,10 @@ ORDER_COLUMNS = (
 )
 
 
+# Days on which the edited snapshot differs.
+EDITED_DAY, MISSING_DAY = "1996-02-13", "1997-08-20"
+
+
 def orders_old(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
     return orders.filter(F.col("o_orderdate") < literal_timestamp("2000-07-01 00:00:00"))
@@ -225,6 +229,27 @@ def orders_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("o_orderstatus", F.when(urgent, "X").otherwise(F.col("o_orderstatus")))
 
 
+def orders_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The old snapshot with a few rows changed, and a few gone: those of one day each."""
+    old = orders_old(spark, sf_dir)
+    day = F.to_date("o_orderdate")
+    status = F.when(day == EDITED_DAY, F.lit("X")).otherwise(F.col("o_orderstatus"))
+    return old.filter(day != MISSING_DAY).withColumn("o_orderstatus", status)
+
+
+def orders_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a bulk file has them: all text, with amounts missing their form and keys missing."""
+    orders = table(spark, sf_dir, "orders")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    return orders.select(
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).cast("string").alias("o_orderkey"),
+        F.col("o_custkey").cast("string").alias("o_custkey"),
+        F.when(urgent, F.lit("n/a")).otherwise(F.col("o_custkey").cast("string")).alias("amount"),
+        F.col("o_orderpriority").alias("o_orderpriority"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
+    )
+
+
 def _status(df: DataFrame, start: str, end: str | None, active: bool) -> DataFrame:
     stop = F.lit(None).cast("timestamp_ntz") if end is None else literal_timestamp(end)
     return df.select(

@@ -69,6 +69,17 @@ def start_version(last: int) -> int:
     return last + 1 if last > 0 else 0
 
 
+def since_watermark(changes: DataFrame, control: DataFrame, source: str) -> DataFrame:
+    """Changes after a source's watermark, which is looked up by the same job.
+
+    The watermark is a scalar subquery: nothing is fetched to plan the run, and on a
+    change log partitioned by version Spark prunes the folders once it has the value.
+    As in :func:`start_version`, 0 and no watermark start at commit 0.
+    """
+    last = watermark_lookup(control, source).scalar()
+    return changes.filter(F.col(VERSION) >= F.when(last > 0, last + 1).otherwise(0))
+
+
 def processed_upto(control: DataFrame, source: str) -> int | None:
     """The last commit processed of a source; None, not 0, if it has no watermark."""
     return control.filter(F.col(TABLE) == source).agg(F.max(LAST)).first()[0]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.columns import stamp_column
 from lakeops.operators.changes import CHANGE_TYPE, DELETE, VERSION, as_first_load
+from lakeops.operators.changed_checks import check_changed, observe_nulls, observed_failures
 from lakeops.operators.latest import latest_by_key
 from lakeops.operators.quality import check_model
 from lakeops.plans.control import (
@@ -25,6 +26,7 @@ from lakeops.plans.specs import MODELS, ModelSpec
 from lakeops.sinks.staging import count_rows
 from lakeops.sinks.tables import (
     DELETED,
+    changed_rows,
     current_version,
     read_version,
     write_changes,
@@ -40,7 +42,8 @@ class Feed:
     ``table`` is a folder with the source's rows as commit ``table_commit`` left them.
     A model's first load then reads it and goes on after that commit: deleted rows are
     gone from it, and the log need not reach back to its beginning. Without it a first
-    load replays the log.
+    load replays the log, from ``first_commit`` on where that is declared: a first run
+    then waits for that commit, however late it arrives.
     """
 
     log: str
@@ -48,6 +51,7 @@ class Feed:
     file_format: str = "parquet"
     table: str | None = None
     table_commit: int | None = None
+    first_commit: int | None = None
     table_format: str = "parquet"
 
 
@@ -107,11 +111,19 @@ def run_model(
     else:
         newest = newest_changes(spec, changes, tiebreak, deletes=apply_deletes)
         marked = newest.withColumn(DELETED, ~live)
-        gold, counted = count_rows(project_changes(spec, marked, extra=[DELETED]), spec.name)
+        rows = project_changes(spec, marked, extra=[DELETED])
+        gold, counted = observe_nulls(rows, spec.not_null if checks else (), ~F.col(DELETED))
         version = write_changes(gold, gold_root, spec.keys, null_safe=not spec.require_key)
     failures = {}
     if checks and (spec.not_null or spec.unique):
-        results = check_model(read_version(spark, gold_root, version), spec.not_null, spec.unique)
+        table = read_version(spark, gold_root, version)
+        if first:
+            results = check_model(table, spec.not_null, spec.unique)
+        else:
+            # What the run did not change was tested when it came.
+            written = changed_rows(spark, gold_root, version - 1, version).filter(~F.col(DELETED))
+            nulls = observed_failures(written, counted, spec.not_null) if spec.not_null else None
+            results = check_changed(table, written, spec.unique, nulls)
         failures = {
             f"{row.check_name}:{row.column_name}": row.failures
             for row in results.filter("failures > 0").collect()
@@ -149,6 +161,8 @@ def run_pipeline(
         last = processed_upto(control, source)
         if last is None:
             last = feed.table_commit
+        if last is None and feed.first_commit is not None:
+            last = feed.first_commit - 1
         newest = last_in_sequence(spark, feed.log, last, feed.file_format)
         reached = last if newest is None else newest
         done = 0

@@ -129,6 +129,11 @@ def _newest_changes(spark: SparkSession, root: str, numbers: Sequence[int]) -> D
     schema = spark.read.parquet(paths[-1]).schema
     if len(numbers) == 1:
         return spark.read.schema(schema).parquet(paths[0])
+    # Columns that only earlier changes have come after those of the last one.
+    merged = spark.read.option("mergeSchema", "true").parquet(*paths).schema
+    for field in merged:
+        if field.name not in schema.names and field.name != CHANGES[0]:
+            schema = StructType([*schema.fields, field])
     rows = spark.read.option("basePath", root).schema(schema).parquet(*paths)
     by_key = Window.partitionBy(*_keys(schema)[0]).orderBy(F.desc(CHANGES[0]))
     # rank, not row_number: a version may hold several rows of a key
