@@ -52,6 +52,9 @@ _TAG = re.compile(
     r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^>"'<]++|"[^"<]*"|'[^'<]*')*+>|[^>]*>))""", re.S
 )
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|aria-label)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+# Of these an end tag may lack and "/>" may end them; only the others hold text up to their end tag.
+_MAY_LACK_END = RAW - {"script", "style", "textarea", "title"}
+_RAW_BEGIN = {name: re.compile(rf"<{name}[\s/>]", re.I) for name in _MAY_LACK_END}
 _RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 
 
@@ -201,6 +204,9 @@ def _scan(page: str) -> tuple[list[tuple[Block, frozenset]], set[tuple[int, str]
             continue
         if name in RAW:
             end = _RAW_END[name].search(page, at)
+            if name in _MAY_LACK_END:
+                if m[3].endswith("/>") or end is None or _RAW_BEGIN[name].search(page, at, end.start()):
+                    continue  # nothing but the tag
             at = end.end() if end else len(page)
             continue
         if name in INLINE:
@@ -216,7 +222,7 @@ def _scan(page: str) -> tuple[list[tuple[Block, frozenset]], set[tuple[int, str]
         classes, mark = _traits(name, m[3])
         if name in ("h1", "main"):
             holds |= around
-        if name in MARKED_NAMES and not (name == "header" and any(n in ("article", "main") for n, _, _ in stack[-16:])):
+        if name in MARKED_NAMES and not (name == "header" and any(n in ("article", "main") for n, _, _ in stack)):
             mark = max(mark or (0, ""), (MARKED_NAMES[name], f"<{name}>"))
         if mark and len(around) < MOST_MARKS:
             around |= {mark}

@@ -5,19 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.sinks.staging import Staging
 from llm.html_blocks import Block, inside, main_container, page_blocks
 from llm.shipping import ship
 
-# Of the text of a page's own best container, where only that page finds it best.
-FAIR_SHARE = 0.05
-# A host's paths with votes of several pages, besides the winning one. On pages of a further
-# template, the share above decides alone.
-OTHER_PATHS = 255
-
 
 def _vote_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One vote a page, for its best container."""
@@ -34,30 +28,26 @@ def _vote_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-def page_text(found: list[Block], won: str | None, others: list[str]) -> str:
-    """Text of the host's path, of the page's own best container, or of both.
+def page_text(found: list[Block], won: str | None) -> str:
+    """Text of the host's path and of what the page's own best container holds beyond it.
 
-    The page's own container is left out only where it holds nothing but blocks of the
-    host's path, or where no other page of the host finds it best and the host's path
-    has a fair share of its text.
+    Only where the host's path has the page's first heading, and the own container lies
+    elsewhere and has none, the path is the article and the container a box beside it.
     """
     own = main_container(found)
     if own is None or won is None or won == own:
         return _joined(inside(found, own or won))
     ours, theirs = inside(found, own), inside(found, won)
     common = {id(b) for b in theirs}
-    if not theirs or all(id(b) in common for b in ours):
-        return _joined(theirs or ours)
-    chars, least = _chars(theirs), FAIR_SHARE * _chars(ours)
     apart = not any(id(b) in common for b in ours)
-    if apart and own not in others and chars >= least:
+    if apart and _headed(theirs) and not _headed(ours):
         return _joined(theirs)
-    both = common | {id(b) for b in ours}
-    return _joined([b for b in found if id(b) in both])
+    wanted = common | {id(b) for b in ours}
+    return _joined([b for b in found if id(b) in wanted])
 
 
-def _chars(found: list[Block]) -> int:
-    return sum(len(b[0]) for b in found)
+def _headed(found: list[Block]) -> bool:
+    return any(b[3] == "h1" for b in found)
 
 
 def _joined(found: list[Block]) -> str:
@@ -67,8 +57,8 @@ def _joined(found: list[Block]) -> str:
 def _extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for page, path, others in zip(*(batch.column(c) for c in ("html", "path", "others")), strict=True):
-            texts.append(page_text(page_blocks(page.as_py() or ""), path.as_py(), others.as_py() or []))
+        for page, path in zip(batch.column("html"), batch.column("path"), strict=True):
+            texts.append(page_text(page_blocks(page.as_py() or ""), path.as_py()))
         yield pa.record_batch(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
         )
@@ -88,9 +78,7 @@ def _pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFr
 
 
 def host_paths(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, path, votes, others): the container path that most pages of a host find best.
-
-    ``others`` are the next paths that two pages or more find best, by votes.
+    """(host, path, votes): the container path that most pages of a host find best.
 
     Votes are summed before the shuffle, so a host with most pages is no large group.
     Ties go to the first path by name.
@@ -99,14 +87,8 @@ def host_paths(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     votes = votes.mapInArrow(_vote_batches, "host string, path string, votes long")
     counted = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
     ranked = F.struct((-F.col("votes")).alias("rank"), "path")
-    # At most so many paths a host leave the rank limit, before and after the shuffle.
-    order = Window.partitionBy("host").orderBy(F.desc("votes"), "path")
-    counted = counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= OTHER_PATHS + 1)
-    won = counted.groupBy("host").agg(
-        F.min_by(F.struct("path", "votes"), ranked).alias("won"),
-        F.sort_array(F.collect_list(F.when((F.col("place") > 1) & (F.col("votes") > 1), ranked))).alias("next"),
-    )
-    return won.select("host", "won.path", "won.votes", F.col("next.path").alias("others"))
+    won = counted.groupBy("host").agg(F.min_by(F.struct("path", "votes"), ranked).alias("won"))
+    return won.select("host", "won.path", "won.votes")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -114,9 +96,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     Each page's containers are scored by their text outside links and the best one,
     widened over what belongs to it, votes for its generalised path (tags and classes);
-    the winning path of the host then extracts its pages. A page without text on that
-    path uses its own best container. Where that one lies around the path, is best on
-    other pages of the host too, or has 20 times the path's text, the page gives both.
+    the winning path of the host then extracts its pages. What the page's own best
+    container holds beyond that path is kept too, so a page of another template loses
+    nothing, however few such pages the host has, unless the path has the page's first
+    heading and the container is apart from it.
     Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
     comments are left out by element, role or class, unless they hold the page.
 
@@ -126,7 +109,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     hosts is joined: broadcast while Spark knows it to be small, else by its key.
     """
     stage = Staging(pages.sparkSession)
-    paths = stage(host_paths(pages, id_col, url_col, html_col), "host-paths").select("host", "path", "others")
+    paths = stage(host_paths(pages, id_col, url_col, html_col), "host-paths").select("host", "path")
     rows = _pages(pages, id_col, url_col, html_col).join(paths, "host", "left")
-    out = rows.select("page_id", "url", "html", "path", "others").mapInArrow(_extract_batches, "page_id long, url string, text string")
+    out = rows.select("page_id", "url", "html", "path").mapInArrow(_extract_batches, "page_id long, url string, text string")
     return out.withColumn("n_chars", F.char_length("text").cast("long"))

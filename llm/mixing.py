@@ -35,6 +35,12 @@ def uniform(*parts: Column) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
+def sampling_key(doc_id: Column, text: Column, size: Column, seed: int) -> Column:
+    """-ln(u) / weight; u depends on the text too, so rows without id, or of one id, are sampled apart."""
+    own = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    return -F.log(uniform(doc_id, F.lit(seed), own)) / quality_weight(text, size)
+
+
 def source_targets(
     sizes: DataFrame,
     weights: tuple[float, ...] = SOURCE_WEIGHTS,
@@ -79,8 +85,8 @@ def mixture(
 ) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken): words of every row the mix takes.
 
-    Efraimidis-Spirakis: a document's key is -ln(u) / weight with u from a digest of id
-    and seed and a weight that falls with symbols in the text. A source's target is cut
+    Efraimidis-Spirakis: a document's key is -ln(u) / weight with u from a digest of id,
+    seed and text and a weight that falls with symbols in the text. A source's target is cut
     into complete epochs, which take every document, and a fraction: documents by
     ascending key until their sizes fill it; the last gives its first words only, so
     the source meets its target to the word.
@@ -88,8 +94,8 @@ def mixture(
     A source is never ordered in one task: keys fall into buckets of some thousand
     documents, bucket totals are prefix-summed per source, and rows are ordered within
     their bucket. Reruns give the same rows. A null or empty text has size 0 and gives
-    nothing. Ids may be null or repeat: rows of one id in one source tie by size, and
-    such ties have equal results. Null sources are one source, the last. Other columns
+    nothing; a text of any length is counted whole. Ids may be null or repeat: rows of
+    one id and text in one source tie, and it does not matter which of them is taken. Null sources are one source, the last. Other columns
     do not matter; an empty table gives an empty result.
     """
     stage = Staging(docs.sparkSession)
@@ -98,7 +104,7 @@ def mixture(
         F.col(source_col).cast("string").alias("source"),
         F.col(text_col).cast("string").alias("text"),
     ).withColumn("size", word_count(F.col("text")))
-    key = -F.log(uniform(F.col("doc_id"), F.lit(seed))) / quality_weight(F.col("text"), F.col("size"))
+    key = sampling_key(F.col("doc_id"), F.col("text"), F.col("size"), seed)
     sized = stage(own.select("doc_id", "source", "size", key.alias("key")), "sized")
     return planned(sized, stage, weights, share, most_epochs)
 
@@ -167,7 +173,7 @@ def mixed_documents(
     # A field of the row, so that the text is in the shuffle once.
     text = F.col(f"row.c{docs.columns.index(text_col)}").cast("string")
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("size", word_count(text))
-    key = -F.log(uniform(F.col("doc_id"), F.lit(seed))) / quality_weight(text, F.col("size"))
+    key = sampling_key(F.col("doc_id"), text, F.col("size"), seed)
     mix = planned(rows.withColumn("key", key), stage, weights, share, most_epochs, whole).where("taken > 0")
     copies = F.concat(
         F.array_repeat(F.col("size"), (F.col("taken") / F.col("size")).cast("int")),

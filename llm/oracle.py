@@ -60,9 +60,9 @@ FROM documents LEFT JOIN spans USING (doc_id) GROUP BY doc_id
 OP4 = rf"""
 WITH sized AS (
     SELECT doc_id, source, size,
-           -ln((('0x' || substr(md5(doc_id || ':7'), 1, 13))::BIGINT + 0.5) / 4503599627370496.0)
+           -ln((('0x' || substr(md5(doc_id || ':7:' || hash), 1, 13))::BIGINT + 0.5) / 4503599627370496.0)
            / CASE WHEN size > 0 THEN greatest(0.2, 1 - 2 * symbols / size) ELSE 0.2 END AS key
-    FROM (SELECT doc_id, source, len({WORDS.format("coalesce(text, '')")}) AS size,
+    FROM (SELECT doc_id, source, md5(coalesce(text, '')) AS hash, len({WORDS.format("coalesce(text, '')")}) AS size,
                  length(coalesce(text, '')) - length(translate(coalesce(text, ''), '#*$%&|<>', '')) AS symbols FROM documents)
 ), sources AS (
     SELECT source, sum(size)::BIGINT AS source_size,

@@ -23,6 +23,8 @@ FEATURES = (
 THRESHOLD = 0.3
 # Shares of the pooled covariance and of its mean variance in each class's covariance.
 POOLED, SPHERE = 0.3, 0.05
+# The least variance of the sphere, in units of the features' own: texts may be all alike.
+LEAST_VARIANCE = 0.01
 FOLDS, HELD_OUT = 5, 0
 
 
@@ -110,7 +112,7 @@ def discriminant(counts: np.ndarray, sums: np.ndarray, squares: np.ndarray) -> D
         own.append((q / n - np.outer(mean, mean)) / np.outer(scale, scale))
         means.append((mean - center) / scale)
     pooled = (counts[0] * own[0] + counts[1] * own[1]) / total
-    sphere = np.eye(len(center)) * np.trace(pooled) / len(center)
+    sphere = np.eye(len(center)) * max(np.trace(pooled) / len(center), LEAST_VARIANCE)
     covariances = [(1 - POOLED - SPHERE) * c + POOLED * pooled + SPHERE * sphere for c in own]
     factors = tuple(np.linalg.cholesky(c) for c in covariances)
     return Discriminant(center, scale, tuple((counts / total).tolist()), tuple(means), factors)
@@ -161,7 +163,8 @@ def score_documents(
 
     Null and empty texts have the statistics of no words and are scored too. Labels
     other than 0 and 1, null labels and labels without a document are not used; a
-    document labelled twice counts twice. Without labels of both classes every score is
+    document labelled twice counts twice. One row a class, or rows all alike, have the
+    sphere alone as covariance. Without labels of both classes every score is
     the share of ones, 0.5 without any. A null id is no label's and its fold that of an
     empty text. Other columns do not matter; an empty table gives an empty result.
     """

@@ -15,15 +15,17 @@ from llm.trigrams import TrigramIndex, compiled
 
 BASE = ("assign", "access", "hex")
 # A private key from its BEGIN to its END line, whatever stands between them but another such
-# line. Without an END line: headers, long base64 words (quoted, indented or parted by escaped
-# line ends as well), and then whole lines of shorter ones or a padded end. No look-around, so
-# that SQL engines take the rule.
+# line. Without an END line: header lines, or headers and more on one line up to a long base64
+# word; then long base64 words (quoted, indented or parted by escaped line ends as well), and
+# whole lines of shorter ones or a padded end. No look-around, so that SQL engines take the rule.
 _SEP = r"""(?:[\x20\t\r\n>|#*"'+,;]|\\[nrt])"""
 _EOL = r"(?:\r?\n|\\r\\n|\\n)"
+_NAME = r"[\x20\t>|#*]*[A-Z][A-Za-z0-9-]*:\x20"
 _KEY = (
     r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
     r"(?:[^-]*(?:-{1,4}[^-]+)*-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
-    r"|(?:(?:\\[nrt]|[^A-Za-z0-9-]){0,40}[A-Z][A-Za-z-]*:\x20(?:[^-]|-[^-]){0,200}?[^A-Za-z0-9+/=-][A-Za-z0-9+/=]{40,})?"
+    rf"|(?:\r?\n{_NAME}[^\r\n]*|(?:\\r)?\\n{_NAME}[^\\\r\n]*)*"
+    r"(?:(?:\\[nrt]|[^A-Za-z0-9-])*[A-Z][A-Za-z-]*:\x20(?:[^-\r\n]|-[^-\r\n])*?[^A-Za-z0-9+/=-][A-Za-z0-9+/=]{40,})?"
     rf"(?:{_SEP}*[A-Za-z0-9+/=]{{24,}})*"
     rf"(?:{_SEP}+(?:[A-Za-z0-9+/]+={{1,2}}|=[A-Za-z0-9+/]{{4}})){{0,2}}"
     rf"(?:(?:{_EOL}[\x20\t>|#*]*[A-Za-z0-9+/=]+)+(?:{_EOL}|$))?)"
@@ -122,7 +124,8 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", size_col: str | None
     """All rows and columns of ``docs``, secrets in the text replaced by ``[SECRET]``.
 
     ``size_col``, where given, becomes the new text's code points. Rows without
-    secrets, null texts too, stay as they are.
+    secrets, null texts too, stay as they are. An empty table gives an empty result;
+    columns of any name pass, whatever the operator's own are called.
     """
     ship(docs.sparkSession)
     rows = as_rows(docs)
@@ -147,7 +150,7 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Null and empty texts have no spans. Rows are independent: ids may be null or
     repeat, other columns do not matter, an empty table gives an empty result. There
-    is no shuffle; a task holds a segment of about 4 MB, or one longer text.
+    is no shuffle; a task holds a segment of about 1 MB, or one longer text.
     """
     ship(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

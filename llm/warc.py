@@ -108,7 +108,10 @@ def derivatives(records: DataFrame) -> DataFrame:
     nothing. Both refer to the response by WARC-Refers-To and keep its date, target and
     payload digest; the metadata record holds its HTTP header lines, title, language
     and links as fields, the conversion record its text without markup. Record ids
-    follow from the response's. A response without content gives an empty text.
+    follow from the response's. A response without content gives an empty text; a row
+    with null headers is no response and derives nothing. Repeated responses derive
+    repeated records of the same ids. An empty table gives an empty result; columns
+    other than the three do not matter. Contents of any length are held one at a time.
     """
     ship(records.sparkSession)
     headers = F.map_filter(F.col("headers"), lambda _, v: v.isNotNull())

@@ -64,7 +64,7 @@ def test_a_second_template_of_a_host_keeps_its_articles(spark):
     assert [out[i] for i in range(6)] == bodies[:6]
     assert all(bodies[i] in out[i] and "Foot" not in out[i] for i in range(6, 10))
     [won] = host_paths(pages(spark, rows)).collect()
-    assert (won.path, won.votes, won.others) == ("/body/div.text", 6, ["/body/div.story"])
+    assert (won.path, won.votes) == ("/body/div.text", 6)
 
 
 def test_articles_and_their_headings():
@@ -202,3 +202,37 @@ def test_a_damaged_record_is_refused(spark, root):
     write_warc(bad, f"{root}/bad")
     with pytest.raises(Exception, match="length"):
         read_warc(spark, f"{root}/bad").collect()
+
+
+def test_tags_without_an_end_swallow_nothing():
+    from llm.html_blocks import visible_text
+
+    page = "<body><p>one two three</p><svg class='i'/><p>four</p><select><option>x<p>five</p><svg><text>no</text></svg><object data=a><p>six</p></body>"
+    text = visible_text(page)
+    assert all(word in text for word in ("three", "four", "five", "six")) and "no" not in text.split()
+    assert "kept" not in visible_text("<p>a</p><script>kept")
+
+
+def test_a_heading_far_below_its_article_is_kept():
+    page = "<article>" + "<div>" * 40 + "<header><h1>Title of it</h1></header><p>" + "word " * 60 + "</p>" + "</div>" * 40 + "</article>"
+    assert any(b[0] == "Title of it" for b in page_blocks(page))
+
+
+@pytest.mark.parametrize("intro", [124, 219, 1500])
+def test_a_page_of_its_own_template_keeps_its_story(spark, intro):
+    common = "<html><body><div class=intro><p>{}</p></div></body></html>"
+    pages = [(i, "https://h.example/%d" % i, common.format("plain words here " * 20)) for i in range(5)]
+    words = lambda n, w: (w + " ") * (n // (len(w) + 1))
+    odd = f"<html><body><div class=intro><p>{words(intro, 'early')}</p></div><div class=story><p>{words(2000, 'later')}</p></div></body></html>"
+    pages.append((9, "https://h.example/9", odd))
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    (text,) = [r.text for r in main_text(df).collect() if r.page_id == 9]
+    assert text.count("later") == 2000 // 6 and text.count("early") == intro // 6
+
+
+def test_twenty_templates_on_one_host(spark):
+    page = "<html><body><div class=top><p>Intro {0}.</p></div><div class=t{1}><p>{2}</p></div></body></html>"
+    # Class names with letters, since digits fold.
+    pages = [(i, "https://h.example/x", page.format(i, "abcdefghijklmnopqrst"[i % 20], f"body{i} " * 80)) for i in range(60)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert all(r.text.count(f"body{r.page_id}") == 80 for r in main_text(df).collect())
