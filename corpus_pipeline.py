@@ -1,4 +1,12 @@
-"""A corpus from raw documents to packed sequences, in five stages."""
+"""A corpus from raw documents to packed sequences, in five stages.
+
+Each stage takes whole tables: null and empty texts pass the rules or not by their
+counts, have no near copies and no secrets, are taken by no mix and so are packed
+nowhere; very long texts are never cut before packing, which parts them over
+sequences. Rows that repeat an id are rows of their own; rows alike in id and text are
+near copies of which one stays. An empty table gives an empty result. Columns beyond
+those of documents pass all stages but the last, whatever their names.
+"""
 
 from __future__ import annotations
 
