@@ -16,7 +16,7 @@ from llm import hyperminhash as hmh
 from llm.batches import small_batches
 from llm.byteops import LOWER, ranges, shingle_hashes, span_hashes, text_chunks, word_bounds
 from llm.components import connected_components
-from llm.rows import as_rows, from_rows
+from llm.rows import as_rows, broadcast_bytes, from_rows
 from llm.shipping import ship
 
 SHINGLE_WORDS = 5
@@ -25,6 +25,8 @@ LINK_PERCENT = 80
 BLOCK_BYTES = 4 << 20
 # Digests that, with the id, tell texts apart.
 TEXT_KEYS = ("k0", "k1")
+# Bytes of one row that names a text to be read again.
+NEEDED_BYTES = 64
 
 
 def _text_sets(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
@@ -74,8 +76,12 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, hashes, first in _text_sets(batch):
             yield pa.record_batch(
-                [batch.column("node").slice(rows.start, rows.stop - rows.start), _binary(hashes.tobytes(), first * 8)],
-                names=["node", "shingles"],
+                [
+                    batch.column("node").slice(rows.start, rows.stop - rows.start),
+                    _binary(hashes.tobytes(), first * 8),
+                    _binary(hmh.sketch(hashes, first).tobytes(), np.arange(len(first)) * 2 * hmh.REGISTERS),
+                ],
+                names=["node", "shingles", "registers"],
             )
 
 
@@ -262,6 +268,8 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, link_percent: int) ->
     members = stage(_bucket_members(classes, hmh.band_rows(link_percent / 100)), "members")
     needed = classes.select("node", *(F.col(f"least.{k}").alias(f"_{k}") for k in ("doc_id", *TEXT_KEYS)))
     needed = stage(needed.join(members.select("node").distinct(), "node", "left_semi"), "needed")
+    if stage.rows["needed"] * NEEDED_BYTES <= broadcast_bytes(spark):
+        needed = F.broadcast(needed)  # the texts of others are then not shuffled
     sets = _member_sets(docs, id_col, text_col, needed)
     with small_batches(spark):
         sets = stage(sets, "sets")
@@ -334,11 +342,11 @@ def _bucket_members(classes: DataFrame, band_rows: int) -> DataFrame:
 
 
 def _member_sets(docs: DataFrame, id_col: str, text_col: str, needed: DataFrame) -> DataFrame:
-    """(node, shingles) of the classes that share a bucket with another, from their texts."""
+    """(node, shingles, registers) of the classes that share a bucket with another, from their texts."""
     own = _texts(docs, id_col, text_col).join(needed, _same(("doc_id", *TEXT_KEYS)))
     # Rows alike in id and text have one set; they collapse before they are dealt.
     own = own.groupBy("node").agg(F.first("text").alias("text"))
-    return own.mapInArrow(_set_batches, "node long, shingles binary")
+    return own.mapInArrow(_set_batches, "node long, shingles binary, registers binary")
 
 
 def _star_links(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -378,7 +386,6 @@ def _residual_links(
     )
     return (
         units.join(sets, "node")
-        .join(classes.select("node", "registers"), "node")
         .groupBy("bucket", "i", "j")
         .applyInArrow(lambda t: _block_links(t, percent), "a long, b long")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -20,3 +20,8 @@ def from_rows(rows: DataFrame, df: DataFrame, **replaced: str) -> DataFrame:
         value = F.col(replaced[field.name]) if field.name in replaced else F.col(f"row.c{i}")
         columns.append(value.cast(field.dataType).alias(field.name))
     return rows.select(*columns)
+
+
+def broadcast_bytes(spark: SparkSession) -> int:
+    """Spark's own limit for a broadcast table; -1 where there is to be none."""
+    return spark._jvm.org.apache.spark.sql.internal.SQLConf.get().autoBroadcastJoinThreshold()

@@ -16,6 +16,7 @@ from lakeops.sinks.staging import Staging
 from llm.batches import small_batches
 from llm.byteops import span_hashes, text_chunks, word_bounds
 from llm.packing import SEPARATOR, _encoder, units
+from llm.rows import broadcast_bytes as _broadcast_bytes
 from llm.shipping import ship
 from llm.tokenizer_files import library_of, tokenizer_path, version_digest
 
@@ -178,7 +179,3 @@ def token_counts(
         counts = counts.unionByName(new)
     return rows.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
-
-def _broadcast_bytes(spark: SparkSession) -> int:
-    """Spark's own limit for a broadcast table."""
-    return spark._jvm.org.apache.spark.sql.internal.SQLConf.get().autoBroadcastJoinThreshold()
