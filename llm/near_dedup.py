@@ -78,10 +78,11 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch(
                 [
                     batch.column("node").slice(rows.start, rows.stop - rows.start),
+                    pa.array(np.diff(first).astype(np.int64)),
                     _binary(hashes.tobytes(), first * 8),
                     _binary(hmh.sketch(hashes, first).tobytes(), np.arange(len(first)) * 2 * hmh.REGISTERS),
                 ],
-                names=["node", "shingles", "registers"],
+                names=["node", "n", "shingles", "registers"],
             )
 
 
@@ -232,8 +233,8 @@ def near_duplicates(
        at the threshold shares none with a probability below 1e-8. Each member is compared with one member of
        its bucket: first by the collision-corrected estimate, less six standard
        deviations, then on the full sets.
-    3. Buckets that still hold several components are finished exactly: members outside
-       the largest component meet those they share a rare shingle with, by the estimate
+    3. Buckets that still hold several components are finished exactly: of the members
+       that were not compared with all of the bucket, those outside the largest component meet those they share a rare shingle with, by the estimate
        and then on the full sets, in blocks of bounded bytes, and only links that join
        components leave a block. No pairs are emitted.
 
@@ -273,10 +274,10 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, link_percent: int) ->
     sets = _member_sets(docs, id_col, text_col, needed)
     with small_batches(spark):
         sets = stage(sets, "sets")
-        links = stage(_star_links(members, classes, sets, link_percent), "links")
+        links = stage(_star_links(members, sets, link_percent), "links")
     part = stage(connected_components(links, stage, "part"), "part-labels")
     with small_batches(spark):
-        rest = stage(_residual_links(members, part, sets, classes, link_percent), "rest")
+        rest = stage(_residual_links(members, part, sets, stage, link_percent), "rest")
     labels = stage(connected_components(links.unionByName(rest), stage, "whole"), "labels")
 
     named = classes.select("set_key", "node", F.col("least.doc_id").alias("doc_id")).join(labels, "node", "left")
@@ -342,21 +343,22 @@ def _bucket_members(classes: DataFrame, band_rows: int) -> DataFrame:
 
 
 def _member_sets(docs: DataFrame, id_col: str, text_col: str, needed: DataFrame) -> DataFrame:
-    """(node, shingles, registers) of the classes that share a bucket with another, from their texts."""
+    """(node, n, shingles, registers) of the classes that share a bucket with another, from their texts."""
     own = _texts(docs, id_col, text_col).join(needed, _same(("doc_id", *TEXT_KEYS)))
     # Rows alike in id and text have one set; they collapse before they are dealt.
     own = own.groupBy("node").agg(F.first("text").alias("text"))
-    return own.mapInArrow(_set_batches, "node long, shingles binary, registers binary")
+    return own.mapInArrow(_set_batches, "node long, n long, shingles binary, registers binary")
 
 
-def _star_links(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _star_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of members with their buckets' pivots; the estimate needs no set."""
     pairs = (
         members.where("node <> pivot")
         .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
         .distinct()
     )
     for side in ("a", "b"):
-        info = classes.select(
+        info = sets.select(
             F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("registers").alias(f"registers_{side}")
         )
         pairs = pairs.join(info, side)
@@ -366,18 +368,32 @@ def _star_links(members: DataFrame, classes: DataFrame, sets: DataFrame, percent
     return likely.mapInArrow(lambda it: _verified(it, percent), "a long, b long")
 
 
-def _residual_links(
-    members: DataFrame, labels: DataFrame, sets: DataFrame, classes: DataFrame, percent: int
-) -> DataFrame:
-    """Links in buckets that hold several components, found block pair by block pair."""
-    rows = members.select("bucket", "band", "node").join(labels, "node", "left").join(classes.select("node", "n"), "node")
+def _residual_links(members: DataFrame, labels: DataFrame, sets: DataFrame, stage: Staging, percent: int) -> DataFrame:
+    """Links in buckets that hold several components, found block pair by block pair.
+
+    A pivot has met all others of its bucket, so it is left out there. Of buckets that
+    then hold the same members the one of the lowest band stands for all: it is the
+    first bucket of each of its pairs that the others hold too.
+    """
+    rows = members.where("node <> pivot").select("bucket", "band", "node").join(labels, "node", "left")
+    rows = rows.join(sets.select("node", "n"), "node")
     rows = rows.select("bucket", "band", "node", F.coalesce("component", "node").alias("component"), "n")
+    alike = [F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"m{i}") for i in range(2)]
     open_buckets = (
-        rows.groupBy("bucket")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.sum("n").alias("total"))
+        rows.groupBy("bucket", "band")
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.sum("n").alias("total"),
+            F.count("*").alias("members"),
+            *alike,
+        )
         .where("low <> high")
-        .select("bucket", F.ceil(F.col("total") * 8 / BLOCK_BYTES).cast("int").alias("blocks"))
+        .groupBy("members", "m0", "m1")
+        .agg(F.min(F.struct("band", "bucket", F.ceil(F.col("total") * 8 / BLOCK_BYTES).cast("int").alias("blocks"))).alias("b"))
     )
+    # Staged, so that AQE may split a bucket with very many members.
+    open_buckets = stage(open_buckets.select("b.bucket", "b.blocks"), "open")
     rows = rows.join(open_buckets, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     units = rows.select("bucket", "band", "node", "component", "own", each)
@@ -385,7 +401,7 @@ def _residual_links(
         "bucket", "band", "node", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
     )
     return (
-        units.join(sets, "node")
+        units.join(sets.drop("n"), "node")
         .groupBy("bucket", "i", "j")
         .applyInArrow(lambda t: _block_links(t, percent), "a long, b long")
     )
