@@ -333,6 +333,11 @@ SELECT user_id, event_id, value,
 FROM events)"""
 
 
+def bounds_sql(table: str, columns: tuple[str, ...]) -> str:
+    each = (f"count({c}) AS n_{c}, min({c}) AS min_{c}, max({c}) AS max_{c}" for c in columns)
+    return f"SELECT count(*) AS n_rows, {', '.join(each)} FROM {table}"
+
+
 def check_sql(spec: ModelSpec) -> list[str]:
     gold = f"({gold_full_body(spec)}) g"
     checks = [
@@ -523,4 +528,11 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["streamed_state"] = f"WITH {EVENT_FEED} SELECT * EXCLUDE (_change_type) FROM ({changes}) n WHERE _change_type <> 'delete'"
     sql["incremental_run_scalar"] = sql["incremental_run"]
+    sql["upsert_bucketed"] = sql["upsert_composite_key"]
+    sql["history_bucketed"] = sql["history_capture"]
+    sql["item_bounds"] = bounds_sql("lineitem", ("l_orderkey", "l_partkey", "l_linenumber"))
+    sql["event_bounds"] = bounds_sql("events", ("event_id", "ts"))
+    sql["published_together"] = f"WITH {INVOICE}, {STOCK_CTE}, {BRANCH} " + " UNION ALL ".join(
+        f"SELECT '{name}' AS name, count(*) AS n_rows FROM ({gold_incr_body(spec)}) g" for name, spec in MODELS.items()
+    )
     return sql

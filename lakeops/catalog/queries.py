@@ -22,7 +22,9 @@ from lakeops.operators.changes import (
     snapshot_diff,
     upserts_only,
 )
+from lakeops.operators.bucketed import buckets_of, history_bucketed, upsert_bucketed, without_hash, write_keyed
 from lakeops.operators.changed_checks import check_changed, observe_nulls, observed_failures
+from lakeops.operators.file_bounds import file_bounds
 from lakeops.operators.hashtree import reconcile_by_tree
 from lakeops.operators.history import full_history, history_capture
 from lakeops.operators.latest import latest_by_key
@@ -34,6 +36,7 @@ from lakeops.operators.merge import (
 )
 from lakeops.operators.rejects import load_with_rejects
 from lakeops.plans import control
+from lakeops.plans.concurrent import publish_together
 from lakeops.plans.models import gold_full, gold_increment
 from lakeops.plans.pipeline import Feed, run_pipeline
 from lakeops.plans.publish import incremental_since, publish, target_high_water
@@ -66,6 +69,7 @@ AS_OF_VERSION = 4
 EVENT_DAY = 15
 HIGH_WATER = "2024-01-15 12:00:00"
 PREVIEW_ROWS = 800
+BOUND_COLUMNS = ("l_orderkey", "l_partkey", "l_linenumber")
 # First commit of the models' runs as SQL.
 SQL_START = 1
 LOAD_COLUMNS = {
@@ -506,6 +510,48 @@ def versioned_feed(spark: SparkSession, d: str) -> DataFrame:
     return snapshot_as_of(keyed, 1, ["_row", *key], [CHANGE_TYPE]).select(*history.columns)
 
 
+def _bucketed(df: DataFrame, keys: tuple[str, ...], name: str) -> DataFrame:
+    """A table of this call bucketed by key, in a folder dropped with the application."""
+    spark = df.sparkSession
+    folder = _versions(spark)
+    table = f"{name}_{folder.rsplit('/', 1)[-1]}"
+    return write_keyed(df, table, keys, buckets_of(spark), f"{folder}/{name}")
+
+
+def upsert_bucketed_stock(spark: SparkSession, d: str) -> DataFrame:
+    state, rows = _split(fx.stock_feed(spark, d), STOCK_KEYS, fx.STOCK_TIEBREAK)
+    target, staged = _bucketed(state, STOCK_KEYS, "stock"), _bucketed(rows, STOCK_KEYS, "staged")
+    return without_hash(upsert_bucketed(target, staged, STOCK_KEYS, null_safe=True))
+
+
+def history_bucketed_items(spark: SparkSession, d: str) -> DataFrame:
+    target = _bucketed(fx.items_target(spark, d), fx.ITEM_KEYS, "items")
+    staged = _bucketed(fx.items_staged(spark, d), fx.ITEM_KEYS, "staged")
+    return history_bucketed(target, staged, fx.ITEM_KEYS, "dt_atualizacao")
+
+
+def item_bounds(spark: SparkSession, d: str) -> DataFrame:
+    return file_bounds(spark, f"{d}/lineitem.parquet", BOUND_COLUMNS)
+
+
+def event_bounds(spark: SparkSession, d: str) -> DataFrame:
+    return file_bounds(spark, f"{d}/events.parquet", ["event_id", "ts"])
+
+
+def published_together(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of every model's published table, all published at a time."""
+    root = _versions(spark)
+    jobs = [(PUBLISHED[name], _increment(spec)(spark, d), f"{root}/{name}") for name, spec in MODELS.items()]
+    for outcome in publish_together(spark, jobs):
+        if outcome.error:
+            raise RuntimeError(f"{outcome.name}: {outcome.error}")
+    counts = [
+        read_version(spark, target).agg(F.lit(spec.name).alias("name"), F.count("*").alias("n_rows"))
+        for spec, _, target in jobs
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def queries() -> dict[str, Query]:
     named: dict[str, Query] = {
         "scan_silver": scan_silver,
@@ -559,6 +605,11 @@ def queries() -> dict[str, Query]:
             "load_rejects": load_rejects,
             "load_typed": load_typed,
             "streamed_state": streamed_state,
+            "upsert_bucketed": upsert_bucketed_stock,
+            "history_bucketed": history_bucketed_items,
+            "item_bounds": item_bounds,
+            "event_bounds": event_bounds,
+            "published_together": published_together,
             "profile_counts": profile_counts,
             "preview_rows": preview_rows,
             "resume_with_late_commit": resume_with_late_commit,

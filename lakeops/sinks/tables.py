@@ -308,7 +308,12 @@ def write_table(df: DataFrame, table: str, properties: Mapping[str, str] | None
 
 
 def write_bucketed(
-    df: DataFrame, table: str, keys: Sequence[str], buckets: int, sort_by: Sequence[str] = ()
+    df: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    buckets: int,
+    sort_by: Sequence[str] = (),
+    location: str | None = None,
 ) -> None:
     """Full rebuild of a table bucketed by key, so later joins on it skip a shuffle.
 
@@ -320,6 +325,8 @@ def write_bucketed(
     )
     if sort_by:
         writer = writer.sortBy(*sort_by)
+    if location:
+        writer = writer.option("path", location)
     writer.saveAsTable(table)
 
 
