@@ -17,6 +17,8 @@ PLACE_BITS = 28
 HASH_BITS = 29
 BUCKET_BITS = 6
 CUT_PARTS = 3
+# Characters a row counts for besides its text, for its fingerprint.
+ROW_CHARS = 400
 NULL_KEY = "cast(-10000000000000000000 as decimal(20,0))"
 WORD = r"[ \t-\r]+"
 
@@ -137,17 +139,24 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def _neighbours(keyed: DataFrame, stage: Staging) -> DataFrame:
-    """(key, longest, pick, next_key): the next smaller key; the largest after the smallest.
+    """(key, longest, pick, parts, next_key): the next smaller key; the largest after the smallest.
 
     Keys are dealt to ranges, ordered within them, and the gaps between ranges closed by
-    a table of one row a range; no task sees all keys.
+    a table of one row a range; no task sees all keys. A key of several rows that hold
+    more than a partition's share of all text is to be dealt in ``parts``.
     """
+    length = F.char_length("text")
     keys = keyed.groupBy("key").agg(
-        F.max(F.char_length("text")).alias("longest"), F.min(F.xxhash64("text")).alias("pick")
+        F.max(length).alias("longest"),
+        F.min(F.xxhash64("text")).alias("pick"),
+        F.count("*").alias("rows"),
+        F.sum(length + ROW_CHARS).alias("chars"),
     )
-    parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = keys.repartitionByRange(parts, F.desc("key")).withColumn("part", F.spark_partition_id())
+    partitions = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = keys.repartitionByRange(partitions, F.desc("key")).withColumn("part", F.spark_partition_id())
     ranged = stage(ranged, "ranges")
+    share = max(1, (ranged.agg(F.sum("chars")).first()[0] or 0) // partitions)
+    parts = F.when(F.col("rows") > 1, F.ceil(F.col("chars") / share)).otherwise(1).cast("int")
     firsts = ranged.groupBy("part").agg(F.max("key").alias("first_key"))
     following = firsts.select(
         "part",
@@ -159,10 +168,16 @@ def _neighbours(keyed: DataFrame, stage: Staging) -> DataFrame:
     return (
         ranged.withColumn("inside", inside)
         .join(following, "part")
-        .select("key", "longest", "pick", F.coalesce("inside", "first_after").alias("next_key"))
+        .select(
+            "key", "longest", "pick", parts.alias("parts"), F.coalesce("inside", "first_after").alias("next_key")
+        )
     )
 
 
+def _salts(parts: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(parts) - 1)).alias("salt")
+
+
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprint of each text and of an edited text, with their likeness.
 
@@ -175,7 +190,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     the id before. Null texts are empty. Rows of one id stand one after another's place
     together: the next document is that of the next different id, and where it has
     several rows, the one whose text hashes lowest. With a single id a document
-    follows itself. Other columns do not matter; an empty table gives an empty result.
+    follows itself. An id with more text than a partition's share, such as null, is
+    dealt in parts by row; what its rows need of the next document goes to each part. Other columns do not matter; an empty table gives an empty result.
     A place has 28 bits: k-mers beyond 268 million share places, not an error.
     """
     stage = Staging(docs.sparkSession)
@@ -183,24 +199,32 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     key = F.coalesce(F.col(id_col).cast("long").cast("decimal(20,0)"), F.expr(NULL_KEY))
     own = docs.select(key.alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     order = stage(_neighbours(own, stage), "order")
+    # No more keys than partitions hold more than a partition's share.
+    hot = F.broadcast(order.where("parts > 1").select("key", "parts"))
+    salt = F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.coalesce("parts", F.lit(1))).cast("int")
     # Signed before the exchange that both uses below share.
-    signed = own.select("key", "text", F.array_join(fingerprint(F.col("text")), "").alias("fingerprint"))
+    signed = own.join(hot, "key", "left").select(
+        "key", salt.alias("salt"), "text", F.array_join(fingerprint(F.col("text")), "").alias("fingerprint")
+    )
 
-    before = order.select(F.col("next_key").alias("key"), F.col("key").alias("before_key"), "longest")
-    before = before.join(order.select("key", "pick"), "key")
+    before = order.select(
+        F.col("next_key").alias("key"), F.col("key").alias("before_key"), "longest", F.col("parts").alias("before_parts")
+    )
+    before = before.join(order.select("key", "pick", "parts"), "key").select("*", _salts("parts"))
     following = (
-        signed.join(before, "key")
+        signed.join(before, ["key", "salt"])
         # Not an equality of two sides, which would deal the texts anew by it.
         .where(F.xxhash64("text").bitwiseXOR(F.col("pick")) == 0)
         .select(
             F.col("before_key").alias("key"),
+            _salts("before_parts"),
             F.expr(f"left(text, cast(longest div {CUT_PARTS} as int))").alias("start"),
             F.col("fingerprint").alias("next_fingerprint"),
         )
-        .groupBy("key")
+        .groupBy("key", "salt")
         .agg(F.first("start").alias("start"), F.first("next_fingerprint").alias("next_fingerprint"))
     )
-    edited = signed.join(following, "key").withColumn("n_chars", F.char_length("text"))
+    edited = signed.join(following, ["key", "salt"]).withColumn("n_chars", F.char_length("text"))
     edited = edited.select(
         "key",
         "n_chars",

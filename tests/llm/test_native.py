@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import xxhash
 from helpers import awkward_rows, rows_of, table, text_of
 from pyspark.sql import functions as F
 
@@ -45,6 +46,82 @@ def sketched(spark, texts):
     return [r.f for r in df.orderBy("i").collect()]
 
 
+def chained(*parts):
+    """The hash of several values one after another: bytes, or (whole number, its bytes)."""
+    seed = 42
+    for part in parts:
+        data = part if isinstance(part, bytes) else part[0].to_bytes(part[1], "little")
+        seed = xxhash.xxh64_intdigest(data, seed)
+    return seed
+
+
+def plain_fingerprint(text):
+    """Order MinHash word by word: number the copies, keep two of each bucket, hash them in text order."""
+    words = [w.encode() for w in WORD.findall(text)]
+    n = max(len(words) - 2, min(len(words), 1))
+    seen, buckets = {}, {}
+    for place in range(n):
+        kmer = chained(*words[place : place + 3]) >> 29
+        copy = seen[kmer] = seen.get(kmer, -1) + 1
+        value = chained((kmer, 8), (copy, 4)) >> 29
+        buckets.setdefault(value >> 29, []).append((value, place))
+    out = ""
+    for bucket, found in sorted(buckets.items()):
+        least = sorted(sorted(found)[:2], key=lambda e: e[1])
+        out += f"{bucket:02x}{chained(*((value, 8) for value, _ in least)) & 0xFFFF:04x}"
+    return out
+
+
+def plain_likeness(a, b):
+    x, y = ({f[i : i + 6] for i in range(0, len(f), 6)} for f in (a, b))
+    either = {e[:2] for e in x | y}
+    return len(x & y) / len(either) if either else 1.0
+
+
+def test_fingerprints_are_those_of_plain_code(spark):
+    texts = [text_of(i, n, 30 + 10 * i) for i, n in enumerate((0, 1, 2, 3, 4, 40, 300, 2000))]
+    texts += ["a b c " * 50, "é 😀\tx\x0by " * 20, " \n "]
+    assert sketched(spark, texts) == [plain_fingerprint(t) for t in texts]
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate(texts)]
+    for r in edited_fingerprints(table(spark, rows)).collect():
+        text, after = texts[r.doc_id], texts[r.doc_id - 1]
+        k = len(text) // 3
+        own, edited, following = map(plain_fingerprint, (text, text[: len(text) - k] + after[:k], after))
+        assert (r.fingerprint, r.edited_fingerprint) == (own, edited)
+        assert r.near_edited == plain_likeness(own, edited) and r.near_next == plain_likeness(own, following)
+
+
+def test_ids_of_a_third_of_all_rows_are_dealt_in_parts(spark):
+    def key(i):
+        return (None, 7, 1000 + i)[i % 3]
+
+    rows = [(key(i), text_of(i // 2 if i % 3 else i % 9, 20 + i % 30), "en", "a", 1) for i in range(1800)]
+    signed = lambda t: (v := chained(t.encode())) - (v >> 63 << 64)
+    least = {}
+    for k, text, *_ in rows:
+        least[k] = min(least.get(k, text), text, key=signed)
+    order = sorted((k for k in least if k is not None), reverse=True) + [None]
+    after = dict(zip(order, order[1:] + order[:1]))
+    expected = []
+    for k, text, *_ in rows:
+        cut = len(text) // 3
+        edited = text[: len(text) - cut] + least[after[k]][:cut]
+        expected.append((k, hashlib.sha256(edited.encode()).hexdigest(), plain_fingerprint(text)))
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        out = edited_fingerprints(table(spark, rows)).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    got = [(r.doc_id, r.edited_sha256, r.fingerprint) for r in out]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+    tasks = [r.task for r in out]
+    assert max(map(tasks.count, set(tasks))) < 0.1 * len(rows)
+
+
 def near(spark, a, b):
     df = spark.createDataFrame([(a, b)], "a string, b string")
     return df.select(likeness(entries("a"), entries("b"))).first()[0]
