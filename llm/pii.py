@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -100,8 +101,9 @@ def line_sequences(data: np.ndarray, starts: np.ndarray, offsets: np.ndarray) ->
     return np.unique(np.concatenate([[0], np.searchsorted(starts, breaks), [len(starts)]]))
 
 
+@cache
 def model() -> crf.Field:
-    """The field trained on the labelled table; the same each time."""
+    """The field trained on the labelled table; the same each time, so trained once a process."""
     features, first, labels = [], [0], []
     for text, spans in labelled_sentences():
         data = np.frombuffer(text.encode(), np.uint8)

@@ -22,6 +22,13 @@ TEMPLATES = (
     "<word> <word> {email} <word>",
     "<word> <word> {ip} <word>",
     "<word> {card} <word> <word>",
+    "<word> <word> <word> {card} <word> <word>",
+    "<Word> <word> <word> <word> {card}.",
+    "{card}, <word> <word> <word>",
+    "{email} <word> <word> <word> <word>",
+    "<Word> <word> <word> <word> {email}.",
+    "{phone} <word> <word> <word> <word>",
+    "<Word> <word> <word> <word> {phone}.",
     "the host {ip} did not answer the <word>",
     "login from {ip} <word> <word>",
     "server at {ip}, <word> on <word>",
