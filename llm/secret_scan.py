@@ -21,10 +21,12 @@ BASE = ("assign", "access", "hex")
 _SEP = r"""(?:[\x20\t\r\n>|#*"'+,;]|\\[nrt])"""
 _EOL = r"(?:\r?\n|\\r\\n|\\n)"
 _NAME = r"[\x20\t>|#*]*[A-Z][A-Za-z0-9-]*:\x20"
+# A line end inside one quoted string, and the start of the next.
+_QUOTED = r"""(?:\\r)?\\n["'][\x20\t+.]*\r?\n[\x20\t]*["']"""
 _KEY = (
     r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
     r"(?:[^-]*(?:-{1,4}[^-]+)*-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
-    rf"|(?:\r?\n{_NAME}[^\r\n]*|(?:\\r)?\\n{_NAME}[^\\\r\n]*)*"
+    rf"|(?:\r?\n{_NAME}[^\r\n]*|(?:\\r)?\\n{_NAME}[^\\\r\n]*|{_QUOTED}{_NAME}[^\\\r\n]*)*"
     r"(?:(?:\\[nrt]|[^A-Za-z0-9-])*[A-Z][A-Za-z-]*:\x20(?:[^-\r\n]|-[^-\r\n])*?[^A-Za-z0-9+/=-][A-Za-z0-9+/=]{40,})?"
     rf"(?:{_SEP}*[A-Za-z0-9+/=]{{24,}})*"
     rf"(?:{_SEP}+(?:[A-Za-z0-9+/]+={{1,2}}|=[A-Za-z0-9+/]{{4}})){{0,2}}"
