@@ -38,13 +38,16 @@ def repeated_changed_keys(table: DataFrame, changed: DataFrame, column: str) ->
     """Changed values of ``column`` that the table, changes included, holds more than once: (column, n_rows).
 
     Of the table only that column is read. The list of changed values is distinct and
-    broadcast while Spark knows it to be small; else both sides are dealt by value. A
-    value nobody changed is not looked at: it was tested when it came. NULLs are not
-    tested; an empty change gives an empty result.
+    broadcast while Spark knows it to be small, and the table's rows are then filtered
+    before they are counted. Else the table is dealt by value as counts, one row a value
+    and map task, and only values counted more than once meet the list. A value nobody
+    changed is not looked at: it was tested when it came. NULLs are not tested; an empty
+    change gives an empty result.
     """
     wanted = changed.select(column).dropna().distinct()
-    hits = table.select(column).join(wanted, column, "left_semi")
-    return hits.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
+    # Spark moves the semi-join below the counts where the list can be broadcast.
+    counts = table.select(column).dropna().groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.filter("n_rows > 1").join(wanted, column, "left_semi")
 
 
 def check_changed(
