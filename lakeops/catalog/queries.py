@@ -284,33 +284,33 @@ def publish_stage(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _staged_items(spark: SparkSession, d: str) -> DataFrame:
-    """The staged items, written once: a publish reads them for keys and as rows."""
-    return Staging(spark)(fx.items_staged(spark, d), "items")
+def _items(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The published items and the arriving ones, both read from one table written once.
+
+    Made anew for each use, the items cost two shuffles of the lines every time.
+    """
+    items = Staging(spark)(fx.order_items(spark, d), "items")
+    return fx.published_items(items), fx.arriving_items(items)
 
 
 def items_delete_insert(spark: SparkSession, d: str) -> DataFrame:
-    return delete_insert(fx.items_target(spark, d), _staged_items(spark, d), fx.ITEM_KEYS)
+    return delete_insert(*_items(spark, d), fx.ITEM_KEYS)
 
 
 def items_tombstones(spark: SparkSession, d: str) -> DataFrame:
-    return apply_tombstones(fx.items_target(spark, d), fx.items_staged(spark, d), fx.ITEM_KEYS)
+    return apply_tombstones(*_items(spark, d), fx.ITEM_KEYS)
 
 
 def items_publish(spark: SparkSession, d: str) -> DataFrame:
-    return publish_with_deletes(
-        fx.items_target(spark, d), _staged_items(spark, d), fx.ITEM_KEYS
-    )
+    return publish_with_deletes(*_items(spark, d), fx.ITEM_KEYS)
 
 
 def items_history(spark: SparkSession, d: str) -> DataFrame:
-    return history_capture(
-        fx.items_target(spark, d), fx.items_staged(spark, d), fx.ITEM_KEYS, "dt_atualizacao"
-    )
+    return history_capture(*_items(spark, d), fx.ITEM_KEYS, "dt_atualizacao")
 
 
 def items_full_history(spark: SparkSession, d: str) -> DataFrame:
-    target, staged = fx.items_target(spark, d), _staged_items(spark, d)
+    target, staged = _items(spark, d)
     archive = history_capture(target, staged, fx.ITEM_KEYS, "dt_atualizacao")
     published = publish_with_deletes(target, staged, fx.ITEM_KEYS)
     return full_history(archive, published, "dt_atualizacao")
@@ -525,8 +525,9 @@ def upsert_bucketed_stock(spark: SparkSession, d: str) -> DataFrame:
 
 
 def history_bucketed_items(spark: SparkSession, d: str) -> DataFrame:
-    target = _bucketed(fx.items_target(spark, d), fx.ITEM_KEYS, "items")
-    staged = _bucketed(fx.items_staged(spark, d), fx.ITEM_KEYS, "staged")
+    published, arriving = _items(spark, d)
+    target = _bucketed(published, fx.ITEM_KEYS, "items")
+    staged = _bucketed(arriving, fx.ITEM_KEYS, "staged")
     return history_bucketed(target, staged, fx.ITEM_KEYS, "dt_atualizacao")
 
 

@@ -307,17 +307,16 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def items_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+def published_items(items: DataFrame) -> DataFrame:
     """What is published: items of orders before 2000."""
-    return order_items(spark, sf_dir).filter(F.col("data_pedido") < F.lit("2000-01-01").cast("date"))
+    return items.filter(F.col("data_pedido") < F.lit("2000-01-01").cast("date"))
 
 
-def items_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def arriving_items(items: DataFrame) -> DataFrame:
     """What is staged: items of orders from 1998 on, a day later and with a new status.
 
     One item of each order is deleted, and one has no flag.
     """
-    items = order_items(spark, sf_dir)
     return (
         items.filter(F.col("data_pedido") >= F.lit("1998-01-01").cast("date"))
         .withColumn("status", F.lit("S"))

@@ -1,5 +1,8 @@
 """Plans whose memory and shuffle grow with the input alone."""
 
+import pytest
+
+from lakeops.catalog.queries import queries
 from lakeops.operators.changed_checks import repeated_changed_keys
 
 
@@ -24,3 +27,14 @@ def test_a_long_list_of_changed_keys_meets_counts_not_rows(spark, root):
         assert rows(found) == [(k, 2) for k in range(1500, 2000) if k != 1600]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+ITEM_QUERIES = ["full_history", "history_capture", "publish_with_deletes", "delete_insert", "apply_tombstones"]
+
+
+@pytest.mark.parametrize("name", ITEM_QUERIES)
+def test_items_are_made_once_for_both_sides(name, spark, sf_dir):
+    df = queries()[name](spark, sf_dir)
+    text = plan(df)
+    assert "lineitem" not in text and "orders" not in text
+    assert all("-items/" in file for file in df.inputFiles())
