@@ -455,7 +455,7 @@ def resume_with_late_commit(spark: SparkSession, d: str) -> DataFrame:
     )
     source = Feed(f"{root}/log", fx.INVOICE_TIEBREAK)
     for rows in arrivals:
-        append_changes(rows, source.log)
+        append_changes(rows, source.log, spread=False)
         run_pipeline(
             spark, {INVOICES: source}, root, models=[FATO_FATURAMENTO], run_ts=fx.run_time(), checks=False
         )
@@ -470,7 +470,7 @@ def first_load_after_deletes(spark: SparkSession, d: str) -> DataFrame:
     before = fx.SPLIT_VERSION - 1
     table = snapshot_as_of(feed, before, ["CHAVE_NFE"], fx.INVOICE_TIEBREAK)
     table.drop(CHANGE_TYPE, VERSION, COMMIT_TIME).write.parquet(f"{root}/silver")
-    append_changes(read_changes(feed, fx.SPLIT_VERSION), f"{root}/log")
+    append_changes(read_changes(feed, fx.SPLIT_VERSION), f"{root}/log", spread=False)
     source = Feed(f"{root}/log", fx.INVOICE_TIEBREAK, table=f"{root}/silver", table_commit=before)
     run_pipeline(
         spark,

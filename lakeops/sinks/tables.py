@@ -181,6 +181,8 @@ def drop_versions_before(spark: SparkSession, root: str, version: int) -> None:
 # arrive one by one, or late, is never taken for complete.
 
 MARKS = "_commits"
+# Files a task keeps open at once; each may hold a row group in memory.
+OPEN_FILES = 8
 
 
 def append_changes(
@@ -188,6 +190,7 @@ def append_changes(
     log: str,
     replace: bool = False,
     versions: Sequence[int] | None = None,
+    spread: bool = True,
 ) -> None:
     """Write commits to a change log, one folder per ``_commit_version``.
 
@@ -195,7 +198,9 @@ def append_changes(
     take the place of the first. ``replace`` writes it again, for retries. ``versions``
     names the commits at hand, also one without rows; without it they are looked up
     first, which computes the changes once more. Rows are spread evenly over tasks
-    before the write, whatever the share of one commit.
+    before the write, whatever the share of one commit: a shuffle of all columns.
+    Without ``spread`` each task writes the rows it holds, one file a commit, which
+    suits few commits that come from a join or a scan of even parts.
     """
     spark = changes.sparkSession
     if versions is None:
@@ -207,16 +212,34 @@ def append_changes(
         # The mark first; the folder may be a failed attempt's.
         delete_path(spark, f"{log}/{MARKS}/{version}")
         delete_path(spark, f"{log}/{VERSION}={version}")
-    (
-        changes.hint("rebalance", VERSION)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(VERSION)
-        .parquet(log)
-    )
+    rows = changes.hint("rebalance", VERSION) if spread else changes
+    with open_files(spark, 0 if spread else OPEN_FILES):
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "zstd")
+            .partitionBy(VERSION)
+            .parquet(log)
+        )
     mark_commits(spark, log, versions)
 
 
+@contextmanager
+def open_files(spark: SparkSession, number: int) -> Iterator[None]:
+    """Let a task write that many folders at a time instead of sorting its rows by folder.
+
+    Rows of more folders are sorted. With 0 the session's own setting holds.
+    """
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    if number:
+        spark.conf.set(setting, str(number))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def mark_commits(spark: SparkSession, log: str, versions: Iterable[int]) -> None:
     """Declare commits complete; one without a folder changed nothing."""
     for version in versions:

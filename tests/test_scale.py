@@ -2,8 +2,12 @@
 
 import pytest
 
+from lakeops import fixtures as fx
 from lakeops.catalog.queries import queries
 from lakeops.operators.changed_checks import repeated_changed_keys
+from lakeops.plans.specs import FATO_FATURAMENTO
+from lakeops.sinks.tables import append_changes
+from lakeops.sources.registry import open_changes
 
 
 def plan(df):
@@ -38,3 +42,20 @@ def test_items_are_made_once_for_both_sides(name, spark, sf_dir):
     text = plan(df)
     assert "lineitem" not in text and "orders" not in text
     assert all("-items/" in file for file in df.inputFiles())
+
+
+def test_a_log_of_few_commits_is_written_without_a_shuffle(spark, root):
+    rows_in = spark.range(0, 4000, numPartitions=4).selectExpr("id", "id % 3 as _commit_version")
+    append_changes(rows_in, f"{root}/log", versions=[0, 1, 2], spread=False)
+    log = open_changes(spark, f"{root}/log", 0)
+    # one file a task and commit; spread rows come as one file a commit here
+    assert len(log.inputFiles()) == 12
+    assert rows(log.select("id", "_commit_version")) == sorted(((i, i % 3) for i in range(4000)), key=repr)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_customers_join_the_orders(spark, sf_dir):
+    text = plan(fx.invoice_feed(spark, sf_dir, FATO_FATURAMENTO.source_columns)).split("Initial Plan")[0]
+    above, below = text.split("lineitem.parquet")[0], text.split("lineitem.parquet")[1]
+    assert "o_custkey" not in "".join(x for x in above.splitlines() if "Join" in x)
+    assert "customer.parquet" in below.split("part.parquet")[0]
