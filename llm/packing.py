@@ -35,7 +35,8 @@ class _Encoder:
     Words of Latin letters alone are one unit to the tokenizer, so many are encoded as
     one text and told apart by the tokens that end a word. Others are divided by a
     special token, which is never merged with its neighbours; words that hold such a
-    string go alone. Beyond REMEMBERED words the memory begins anew.
+    string go alone. Beyond REMEMBERED words the memory begins anew; the one before is
+    kept until the next time, so words that come often are not encoded again.
     """
 
     def __init__(self, path: str):
@@ -47,20 +48,22 @@ class _Encoder:
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[int, bytes] = {}
+        self.before: dict[int, bytes] = {}
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2")
 
     def encode(self, hashes: list[int], words: Callable[[list[int]], list[str]]) -> list[bytes]:
         """Ids (two bytes each) of the words with these hashes; ``words`` spells out those at some places."""
-        out = [self.known.get(h, b"") for h in hashes]
+        known, before = self.known, self.before
+        out = [known.get(h) or before.get(h, b"") for h in hashes]
         missing = [i for i, x in enumerate(out) if not x]
-        if not missing:
-            return out
-        if len(self.known) + len(missing) > REMEMBERED:
-            self.known = {}
-        for i, x in zip(missing, self._new(words(missing)), strict=True):
-            out[i] = self.known[hashes[i]] = x
+        if missing:
+            for i, x in zip(missing, self._new(words(missing)), strict=True):
+                out[i] = x
+        known.update(zip(hashes, out, strict=True))
+        if len(known) > REMEMBERED:
+            self.known, self.before = {}, known
         return out
 
     def _new(self, words: list[str]) -> list[bytes]:
