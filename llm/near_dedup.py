@@ -16,8 +16,9 @@ from llm import hyperminhash as hmh
 from llm.batches import small_batches
 from llm.byteops import LOWER, ranges, shingle_hashes, span_hashes, text_chunks, word_bounds
 from llm.components import connected_components
-from llm.rows import as_rows, broadcast_bytes, from_rows
+from llm.rows import as_rows, from_rows
 from llm.shipping import ship
+from llm.slots import perhaps_in
 
 SHINGLE_WORDS = 5
 LINK_PERCENT = 80
@@ -25,8 +26,8 @@ LINK_PERCENT = 80
 BLOCK_BYTES = 4 << 20
 # Digests that, with the id, tell texts apart.
 TEXT_KEYS = ("k0", "k1")
-# Bytes of one row that names a text to be read again.
-NEEDED_BYTES = 64
+# The same without nulls, as join and grouping key.
+ROW_KEY = ("id", "nameless", *TEXT_KEYS)
 
 
 def _text_sets(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
@@ -266,12 +267,10 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, link_percent: int) ->
     classes = sketches.where("n_shingles > 0").groupBy("set_key")
     classes = classes.agg(least, F.min("n_shingles").alias("n"), F.min("registers").alias("registers"))
     classes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    members = stage(_bucket_members(classes, hmh.band_rows(link_percent / 100)), "members")
-    needed = classes.select("node", *(F.col(f"least.{k}").alias(f"_{k}") for k in ("doc_id", *TEXT_KEYS)))
-    needed = stage(needed.join(members.select("node").distinct(), "node", "left_semi"), "needed")
-    if stage.rows["needed"] * NEEDED_BYTES <= broadcast_bytes(spark):
-        needed = F.broadcast(needed)  # the texts of others are then not shuffled
-    sets = _member_sets(docs, id_col, text_col, needed)
+    members = stage(_bucket_members(classes, stage, hmh.band_rows(link_percent / 100)), "members")
+    needed = classes.join(members.select("node").distinct(), "node", "left_semi")
+    needed = stage(_row_keys(needed.select("node", *(f"least.{k}" for k in ("doc_id", *TEXT_KEYS))), "node"), "needed")
+    sets = _member_sets(docs, id_col, text_col, needed, stage.rows["needed"])
     with small_batches(spark):
         sets = stage(sets, "sets")
         links = stage(_star_links(members, sets, link_percent), "links")
@@ -329,11 +328,18 @@ def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
     return rows.join(gone.select(*(F.col(k).alias(f"_{k}") for k in key)), _same(key), "left_anti")
 
 
-def _bucket_members(classes: DataFrame, band_rows: int) -> DataFrame:
-    """(bucket, band, node, pivot) of all buckets with two classes or more; the pivot differs by bucket."""
+def _bucket_members(classes: DataFrame, stage: Staging, band_rows: int) -> DataFrame:
+    """(bucket, band, node, pivot) of all buckets with two classes or more; the pivot differs by bucket.
+
+    Most buckets hold one class. Only their keys are counted; rows of others are then
+    dealt, and few besides.
+    """
     last, size = hmh.REGISTERS // band_rows - 1, 2 * band_rows
     key = f"transform(sequence(0, {last}), i -> xxhash64(i, substring(registers, cast(i * {size} + 1 as int), {size})))"
     rows = classes.select("node", F.posexplode(F.expr(key)).alias("band", "bucket"))
+    several = rows.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket")
+    several = stage(several, "buckets")
+    rows = stage(perhaps_in(rows, ("bucket",), several, stage.rows["buckets"]), "bucket-rows")
     pivots = (
         rows.groupBy("bucket")
         .agg(F.min(F.col("node").bitwiseXOR(F.col("bucket"))).alias("p"), F.count("*").alias("members"))
@@ -342,11 +348,20 @@ def _bucket_members(classes: DataFrame, band_rows: int) -> DataFrame:
     return rows.join(pivots, "bucket").select("bucket", "band", "node", F.col("p").bitwiseXOR(F.col("bucket")).alias("pivot"))
 
 
-def _member_sets(docs: DataFrame, id_col: str, text_col: str, needed: DataFrame) -> DataFrame:
-    """(node, n, shingles, registers) of the classes that share a bucket with another, from their texts."""
-    own = _texts(docs, id_col, text_col).join(needed, _same(("doc_id", *TEXT_KEYS)))
-    # Rows alike in id and text have one set; they collapse before they are dealt.
-    own = own.groupBy("node").agg(F.first("text").alias("text"))
+def _row_keys(rows: DataFrame, *others: str) -> DataFrame:
+    """ROW_KEY of rows with doc_id and TEXT_KEYS, and the other columns named."""
+    named = F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("nameless")
+    return rows.select(*named, *TEXT_KEYS, *others)
+
+
+def _member_sets(docs: DataFrame, id_col: str, text_col: str, needed: DataFrame, count: int) -> DataFrame:
+    """(node, n, shingles, registers) of the classes that share a bucket with another, from their texts.
+
+    Of the other texts few are shuffled. Rows alike in id and text have one set; they
+    collapse before they are dealt.
+    """
+    own = perhaps_in(_row_keys(_texts(docs, id_col, text_col), "text"), ROW_KEY, needed, count)
+    own = own.groupBy(*ROW_KEY).agg(F.first("text").alias("text")).join(needed, list(ROW_KEY)).select("node", "text")
     return own.mapInArrow(_set_batches, "node long, n long, shingles binary, registers binary")
 
 
